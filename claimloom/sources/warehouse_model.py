@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.operators.keys import number_within
+from claimloom.plans.conformed import Facts, from_operational
 
 MONEY = "decimal(18,2)"
 UNITS = "decimal(18,4)"
@@ -511,3 +512,18 @@ class WarehouseModel:
             "audit_outcome recovery_transaction anomaly_injection"
         ).split()
         return {name: getattr(self, name) for name in names}
+
+    @cached_property
+    def service_categories(self) -> DataFrame:
+        """Category mapping of most services; the rest fall back to their system's name."""
+        return self.read("part").filter(F.col("p_partkey") % 10 != 0).select(
+            F.col("p_brand").alias("service_code_system"),
+            F.col("p_partkey").cast("string").alias("service_code"),
+            F.lower("p_type").alias("service_category"),
+        )
+
+    @cached_property
+    def facts(self) -> Facts:
+        """The tables in conformed shape, labels left out."""
+        unlabelled = {name: table for name, table in self.tables().items() if name != "anomaly_injection"}
+        return from_operational(unlabelled, self.service_categories)
