@@ -25,7 +25,7 @@ SELECT l.*, CAST(allowed_amount - member_liability_amount AS DECIMAL(18,2)) AS p
   CASE WHEN p_partkey % 10 <> 0 THEN lower(p_type) ELSE lower(replace(service_code_system, '-', '_')) END
     AS service_category,
   CAST(date_trunc('month', service_date) AS DATE) AS service_month
-FROM op_claim_line l JOIN part ON CAST(p_partkey AS VARCHAR) = service_code AND p_brand = service_code_system"""
+FROM op_claim_line l JOIN part ON CAST(p_partkey AS VARCHAR) = service_code"""
 SUBQUERIES["f_paid_lines"] = """
 SELECT l.*, c.plan_key FROM f_lines l JOIN f_claims c USING (claim_id)
 WHERE c.is_current_version AND c.claim_status = 'paid'"""

@@ -108,11 +108,11 @@ FROM (
 SUBQUERIES["op_claim_line"] = f"""
 SELECT {line('LIN', 'l_orderkey', 'line_number')} AS claim_line_id, {claim('l_orderkey')} AS claim_id,
   CAST(line_number AS INTEGER) AS line_number, {provider('l_suppkey')} AS rendering_provider_id,
-  p_brand AS service_code_system, CAST(l_partkey AS VARCHAR) AS service_code,
+  'SYS-' || (l_partkey % 25) AS service_code_system, CAST(l_partkey AS VARCHAR) AS service_code,
   service_from_date AS service_date,
   CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS place_of_service_code,
   units, charge_amount, allowed_amount, member_liability_amount
-FROM w_lines JOIN w_orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+FROM w_lines JOIN w_orders ON l_orderkey = o_orderkey"""
 
 SUBQUERIES["w_totals"] = """
 SELECT l_orderkey, sum(charge_amount) AS charge, sum(allowed_amount) AS allowed,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.session import ensure_checkpoint_dir
 
@@ -19,6 +20,9 @@ ROW_BITS = 33
 HOT_KEY_ROWS = 2_000_000
 HOT_KEY_SHARE = 0.001
 
+# dimensions up to this many distinct keys are numbered on the driver
+SMALL_KEYS = 10_000
+
 _known_hot_keys: dict[tuple[int, int], list[int]] = {}
 
 
@@ -49,8 +53,19 @@ def dense_positions(df: DataFrame, order: list[str], position: str = "position")
 
 
 def dense_keys(df: DataFrame, business_key: list[str], key: str, key_type: str = "bigint") -> DataFrame:
-    """Distinct business keys with a stable 1..N key in sorted order."""
+    """Distinct business keys with a stable 1..N key in sorted order.
+
+    A probe reads at most ``SMALL_KEYS`` + 1 of them; only larger key sets take the ranged way.
+    """
     distinct = df.select(*business_key).distinct()
+    probe = distinct.limit(SMALL_KEYS + 1).collect()
+    if len(probe) <= SMALL_KEYS:
+        schema = T.StructType([*distinct.schema.fields, T.StructField(key, T.LongType())])
+        # code point order equals Spark's byte order for text
+        ordered = sorted(probe, key=lambda row: tuple((value is not None, value) for value in row))
+        rows = [(*row, number) for number, row in enumerate(ordered, start=1)]
+        keyed = df.sparkSession.createDataFrame(rows, schema)
+        return keyed.withColumn(key, F.col(key).cast(key_type))
     return dense_positions(distinct, business_key).select(
         *business_key, (F.col("position") + 1).cast(key_type).alias(key)
     )

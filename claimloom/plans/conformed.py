@@ -28,6 +28,7 @@ class Facts:
     memberships: DataFrame
     reviews: DataFrame
     assignments: DataFrame
+    service_categories: DataFrame | None = None
 
 
 def refuse_labels(names) -> None:
@@ -82,7 +83,6 @@ def from_operational(tables: dict[str, DataFrame], service_categories: DataFrame
     lines = tables["claim_line"].withColumn(
         "plan_paid_amount", (F.col("allowed_amount") - F.col("member_liability_amount")).cast(MONEY)
     )
-    lines = with_service_category(lines, service_categories)
     return Facts(
         claims=claims,
         lines=lines,
@@ -90,6 +90,7 @@ def from_operational(tables: dict[str, DataFrame], service_categories: DataFrame
         memberships=tables["membership_month"].join(plan_keys, "plan_id"),
         reviews=tables["claim_review"],
         assignments=tables["policy_assignment"].join(provider_keys, "provider_id"),
+        service_categories=service_categories,
     )
 
 
@@ -142,4 +143,5 @@ def from_star(star: dict[str, DataFrame]) -> Facts:
         memberships=star["fact_membership_month"],
         reviews=star["fact_claim_review"],
         assignments=star["bridge_provider_policy"],
+        service_categories=star["dim_service"],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.dates import month_of
 from claimloom.functions.numbers import MONEY, RATE, UNITS, count_as_decimal, or_fail, rate, ratio, total
-from claimloom.plans.conformed import Facts
+from claimloom.plans.conformed import Facts, with_service_category
 
 SIGNAL_METRICS = ("allowed_pmpm", "paid_pmpm", "claims_per_1000", "units_per_1000")
 
@@ -47,7 +47,6 @@ def paid_current_lines(facts: Facts) -> DataFrame:
             month_of(F.col("service_date")).alias("service_month"),
             "service_code_system",
             "service_code",
-            "service_category",
             "units",
             "allowed_amount",
         )
@@ -59,27 +58,36 @@ def monthly_cost_utilization(facts: Facts) -> DataFrame:
     """One row per exposed month and plan; a claim or line without exposure is an error."""
     paid = F.col("claim_status") == "paid"
     key = ["service_month", "plan_key"]
-    claims = current_claims(facts).groupBy(*key).agg(
-        F.count("*").alias("claim_count"),
-        F.count_if(paid).alias("paid_claim_count"),
-        total(F.when(paid, F.col("total_allowed_amount"))).alias("allowed_amount"),
-        total(F.when(paid, F.col("net_paid_amount"))).alias("paid_amount"),
+    active = facts.memberships.filter(F.col("coverage_status") == "active").select(
+        month_of(F.col("coverage_month")).alias("service_month"), "plan_key", F.lit(1).alias("_member")
+    )
+    claims = current_claims(facts).select(
+        *key,
+        F.lit(1).alias("_claim"),
+        paid.cast("int").alias("_paid_claim"),
+        F.when(paid, F.col("total_allowed_amount")).alias("_allowed"),
+        F.when(paid, F.col("net_paid_amount")).alias("_paid"),
+    )
+    units = paid_current_lines(facts).select(*key, F.col("units").alias("_units"))
+    # three kinds of rows side by side: one aggregation instead of three and two joins
+    stacked = active.unionByName(claims, allowMissingColumns=True).unionByName(
+        units, allowMissingColumns=True
+    )
+    count = lambda name: F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+    cells = stacked.groupBy(*key).agg(
+        F.sum("_member").alias("_members"),
+        count("_claim").alias("claim_count"),
+        count("_paid_claim").alias("paid_claim_count"),
+        total(F.col("_units"), UNITS).alias("service_units"),
+        total(F.col("_allowed")).alias("allowed_amount"),
+        total(F.col("_paid")).alias("paid_amount"),
     )
-    units = paid_current_lines(facts).groupBy(*key).agg(total(F.col("units"), UNITS).alias("service_units"))
-    # all three sides are month-by-plan aggregates
-    cells = exposure(facts).join(claims, key, "full").join(units, key, "full")
-    counts = lambda name: F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
-    amounts = lambda name, kind: F.coalesce(name, F.lit(0)).cast(kind).alias(name)
     cells = cells.select(
         *key,
-        or_fail(F.col("eligible_member_months"), "claim activity without member exposure", "bigint").alias(
+        or_fail(F.col("_members"), "claim activity without member exposure", "bigint").alias(
             "eligible_member_months"
         ),
-        counts("claim_count"),
-        counts("paid_claim_count"),
-        amounts("service_units", UNITS),
-        amounts("allowed_amount", MONEY),
-        amounts("paid_amount", MONEY),
+        *[name for name in cells.columns if name not in (*key, "_members")],
     )
     members = count_as_decimal(F.col("eligible_member_months"))
     return cells.select(
@@ -165,11 +173,23 @@ def provider_service_concentration(facts: Facts) -> DataFrame:
 
 
 def category_totals(facts: Facts) -> DataFrame:
-    """Allowed amount and units of current paid lines by month, plan and service category."""
-    return (
+    """Allowed amount and units of current paid lines by month, plan and service category.
+
+    Lines are summed per service first, so the category lookup meets aggregates only.
+    """
+    sums = lambda amount: (
+        total(F.col(amount)).alias("amount"), total(F.col("units"), UNITS).alias("units")
+    )
+    key = ["service_month", "plan_key"]
+    services = (
         paid_current_lines(facts)
-        .groupBy("service_month", "plan_key", "service_category")
-        .agg(total(F.col("allowed_amount")).alias("amount"), total(F.col("units"), UNITS).alias("units"))
+        .groupBy(*key, "service_code_system", "service_code")
+        .agg(*sums("allowed_amount"))
+    )
+    return (
+        with_service_category(services, facts.service_categories)
+        .groupBy(*key, "service_category")
+        .agg(*sums("amount"))
     )
 
 

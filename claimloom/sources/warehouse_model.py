@@ -27,6 +27,21 @@ POLICY_END = "2000-06-30"
 # the warehouse's fixed customer segments
 MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
+# declared, so opening a table reads no footers
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 LINE_ORDER = [
     "l_linenumber",
     "l_partkey",
@@ -62,6 +77,11 @@ def line_id(prefix: str, order_key: Column, line: Column) -> Column:
     )
 
 
+def code_system(part_key: Column) -> Column:
+    """One of 25 code systems."""
+    return F.concat(F.lit("SYS-"), (part_key % 25).cast("string"))
+
+
 def exact_copy(order_key: Column) -> Column:
     return order_key % 61 == 7
 
@@ -84,9 +104,13 @@ class WarehouseModel:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._sources: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            reader = self.spark.read.schema(SOURCE_SCHEMAS[name])
+            self._sources[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     @cached_property
     def nation_region(self) -> DataFrame:
@@ -260,12 +284,12 @@ class WarehouseModel:
     @cached_property
     def claim_line(self) -> DataFrame:
         order_key, line = F.col("l_orderkey"), F.col("line_number")
-        return self._dated_lines.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        return self._dated_lines.select(
             line_id("LIN", order_key, line).alias("claim_line_id"),
             claim_id(order_key).alias("claim_id"),
             line.cast("int").alias("line_number"),
             provider_id(F.col("l_suppkey")).alias("rendering_provider_id"),
-            F.col("p_brand").alias("service_code_system"),
+            code_system(F.col("l_partkey")).alias("service_code_system"),
             F.col("l_partkey").cast("string").alias("service_code"),
             F.col("service_from_date").alias("service_date"),
             F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("place_of_service_code"),
@@ -275,8 +299,31 @@ class WarehouseModel:
             "member_liability_amount",
         )
 
+    @cached_property
+    def _versions(self) -> DataFrame:
+        versions = number_within(
+            self._orders.withColumn("_month", F.trunc("service_from_date", "MM")),
+            ["o_custkey", "_month"],
+            ["service_from_date", "o_orderkey"],
+            "claim_version_number",
+        )
+        logical = F.concat(padded("LCL", F.col("o_custkey"), 12), F.date_format("_month", "yyyyMM"))
+        return versions.withColumn("logical_claim_id", logical).withColumn(
+            "claim_version_number", F.col("claim_version_number").cast("int")
+        )
+
     @cached_property
     def claim_header(self) -> DataFrame:
+        prior = self._versions.select(
+            "logical_claim_id",
+            (F.col("claim_version_number") + 1).alias("claim_version_number"),
+            claim_id(F.col("o_orderkey")).alias("prior_claim_id"),
+        )
+        return self._unlinked_header.join(prior, ["logical_claim_id", "claim_version_number"], "left")
+
+    @cached_property
+    def _unlinked_header(self) -> DataFrame:
+        """Claim headers before the link to the prior version."""
         order_key, customer = F.col("o_orderkey"), F.col("o_custkey")
         service = F.col("service_from_date")
         zero = F.lit(0).cast(MONEY)
@@ -287,20 +334,13 @@ class WarehouseModel:
             F.min("l_suppkey").alias("_billing"),
             F.max("l_suppkey").alias("_rendering"),
         )
-        versions = number_within(
-            self._orders.withColumn("_month", F.trunc("service_from_date", "MM")),
-            ["o_custkey", "_month"],
-            ["service_from_date", "o_orderkey"],
-            "claim_version_number",
-        )
-        logical = F.concat(padded("LCL", customer, 12), F.date_format("_month", "yyyyMM"))
-        headers = (
-            versions.join(totals, order_key == F.col("l_orderkey"), "left")
+        return (
+            self._versions.join(totals, order_key == F.col("l_orderkey"), "left")
             .join(self.read("customer").select("c_custkey", "c_mktsegment"), customer == F.col("c_custkey"))
             .select(
                 claim_id(order_key).alias("claim_id"),
-                logical.alias("logical_claim_id"),
-                F.col("claim_version_number").cast("int").alias("claim_version_number"),
+                "logical_claim_id",
+                "claim_version_number",
                 member_id(customer).alias("member_id"),
                 F.col("c_mktsegment").alias("plan_id"),
                 provider_id(F.coalesce("_billing", F.lit(1))).alias("billing_provider_id"),
@@ -331,12 +371,6 @@ class WarehouseModel:
                 F.coalesce("_liability", zero).alias("total_member_liability_amount"),
             )
         )
-        prior = versions.select(
-            logical.alias("logical_claim_id"),
-            (F.col("claim_version_number") + 1).cast("int").alias("claim_version_number"),
-            claim_id(order_key).alias("prior_claim_id"),
-        )
-        return headers.join(prior, ["logical_claim_id", "claim_version_number"], "left")
 
     @cached_property
     def payment_transaction(self) -> DataFrame:
@@ -517,7 +551,7 @@ class WarehouseModel:
     def service_categories(self) -> DataFrame:
         """Category mapping of most services; the rest fall back to their system's name."""
         return self.read("part").filter(F.col("p_partkey") % 10 != 0).select(
-            F.col("p_brand").alias("service_code_system"),
+            code_system(F.col("p_partkey")).alias("service_code_system"),
             F.col("p_partkey").cast("string").alias("service_code"),
             F.lower("p_type").alias("service_category"),
         )
@@ -525,5 +559,10 @@ class WarehouseModel:
     @cached_property
     def facts(self) -> Facts:
         """The tables in conformed shape, labels left out."""
-        unlabelled = {name: table for name, table in self.tables().items() if name != "anomaly_injection"}
+        names = (
+            "plan provider membership_month claim_line payment_transaction claim_review policy_assignment"
+        ).split()
+        unlabelled = {name: getattr(self, name) for name in names}
+        # facts never follow the link to the prior version
+        unlabelled["claim_header"] = self._unlinked_header
         return from_operational(unlabelled, self.service_categories)
