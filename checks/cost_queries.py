@@ -20,12 +20,16 @@ SELECT h.*, p.plan_key, b.provider_key AS billing_provider_key, b.specialty_grou
   claim_version_number = max(claim_version_number) OVER (PARTITION BY logical_claim_id) AS is_current_version
 FROM op_claim_header h JOIN k_plan p USING (plan_id)
 JOIN k_provider b ON b.provider_id = h.billing_provider_id LEFT JOIN f_net USING (claim_id)"""
+SUBQUERIES["k_category"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS service_code, CASE p_type WHEN 'ECONOMY' THEN 'evaluation_management'
+  WHEN 'LARGE' THEN 'cardiovascular' WHEN 'MEDIUM' THEN 'endocrine' WHEN 'PROMO' THEN 'musculoskeletal'
+  WHEN 'SMALL' THEN 'respiratory' WHEN 'STANDARD' THEN 'behavioral' END AS mapped
+FROM part WHERE p_partkey % 10 <> 0"""
 SUBQUERIES["f_lines"] = """
 SELECT l.*, CAST(allowed_amount - member_liability_amount AS DECIMAL(18,2)) AS plan_paid_amount,
-  CASE WHEN p_partkey % 10 <> 0 THEN lower(p_type) ELSE lower(replace(service_code_system, '-', '_')) END
-    AS service_category,
+  coalesce(mapped, lower(replace(service_code_system, '-', '_'))) AS service_category,
   CAST(date_trunc('month', service_date) AS DATE) AS service_month
-FROM op_claim_line l JOIN part ON CAST(p_partkey AS VARCHAR) = service_code"""
+FROM op_claim_line l LEFT JOIN k_category USING (service_code)"""
 SUBQUERIES["f_paid_lines"] = """
 SELECT l.*, c.plan_key FROM f_lines l JOIN f_claims c USING (claim_id)
 WHERE c.is_current_version AND c.claim_status = 'paid'"""

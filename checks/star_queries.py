@@ -45,9 +45,8 @@ FROM (
 WHERE calendar_date IS NOT NULL"""
 SUBQUERIES["dim_service"] = """
 SELECT service_key, service_code_system, service_code,
-  CASE WHEN p_partkey % 10 <> 0 THEN lower(p_type) ELSE lower(replace(service_code_system, '-', '_')) END
-    AS service_category
-FROM k_service JOIN part ON CAST(p_partkey AS VARCHAR) = service_code"""
+  coalesce(mapped, lower(replace(service_code_system, '-', '_'))) AS service_category
+FROM k_service LEFT JOIN k_category USING (service_code)"""
 SUBQUERIES["fact_membership_month"] = """
 SELECT row_number() OVER (ORDER BY member_id, plan_id, coverage_month) AS membership_month_key, member_key,
   plan_key, date_key AS coverage_month_date_key, member_id, plan_id, coverage_month, coverage_status

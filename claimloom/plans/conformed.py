@@ -108,7 +108,7 @@ def with_service_category(lines: DataFrame, categories: DataFrame | None) -> Dat
     )
 
 
-def from_star(star: dict[str, DataFrame]) -> Facts:
+def from_star(star: dict[str, DataFrame], service_categories: DataFrame | None = None) -> Facts:
     """Conform star-schema tables by resolving dimension and date keys."""
     refuse_labels(star)
     dates = star["dim_date"].select("date_key", "calendar_date")  # bounded by the calendar
@@ -143,5 +143,5 @@ def from_star(star: dict[str, DataFrame]) -> Facts:
         memberships=star["fact_membership_month"],
         reviews=star["fact_claim_review"],
         assignments=star["bridge_provider_policy"],
-        service_categories=star["dim_service"],
+        service_categories=service_categories,
     )

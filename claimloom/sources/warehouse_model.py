@@ -27,6 +27,16 @@ POLICY_END = "2000-06-30"
 # the warehouse's fixed customer segments
 MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
+# part types stand for procedure categories
+PART_TYPE_CATEGORY = {
+    "ECONOMY": "evaluation_management",
+    "LARGE": "cardiovascular",
+    "MEDIUM": "endocrine",
+    "PROMO": "musculoskeletal",
+    "SMALL": "respiratory",
+    "STANDARD": "behavioral",
+}
+
 # declared, so opening a table reads no footers
 SOURCE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -553,7 +563,9 @@ class WarehouseModel:
         return self.read("part").filter(F.col("p_partkey") % 10 != 0).select(
             code_system(F.col("p_partkey")).alias("service_code_system"),
             F.col("p_partkey").cast("string").alias("service_code"),
-            F.lower("p_type").alias("service_category"),
+            F.element_at(
+                F.create_map(*[F.lit(x) for pair in PART_TYPE_CATEGORY.items() for x in pair]), F.col("p_type")
+            ).alias("service_category"),
         )
 
     @cached_property
