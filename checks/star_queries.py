@@ -1,7 +1,6 @@
 """Star-schema tables, keys and version operators."""
 
 from datetime import date
-from functools import lru_cache
 
 from checks.oracle_base import SUBQUERIES
 from checks.registry import register
@@ -11,7 +10,7 @@ from claimloom.plans.star import Star
 
 
 def star_of(model):
-    return Star(model.tables(), date(2000, 1, 1), model.service_categories)
+    return Star(model.tables(), date(2000, 1, 1), model.service_categories, layers=model.layers)
 
 
 def key_sql(table: str, business_key: str, key: str) -> str:

@@ -16,6 +16,7 @@ from claimloom.functions.dates import month_of
 from claimloom.functions.numbers import MONEY, or_fail
 from claimloom.operators.keys import dense_keys, dense_positions
 from claimloom.plans.conformed import ledger_net, with_current_flag, with_service_category
+from claimloom.sources.layers import LayerStore
 
 # date columns that feed the calendar, by operational table
 DATE_COLUMNS = {
@@ -39,16 +40,22 @@ class Star:
         policy_start: date,
         service_categories: DataFrame | None = None,
         source_variant: str = "anomalous_evaluation",
+        layers: LayerStore | None = None,
     ):
         self.source = source
         self.policy_start = policy_start
         self.service_categories = service_categories
         self.source_variant = source_variant
+        self.layers = layers
+
+    def _keep(self, name: str, frame: DataFrame) -> DataFrame:
+        """Key tables are read by several facts, so they are written once where a store is given."""
+        return self.layers.keep(name, frame) if self.layers else frame
 
     # -- keys -------------------------------------------------------------------------------
 
     def _keys(self, table: str, business_key: str, key: str) -> DataFrame:
-        return dense_keys(self.source[table], [business_key], key)
+        return self._keep(key, dense_keys(self.source[table], [business_key], key))
 
     @cached_property
     def member_keys(self) -> DataFrame:
@@ -76,7 +83,8 @@ class Star:
 
     @cached_property
     def service_keys(self) -> DataFrame:
-        return dense_keys(self.source["claim_line"], ["service_code_system", "service_code"], "service_key")
+        pair = ["service_code_system", "service_code"]
+        return self._keep("service_key", dense_keys(self.source["claim_line"], pair, "service_key"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -91,7 +99,8 @@ class Star:
             ).distinct()
             used = days if used is None else used.unionByName(days)
         day = F.col("calendar_date")
-        numbered = dense_keys(used.filter(day.isNotNull()), ["calendar_date"], "date_key", "int")
+        keys = dense_keys(used.filter(day.isNotNull()), ["calendar_date"], "date_key", "int")
+        numbered = self._keep("date_key", keys)
         return numbered.select(
             "date_key",
             day,

@@ -8,6 +8,7 @@ overpayments) together with the labels that name them.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from claimloom.operators.keys import number_within
 from claimloom.plans.conformed import Facts, from_operational
+from claimloom.sources.layers import LayerStore
 
 MONEY = "decimal(18,2)"
 UNITS = "decimal(18,4)"
@@ -114,6 +116,7 @@ class WarehouseModel:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.layers = LayerStore(spark, folder)
         self._sources: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
@@ -195,6 +198,10 @@ class WarehouseModel:
 
     @cached_property
     def membership_month(self) -> DataFrame:
+        return self.layers.keep("membership_month", self._membership_month)
+
+    @cached_property
+    def _membership_month(self) -> DataFrame:
         key, month = F.col("c_custkey"), F.col("coverage_month")
         index = F.col("month_index")
         spine = F.expr(
@@ -293,6 +300,10 @@ class WarehouseModel:
 
     @cached_property
     def claim_line(self) -> DataFrame:
+        return self.layers.keep("claim_line", self._claim_line)
+
+    @cached_property
+    def _claim_line(self) -> DataFrame:
         order_key, line = F.col("l_orderkey"), F.col("line_number")
         return self._dated_lines.select(
             line_id("LIN", order_key, line).alias("claim_line_id"),
@@ -324,6 +335,10 @@ class WarehouseModel:
 
     @cached_property
     def claim_header(self) -> DataFrame:
+        return self.layers.keep("claim_header", self._claim_header)
+
+    @cached_property
+    def _claim_header(self) -> DataFrame:
         prior = self._versions.select(
             "logical_claim_id",
             (F.col("claim_version_number") + 1).alias("claim_version_number"),
@@ -384,6 +399,10 @@ class WarehouseModel:
 
     @cached_property
     def payment_transaction(self) -> DataFrame:
+        return self.layers.keep("payment_transaction", self._payment_transaction)
+
+    @cached_property
+    def _payment_transaction(self) -> DataFrame:
         order_key, line = F.col("l_orderkey"), F.col("line_number")
         ship = F.col("l_shipdate").cast("date")
         service = F.col("service_from_date")
@@ -572,9 +591,9 @@ class WarehouseModel:
     def facts(self) -> Facts:
         """The tables in conformed shape, labels left out."""
         names = (
-            "plan provider membership_month claim_line payment_transaction claim_review policy_assignment"
+            "plan provider membership_month claim_header claim_line payment_transaction claim_review "
+            "policy_assignment"
         ).split()
         unlabelled = {name: getattr(self, name) for name in names}
-        # facts never follow the link to the prior version
-        unlabelled["claim_header"] = self._unlinked_header
-        return from_operational(unlabelled, self.service_categories)
+        facts = from_operational(unlabelled, self.service_categories)
+        return replace(facts, claims=self.layers.keep("conformed_claims", facts.claims))
