@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from checks import cost_queries, model_queries, rule_queries, star_queries  # noqa: F401
+from checks import cost_queries, model_queries, rule_queries, silver_queries, star_queries  # noqa: F401

@@ -204,7 +204,10 @@ WHERE repeat = 1"""
 
 
 def selected(model):
-    return rules.run_rules(model.facts, SETTINGS, limits_of(model))
+    """Written before any label is read: the freeze."""
+    return model.layers.keep(
+        "selected_findings", lambda: rules.run_rules(model.facts, SETTINGS, limits_of(model))
+    )
 
 
 register(

@@ -14,6 +14,7 @@ from claimloom.errors import ContractError
 from claimloom.functions.dates import month_of
 from claimloom.functions.numbers import MONEY, total
 from claimloom.operators.keys import dense_keys
+from claimloom.sources.layers import LayerStore
 
 LABEL_TABLES = ("anomaly_injection", "bridge_claim_anomaly")
 
@@ -57,35 +58,42 @@ def ledger_net(payments: DataFrame) -> DataFrame:
     return payments.groupBy("claim_id").agg(total(F.col("signed_transaction_amount")).alias("net_paid_amount"))
 
 
-def from_operational(tables: dict[str, DataFrame], service_categories: DataFrame | None = None) -> Facts:
-    """Conform operational tables; plan and provider keys are the dense keys of the star schema."""
+def from_operational(
+    tables: dict[str, DataFrame],
+    service_categories: DataFrame | None = None,
+    layers: LayerStore | None = None,
+) -> Facts:
+    """Conform operational tables; plan and provider keys are the dense keys of the star schema.
+
+    With a layer store, keys and conformed claims are written once and shared by later steps.
+    """
     refuse_labels(tables)
-    plan_keys = dense_keys(tables["plan"], ["plan_id"], "plan_key")
-    provider_keys = dense_keys(tables["provider"], ["provider_id"], "provider_key")
-    headers = with_current_flag(tables["claim_header"])
-    claims = (
-        headers.join(ledger_net(tables["payment_transaction"]), "claim_id", "left")
-        .withColumn("net_paid_amount", F.coalesce("net_paid_amount", F.lit(0)).cast(MONEY))
-        .join(plan_keys, "plan_id")
-        .join(
-            tables["provider"]
-            .join(provider_keys, "provider_id")
-            .select(
-                F.col("provider_id").alias("billing_provider_id"),
-                F.col("provider_key").alias("billing_provider_key"),
-                "specialty_group",
-            ),
-            "billing_provider_id",
-        )
-        .withColumn("service_month", month_of(F.col("service_from_date")))
-        .withColumnRenamed("service_from_date", "service_date")
-    )
-    lines = tables["claim_line"].withColumn(
-        "plan_paid_amount", (F.col("allowed_amount") - F.col("member_liability_amount")).cast(MONEY)
+    keep = layers.keep if layers else lambda name, build: build()
+    plan_keys = keep("plan_key", lambda: dense_keys(tables["plan"], ["plan_id"], "plan_key"))
+    provider_keys = keep(
+        "provider_key", lambda: dense_keys(tables["provider"], ["provider_id"], "provider_key")
     )
+
+    def conformed_claims() -> DataFrame:
+        providers = tables["provider"].join(provider_keys, "provider_id").select(
+            F.col("provider_id").alias("billing_provider_id"),
+            F.col("provider_key").alias("billing_provider_key"),
+            "specialty_group",
+        )
+        return (
+            with_current_flag(tables["claim_header"])
+            .join(ledger_net(tables["payment_transaction"]), "claim_id", "left")
+            .withColumn("net_paid_amount", F.coalesce("net_paid_amount", F.lit(0)).cast(MONEY))
+            .join(plan_keys, "plan_id")
+            .join(providers, "billing_provider_id")
+            .withColumn("service_month", month_of(F.col("service_from_date")))
+            .withColumnRenamed("service_from_date", "service_date")
+        )
+
+    plan_paid = (F.col("allowed_amount") - F.col("member_liability_amount")).cast(MONEY)
     return Facts(
-        claims=claims,
-        lines=lines,
+        claims=keep("conformed_claims", conformed_claims),
+        lines=tables["claim_line"].withColumn("plan_paid_amount", plan_paid),
         payments=tables["payment_transaction"],
         memberships=tables["membership_month"].join(plan_keys, "plan_id"),
         reviews=tables["claim_review"],

@@ -6,8 +6,9 @@ building one table only numbers the keys it refers to.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,14 +49,14 @@ class Star:
         self.source_variant = source_variant
         self.layers = layers
 
-    def _keep(self, name: str, frame: DataFrame) -> DataFrame:
+    def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Key tables are read by several facts, so they are written once where a store is given."""
-        return self.layers.keep(name, frame) if self.layers else frame
+        return self.layers.keep(name, build) if self.layers else build()
 
     # -- keys -------------------------------------------------------------------------------
 
     def _keys(self, table: str, business_key: str, key: str) -> DataFrame:
-        return self._keep(key, dense_keys(self.source[table], [business_key], key))
+        return self._keep(key, lambda: dense_keys(self.source[table], [business_key], key))
 
     @cached_property
     def member_keys(self) -> DataFrame:
@@ -84,23 +85,27 @@ class Star:
     @cached_property
     def service_keys(self) -> DataFrame:
         pair = ["service_code_system", "service_code"]
-        return self._keep("service_key", dense_keys(self.source["claim_line"], pair, "service_key"))
+        return self._keep(
+            "service_key", lambda: dense_keys(self.source["claim_line"], pair, "service_key")
+        )
 
     @cached_property
     def dim_date(self) -> DataFrame:
         """Every date used anywhere, numbered in order."""
-        used = None
-        for table, names in DATE_COLUMNS.items():
-            if table not in self.source:
-                continue
-            # one pass over each table for all of its date roles
-            days = self.source[table].select(
-                F.explode(F.array_distinct(F.array(*names))).alias("calendar_date")
-            ).distinct()
-            used = days if used is None else used.unionByName(days)
         day = F.col("calendar_date")
-        keys = dense_keys(used.filter(day.isNotNull()), ["calendar_date"], "date_key", "int")
-        numbered = self._keep("date_key", keys)
+
+        def used_days() -> DataFrame:
+            # one pass over each table for all of its date roles
+            parts = [
+                self.source[table]
+                .select(F.explode(F.array_distinct(F.array(*names))).alias("calendar_date"))
+                .distinct()
+                for table, names in DATE_COLUMNS.items()
+                if table in self.source
+            ]
+            return reduce(DataFrame.unionByName, parts).filter(day.isNotNull())
+
+        numbered = self._keep("date_key", lambda: dense_keys(used_days(), ["calendar_date"], "date_key", "int"))
         return numbered.select(
             "date_key",
             day,

@@ -8,12 +8,14 @@ recomputing it, and a lost executor costs a re-read, not the lineage.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from claimloom.session import ensure_checkpoint_dir
 
-_written: dict[str, set[str]] = {}
+_written: dict[str, dict[str, StructType]] = {}
 
 
 class LayerStore:
@@ -26,15 +28,16 @@ class LayerStore:
         self.spark = spark
         self.root = f"{context.getCheckpointDir()}/layers/{context.applicationId}/{digest}"
 
-    def keep(self, name: str, frame: DataFrame) -> DataFrame:
-        """Write ``frame`` under ``name`` if this application has not yet, and read it back.
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Write what ``build`` returns under ``name`` if not yet written, and read it back.
 
         No bucketing by claim: a claim holding a large share of rows would fill one bucket, while
         shuffled joins are split when skewed.
         """
-        names = _written.setdefault(self.root, set())
+        schemas = _written.setdefault(self.root, {})
         path = f"{self.root}/{name}"
-        if name not in names:
+        if name not in schemas:
+            frame = build()
             frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
-            names.add(name)
-        return self.spark.read.schema(frame.schema).parquet(path)
+            schemas[name] = frame.schema
+        return self.spark.read.schema(schemas[name]).parquet(path)

@@ -8,7 +8,6 @@ overpayments) together with the labels that name them.
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -198,7 +197,7 @@ class WarehouseModel:
 
     @cached_property
     def membership_month(self) -> DataFrame:
-        return self.layers.keep("membership_month", self._membership_month)
+        return self.layers.keep("membership_month", lambda: self._membership_month)
 
     @cached_property
     def _membership_month(self) -> DataFrame:
@@ -300,7 +299,7 @@ class WarehouseModel:
 
     @cached_property
     def claim_line(self) -> DataFrame:
-        return self.layers.keep("claim_line", self._claim_line)
+        return self.layers.keep("claim_line", lambda: self._claim_line)
 
     @cached_property
     def _claim_line(self) -> DataFrame:
@@ -335,7 +334,7 @@ class WarehouseModel:
 
     @cached_property
     def claim_header(self) -> DataFrame:
-        return self.layers.keep("claim_header", self._claim_header)
+        return self.layers.keep("claim_header", lambda: self._claim_header)
 
     @cached_property
     def _claim_header(self) -> DataFrame:
@@ -399,7 +398,7 @@ class WarehouseModel:
 
     @cached_property
     def payment_transaction(self) -> DataFrame:
-        return self.layers.keep("payment_transaction", self._payment_transaction)
+        return self.layers.keep("payment_transaction", lambda: self._payment_transaction)
 
     @cached_property
     def _payment_transaction(self) -> DataFrame:
@@ -595,5 +594,4 @@ class WarehouseModel:
             "policy_assignment"
         ).split()
         unlabelled = {name: getattr(self, name) for name in names}
-        facts = from_operational(unlabelled, self.service_categories)
-        return replace(facts, claims=self.layers.keep("conformed_claims", facts.claims))
+        return from_operational(unlabelled, self.service_categories, self.layers)
