@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import reduce  # noqa: F401
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -5,7 +5,7 @@ Marts, rules and the policy panel read this shape only.  It never contains label
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace  # noqa: F401
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

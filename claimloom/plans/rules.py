@@ -237,15 +237,16 @@ def peer_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
         )
         .withColumn("_bucket", F.floor(amount / BUCKET))
     )
+    # the whole struct travels so that both uses of ``distinct`` share one exchange
     buckets = distinct.groupBy(*PEERS, "_bucket").agg(
-        F.max("allowed_amount").alias("_top"), F.sum("_lines").alias("_bucket_lines")
+        F.max(F.struct("allowed_amount", "_first")).alias("_top"), F.sum("_lines").alias("_bucket_lines")
     )
     ordered = Window.partitionBy(*PEERS).orderBy("_bucket")
     everything = Window.partitionBy(*PEERS)
     below = buckets.select(
         *PEERS,
         "_bucket",
-        F.lag("_top").over(ordered).alias("_below"),
+        F.lag("_top.allowed_amount").over(ordered).alias("_below"),
         F.sum("_bucket_lines").over(everything).alias("_peers"),
     ).filter(F.col("_peers") >= settings.minimum_peer_count)
     inside = Window.partitionBy(*PEERS, "_bucket").orderBy("allowed_amount")
@@ -265,13 +266,18 @@ def unusual_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
         amount, lower.alias("_comparison"),
     )
     # later lines of a tie compare with an equal amount, which passes only at or below two cents
-    tied = values.filter((F.col("_lines") > 1) & (amount >= limit(amount))).select(
-        *PEERS, "allowed_amount", F.col("_first.claim_line_id").alias("_first_line")
+    small = peer_lines(facts).filter(amount >= limit(amount))
+    tied = small.groupBy(*PEERS, "allowed_amount").agg(F.min("claim_line_id").alias("_first_line"))
+    large = (
+        peer_lines(facts)
+        .groupBy(*PEERS)
+        .agg(F.count("*").alias("_peers"))
+        .filter(F.col("_peers") >= settings.minimum_peer_count)
     )
     rest = (
-        peer_lines(facts)
-        .join(tied, [*PEERS, "allowed_amount"])
+        small.join(tied, [*PEERS, "allowed_amount"])
         .filter(F.col("claim_line_id") != F.col("_first_line"))
+        .join(large, list(PEERS), "left_semi")
         .select("claim_line_id", "claim_id", "provider_id", "allowed_amount",
                 F.col("allowed_amount").alias("_comparison"))
     )
