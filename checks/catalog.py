@@ -1,3 +1,14 @@
 """Imports every module that registers queries."""
 
-from checks import cost_queries, integrity_queries, model_queries, policy_queries, rule_queries, seeding_queries, silver_queries, star_queries  # noqa: F401
+from checks import (  # noqa: F401
+    cost_queries,
+    integrity_queries,
+    model_queries,
+    policy_queries,
+    relational_queries,
+    reporting_queries,
+    rule_queries,
+    seeding_queries,
+    silver_queries,
+    star_queries,
+)
