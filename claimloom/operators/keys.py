@@ -53,17 +53,21 @@ def dense_positions(df: DataFrame, order: list[str], position: str = "position")
     )
 
 
-def dense_keys(df: DataFrame, business_key: list[str], key: str, key_type: str = "bigint") -> DataFrame:
+def dense_keys(
+    df: DataFrame, business_key: list[str], key: str, key_type: str = "bigint", few: bool = False
+) -> DataFrame:
     """Distinct business keys with a stable 1..N key in sorted order.
 
-    A probe reads at most ``SMALL_KEYS`` + 1 of them; only larger key sets take the ranged way.
+    Tables of at most ``SMALL_KEYS`` rows are numbered on the driver; a probe of that many rows
+    decides.  ``few`` says that a long table holds few distinct keys, so those are probed instead.
     """
     distinct = df.select(*business_key).distinct()
-    probe = distinct.limit(SMALL_KEYS + 1).collect()
+    sample = distinct if few else df.select(*business_key)
+    probe = sample.limit(SMALL_KEYS + 1).collect()
     if len(probe) <= SMALL_KEYS:
         schema = T.StructType([*distinct.schema.fields, T.StructField(key, T.LongType())])
         # code point order equals Spark's byte order for text
-        ordered = sorted(probe, key=lambda row: tuple((value is not None, value) for value in row))
+        ordered = sorted(set(probe), key=lambda row: tuple((value is not None, value) for value in row))
         rows = [(*row, number) for number, row in enumerate(ordered, start=1)]
         keyed = df.sparkSession.createDataFrame(rows, schema)
         return keyed.withColumn(key, F.col(key).cast(key_type))

@@ -16,7 +16,7 @@ from claimloom.functions.numbers import MONEY, RATE, total
 from claimloom.plans.conformed import Facts
 
 RANK = "decimal(38,12)"
-BUCKET = 100  # a money bucket holds at most 10,000 distinct cent amounts
+BUCKET = 10_000  # a money bucket holds at most a million distinct cent amounts
 
 SERVICE = ("service_code_system", "service_code")
 NEAR_SIGNATURE = (
@@ -68,23 +68,28 @@ def id_number(identifier: Column) -> Column:
 
 
 def exact_duplicates(facts: Facts) -> DataFrame:
-    """PI001: exactly two equal lines, the first of the claim and its last."""
+    """PI001: exactly two equal lines, the first of the claim and its last.
+
+    Groups keep numbers only, which hash-aggregate; the few flagged lines are looked up afterwards.
+    """
     groups = (
         facts.lines.groupBy("claim_id", *NEAR_SIGNATURE, "units")
         .agg(
             F.count("*").alias("_size"),
             F.min("line_number").alias("_first"),
-            F.max(F.struct("line_number", "claim_line_id", "plan_paid_amount")).alias("_copy"),
+            F.max("line_number").alias("line_number"),
         )
         .filter((F.col("_size") == 2) & (F.col("_first") == 1))
+        .select("claim_id", "line_number", "_size")
     )
-    flagged = groups.join(last_lines(facts), "claim_id").filter(
-        F.col("_copy.line_number") == F.col("_last_line")
+    flagged = groups.join(last_lines(facts), "claim_id").filter(F.col("line_number") == F.col("_last_line"))
+    copies = facts.lines.select("claim_id", "line_number", "claim_line_id", "plan_paid_amount").join(
+        flagged, ["claim_id", "line_number"]
     )
-    line = F.col("_copy.claim_line_id")
-    return flagged.select(
+    line = F.col("claim_line_id")
+    return copies.select(
         *candidate(
-            "PI001", "claim_line", "fact_claim_line", line, F.col("_copy.plan_paid_amount"),
+            "PI001", "claim_line", "fact_claim_line", line, F.col("plan_paid_amount"),
             "Claim line exactly duplicates another service line.", "duplicate_line_count",
             F.col("_size"), F.lit(1), id_number(line), claim_id=F.col("claim_id"), claim_line_id=line,
         )
@@ -231,22 +236,18 @@ def peer_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
     distinct = (
         peer_lines(facts)
         .groupBy(*PEERS, "allowed_amount")
-        .agg(
-            F.count("*").alias("_lines"),
-            F.min(F.struct("claim_line_id", "claim_id", "provider_id")).alias("_first"),
-        )
+        .agg(F.count("*").alias("_lines"))
         .withColumn("_bucket", F.floor(amount / BUCKET))
     )
-    # the whole struct travels so that both uses of ``distinct`` share one exchange
     buckets = distinct.groupBy(*PEERS, "_bucket").agg(
-        F.max(F.struct("allowed_amount", "_first")).alias("_top"), F.sum("_lines").alias("_bucket_lines")
+        F.max("allowed_amount").alias("_top"), F.sum("_lines").alias("_bucket_lines")
     )
     ordered = Window.partitionBy(*PEERS).orderBy("_bucket")
     everything = Window.partitionBy(*PEERS)
     below = buckets.select(
         *PEERS,
         "_bucket",
-        F.lag("_top.allowed_amount").over(ordered).alias("_below"),
+        F.lag("_top").over(ordered).alias("_below"),
         F.sum("_bucket_lines").over(everything).alias("_peers"),
     ).filter(F.col("_peers") >= settings.minimum_peer_count)
     inside = Window.partitionBy(*PEERS, "_bucket").orderBy("allowed_amount")
@@ -261,29 +262,21 @@ def unusual_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
     limit = lambda value: F.bround(value * times, 2).cast(MONEY)
     amount, lower = F.col("allowed_amount"), F.col("_lower")
     values = peer_amounts(facts, settings)
-    first = values.filter(lower.isNotNull() & (amount >= limit(lower))).select(
-        F.col("_first.claim_line_id"), F.col("_first.claim_id"), F.col("_first.provider_id"),
-        amount, lower.alias("_comparison"),
-    )
+    above_lower = lower.isNotNull() & (amount >= limit(lower))
     # later lines of a tie compare with an equal amount, which passes only at or below two cents
-    small = peer_lines(facts).filter(amount >= limit(amount))
-    tied = small.groupBy(*PEERS, "allowed_amount").agg(F.min("claim_line_id").alias("_first_line"))
-    large = (
-        peer_lines(facts)
-        .groupBy(*PEERS)
-        .agg(F.count("*").alias("_peers"))
-        .filter(F.col("_peers") >= settings.minimum_peer_count)
-    )
-    rest = (
-        small.join(tied, [*PEERS, "allowed_amount"])
-        .filter(F.col("claim_line_id") != F.col("_first_line"))
-        .join(large, list(PEERS), "left_semi")
-        .select("claim_line_id", "claim_id", "provider_id", "allowed_amount",
-                F.col("allowed_amount").alias("_comparison"))
-    )
+    passes_tied = (F.col("_lines") > 1) & (amount >= limit(amount))
+    flagged = values.filter(above_lower | passes_tied).select(
+        *PEERS, "allowed_amount", "_lower", above_lower.alias("_first_flagged"), passes_tied.alias("_rest_flagged")
+    )
+    matched = peer_lines(facts).join(flagged, [*PEERS, "allowed_amount"])
+    firsts = matched.groupBy(*PEERS, "allowed_amount").agg(F.min("claim_line_id").alias("_first_line"))
+    is_first = F.col("claim_line_id") == F.col("_first_line")
+    compared = matched.join(firsts, [*PEERS, "allowed_amount"]).filter(
+        (is_first & F.col("_first_flagged")) | (~is_first & F.col("_rest_flagged"))
+    ).withColumn("_comparison", F.when(is_first, lower).otherwise(amount))
     threshold = limit(F.col("_comparison"))
     line = F.col("claim_line_id")
-    return first.unionByName(rest).select(
+    return compared.select(
         *candidate(
             "PI007", "provider", "fact_claim_line", line, amount - F.col("_comparison"),
             "Provider line amount exceeds the specialty peer threshold.", "allowed_amount",

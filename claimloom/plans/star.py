@@ -105,7 +105,7 @@ class Star:
             ]
             return reduce(DataFrame.unionByName, parts).filter(day.isNotNull())
 
-        numbered = self._keep("date_key", lambda: dense_keys(used_days(), ["calendar_date"], "date_key", "int"))
+        numbered = self._keep("date_key", lambda: dense_keys(used_days(), ["calendar_date"], "date_key", "int", few=True))
         return numbered.select(
             "date_key",
             day,
