@@ -10,5 +10,6 @@ from checks import (  # noqa: F401
     rule_queries,
     seeding_queries,
     silver_queries,
+    source_queries,
     star_queries,
 )

@@ -41,17 +41,22 @@ def read_text_csv(
     aliases: dict[str, str] | None = None,
     encoding: str = "utf-8",
     acquired_at: str = "",
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Every source column as text plus lineage; malformed rows and undecodable bytes fail the job.
 
     The checks are part of the rows' own columns, so they run whenever the rows are written.
+    Large files are split between tasks; a quoted line break then shows as a malformed row, and the
+    file has to be read with ``multi_line`` (one task per file).  A single column could hide such a
+    break, so one-column files are read that way from the start.
     """
     # renames may differ by case only, so header names are matched exactly
     header = read_header(spark, path, encoding)
     renames = active_aliases(header, aliases)
     schema = ", ".join(f"`{name}` string" for name in header) + f", {MALFORMED} string"
     rows = spark.read.schema(schema).csv(
-        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, multiLine=True, escape='"',
+        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
+        multiLine=len(header) == 1 if multi_line is None else multi_line, escape='"',
         encoding=CHARSETS.get(encoding, encoding), enforceSchema=True,
     )
     broken = F.col(MALFORMED).isNotNull()
@@ -71,21 +76,21 @@ def read_text_csv(
     )
 
 
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """File paths directly under a folder of any Hadoop file system."""
+def list_entries(spark: SparkSession, folder: str) -> list[str]:
+    """Paths directly under a folder of any Hadoop file system."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         raise ContractError(f"missing folder {folder}")
-    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
+    return sorted(status.getPath().toString() for status in fs.listStatus(path))
 
 
 def discover_annual_files(spark: SparkSession, root: str, source_id: str, years: Sequence[int]) -> dict[int, str]:
-    """Exactly one CSV per requested year under root/source/year."""
+    """Exactly one CSV (a file, or a folder of parts named like one) per year under root/source/year."""
     found = {}
     for year in sorted(years):
-        files = [f for f in list_files(spark, f"{root}/{source_id}/{year}") if re.search(r"(?i)\.csv$", f)]
+        files = [f for f in list_entries(spark, f"{root}/{source_id}/{year}") if re.search(r"(?i)\.csv$", f)]
         if len(files) != 1:
             raise ContractError(f"expected one CSV for {source_id} {year}, found {len(files)}")
         found[year] = files[0]

@@ -104,3 +104,19 @@ def test_stable_sample_and_latest(spark):
     assert publish.stable_sample(df, ["key", "v"], 1).first()["x"] == "only"
     newest = {r["key"]: r["x"] for r in landing.latest_per_key(df, ["key"], F.col("v")).collect()}
     assert newest == {"k": "new", "j": "only"}
+
+
+def test_quoted_line_breaks_need_the_unsplit_reader(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'A,B\n1,"x\ny"\n2,z\n')
+    with pytest.raises(Exception, match="malformed row"):
+        landing.read_text_csv(spark, path, "s", 2020).collect()
+    rows = landing.read_text_csv(spark, path, "s", 2020, multi_line=True).collect()
+    assert [r["B"] for r in rows] == ["x\ny", "z"]
+
+
+def test_folder_of_parts_counts_as_one_annual_file(spark, tmp_path):
+    spark.createDataFrame([("1", "a"), ("2", "b")], "A string, B string").repartition(2).write.csv(
+        str(tmp_path / "fam" / "2020" / "fam.csv"), header=True)
+    found = landing.discover_annual_files(spark, str(tmp_path), "fam", [2020])
+    rows = landing.read_text_csv(spark, found[2020], "fam", 2020).collect()
+    assert sorted(r["A"] for r in rows) == ["1", "2"]
