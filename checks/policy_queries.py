@@ -84,12 +84,40 @@ EFFECT_SPEC = (
 )
 
 
+RESULTS = ("policy_effect_estimate", "event_study_estimate", "policy_diagnostic")
+
+
 def estimates(model):
-    return policy.estimate_policy(panel(model), DESIGN)
+    """The three result tables; one pair of passes fills all of them."""
+    computed = {}
+
+    def table(name):
+        if not computed:
+            computed.update(policy.estimate_policy(panel(model), DESIGN))
+        return computed[name]
+
+    return {name: model.layers.keep(name, lambda name=name: table(name)) for name in RESULTS}
 
 
 # solved from cross products on a written panel: no SQL counterpart; tests compare with dense least squares
 register("l2_policy_effects", lambda m: estimates(m)["policy_effect_estimate"], EFFECT_SPEC, None)
+register(
+    "l4_unweighted_effects",
+    lambda m: estimates(m)["policy_effect_estimate"].filter("specification = 'unweighted_provider_month'"),
+    EFFECT_SPEC,
+    None,
+)
+register(
+    "l6_interval_violations",
+    lambda m: estimates(m)["policy_effect_estimate"].filter(
+        "coefficient not between confidence_interval_lower and confidence_interval_upper "
+        "or abs(confidence_interval_upper - coefficient - 1.96 * standard_error) > 0.001 or p_value not between 0 and 1"
+    ),
+    EFFECT_SPEC,
+    "SELECT '' AS run_id, '' AS outcome_name, '' AS specification, 0 AS coefficient, 0 AS standard_error, "
+    "0 AS confidence_interval_lower, 0 AS confidence_interval_upper, 0 AS p_value, 0 AS provider_count, "
+    "0 AS observation_count WHERE FALSE",
+)
 register(
     "l5_event_study",
     lambda m: estimates(m)["event_study_estimate"],
@@ -97,13 +125,14 @@ register(
     "confidence_interval_lower:num confidence_interval_upper:num p_value:num",
     None,
 )
-register(
-    "l7_policy_diagnostics",
-    lambda m: estimates(m)["policy_diagnostic"],
+DIAGNOSTIC_SPEC = (
     "run_id:text outcome_name:text diagnostic_name:text specification:text statistic:num p_value:num "
-    "passed:bool explanation:text",
-    None,
+    "passed:bool explanation:text"
 )
+register("l7_pretrend_tests",
+         lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'parallel_trends'"), DIAGNOSTIC_SPEC, None)
+register("l8_placebo_tests",
+         lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'placebo_policy_date'"), DIAGNOSTIC_SPEC, None)
 
 
 def four(column):

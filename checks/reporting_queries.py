@@ -28,7 +28,7 @@ def marts(model):
 
 
 def effects(model):
-    return model.layers.keep("policy_effects", lambda: estimates(model)["policy_effect_estimate"])
+    return estimates(model)["policy_effect_estimate"]
 
 
 SUBQUERIES["b_leads"] = """

@@ -233,11 +233,15 @@ def peer_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
     same money bucket or, for a bucket's lowest amount, from the nearest lower bucket.
     """
     amount = F.col("allowed_amount")
+    key = [*PEERS, "_bucket", "allowed_amount"]
+    known = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in key])
+    # the filter keeps both uses of ``distinct`` alike, so that they share one exchange
     distinct = (
         peer_lines(facts)
-        .groupBy(*PEERS, "allowed_amount")
-        .agg(F.count("*").alias("_lines"))
         .withColumn("_bucket", F.floor(amount / BUCKET))
+        .filter(known)
+        .groupBy(*key)
+        .agg(F.count("*").alias("_lines"))
     )
     buckets = distinct.groupBy(*PEERS, "_bucket").agg(
         F.max("allowed_amount").alias("_top"), F.sum("_lines").alias("_bucket_lines")

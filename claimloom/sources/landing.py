@@ -16,8 +16,16 @@ MALFORMED = "_malformed"
 CHARSETS = {"cp1252": "windows-1252"}
 
 
+def charset(spark: SparkSession, encoding: str) -> str:
+    """Java name of a source encoding; windows code pages need the session's full charset list."""
+    name = CHARSETS.get(encoding, encoding)
+    if name.startswith("windows") and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        raise ContractError(f"{encoding} sources need spark.sql.legacy.javaCharsets=true in the session")
+    return name
+
+
 def read_header(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
-    reader = spark.read.option("header", True).option("encoding", CHARSETS.get(encoding, encoding))
+    reader = spark.read.option("header", True).option("encoding", charset(spark, encoding))
     return reader.csv(path, inferSchema=False).columns
 
 
@@ -57,7 +65,7 @@ def read_text_csv(
     rows = spark.read.schema(schema).csv(
         path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
         multiLine=len(header) == 1 if multi_line is None else multi_line, escape='"',
-        encoding=CHARSETS.get(encoding, encoding), enforceSchema=True,
+        encoding=charset(spark, encoding), enforceSchema=True,
     )
     broken = F.col(MALFORMED).isNotNull()
     damaged = F.lit(False)

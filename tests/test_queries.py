@@ -39,8 +39,9 @@ def test_entry_points_agree():
     names, oracles = entry_points.queries(), entry_points.oracle_sql()
     assert set(oracles) <= set(names) and len(names) > 150
     without = sorted(set(names) - set(oracles))
-    assert without == ["g7_content_fingerprints", "k11_field_changes", "l2_policy_effects", "l5_event_study",
-                       "l7_policy_diagnostics", "m4_reference_metric_table", "r14_seeded_backtest"]
+    assert without == ["g7_content_fingerprints", "k11_field_changes", "l2_policy_effects", "l4_unweighted_effects",
+                       "l5_event_study", "l7_pretrend_tests", "l8_placebo_tests", "m4_reference_metric_table",
+                       "r14_seeded_backtest"]
 
 
 def test_flagship_runs(spark):
