@@ -23,6 +23,60 @@ RULES = (
     ("PI010", "Inconsistent diagnosis and procedure category", "medium", "0.65"),
 )
 
+# label scope, target table, explanation and evidence name of each rule's findings
+FINDING_TEXTS = {
+    "PI001": (
+        "claim_line", "fact_claim_line",
+        "Claim line exactly duplicates another service line.",
+        "duplicate_line_count",
+    ),
+    "PI002": (
+        "claim_line", "fact_claim_line",
+        "Claim line is a near duplicate with changed service units.",
+        "near_duplicate_units",
+    ),
+    "PI003": (
+        "payment_transaction", "fact_payment_transaction",
+        "Positive repayment remains after a full reversal sequence.",
+        "unresolved_repayment",
+    ),
+    "PI004": (
+        "payment_transaction", "fact_payment_transaction",
+        "Payment transaction date precedes the claim service date.",
+        "transaction_date",
+    ),
+    "PI005": (
+        "claim", "fact_claim",
+        "Claim header allowed amount does not reconcile to its lines.",
+        "header_allowed_amount",
+    ),
+    "PI006": (
+        "claim", "fact_claim",
+        "Net payment exceeds allowed amount less member liability.",
+        "net_paid_amount",
+    ),
+    "PI007": (
+        "provider", "fact_claim_line",
+        "Provider line amount exceeds the specialty peer threshold.",
+        "allowed_amount",
+    ),
+    "PI008": (
+        "provider_period", "fact_claim",
+        "Provider monthly claim volume exceeds its historical baseline.",
+        "provider_month_claim_count",
+    ),
+    "PI009": (
+        "claim", "fact_claim",
+        "Procedure frequency exceeds the configured claim limit.",
+        "service_code_frequency",
+    ),
+    "PI010": (
+        "claim", "fact_claim",
+        "Principal diagnosis is incompatible with the governed procedure category.",
+        "diagnosis_procedure_categories",
+    ),
+}
+
 SERVICE_LIMITS = {
     "HCPCS": {"99213": 4, "99214": 4, "93000": 2, "97110": 4, "90834": 2},
     "APC": {"5012": 3, "5072": 3, "5112": 3, "5523": 3, "8011": 3},

@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.contracts.review_rules import COMPATIBLE_DIAGNOSES, DIAGNOSIS_CATEGORIES, RULES, RuleSettings
+from claimloom.contracts.review_rules import (
+    COMPATIBLE_DIAGNOSES, DIAGNOSIS_CATEGORIES, FINDING_TEXTS, RULES, RuleSettings,
+)
 from claimloom.functions.numbers import MONEY, RATE, total
 from claimloom.plans.conformed import Facts
 
@@ -27,18 +29,15 @@ NEAR_SIGNATURE = (
 
 def candidate(
     rule_id: str,
-    scope: str,
-    target_table: str,
     target: Column,
     amount: Column,
-    explanation: str,
-    evidence: str,
     observed: Column,
     threshold: Column | None = None,
     rank: Column | None = None,
     **ids: Column,
 ) -> list[Column]:
     """Columns of a candidate row; the rank defaults to the raw amount."""
+    scope, target_table, explanation, evidence = FINDING_TEXTS[rule_id]
     text = lambda name: ids.get(name, F.lit(None)).cast("string").alias(name)
     return [
         F.lit(rule_id).alias("rule_id"),
@@ -89,8 +88,7 @@ def exact_duplicates(facts: Facts) -> DataFrame:
     line = F.col("claim_line_id")
     return copies.select(
         *candidate(
-            "PI001", "claim_line", "fact_claim_line", line, F.col("plan_paid_amount"),
-            "Claim line exactly duplicates another service line.", "duplicate_line_count",
+            "PI001", line, F.col("plan_paid_amount"),
             F.col("_size"), F.lit(1), id_number(line), claim_id=F.col("claim_id"), claim_line_id=line,
         )
     )
@@ -136,8 +134,7 @@ def near_duplicates(facts: Facts) -> DataFrame:
     text = F.concat(F.lit("['"), F.array_join("_units", "', '"), F.lit("']"))
     return listed.select(
         *candidate(
-            "PI002", "claim_line", "fact_claim_line", line, F.col("plan_paid_amount"),
-            "Claim line is a near duplicate with changed service units.", "near_duplicate_units",
+            "PI002", line, F.col("plan_paid_amount"),
             F.col("units"), text, claim_id=F.col("claim_id"), claim_line_id=line,
         )
     )
@@ -159,8 +156,7 @@ def repayments_after_reversal(facts: Facts) -> DataFrame:
     )
     return later.select(
         *candidate(
-            "PI003", "payment_transaction", "fact_payment_transaction", payment, amount,
-            "Positive repayment remains after a full reversal sequence.", "unresolved_repayment",
+            "PI003", payment, amount,
             amount, F.lit("0.00"), claim_id=F.col("claim_id"), payment_transaction_id=payment,
         )
     )
@@ -174,8 +170,7 @@ def impossible_dates(facts: Facts) -> DataFrame:
     )
     return early.select(
         *candidate(
-            "PI004", "payment_transaction", "fact_payment_transaction", payment, F.lit(0).cast(MONEY),
-            "Payment transaction date precedes the claim service date.", "transaction_date",
+            "PI004", payment, F.lit(0).cast(MONEY),
             F.col("transaction_date"), F.col("service_date"),
             claim_id=F.col("claim_id"), payment_transaction_id=payment,
         )
@@ -193,8 +188,7 @@ def header_mismatches(facts: Facts) -> DataFrame:
         .filter(header != lines)
         .select(
             *candidate(
-                "PI005", "claim", "fact_claim", claim, F.abs(header - lines),
-                "Claim header allowed amount does not reconcile to its lines.", "header_allowed_amount",
+                "PI005", claim, F.abs(header - lines),
                 header, lines, claim_id=claim,
             )
         )
@@ -207,8 +201,7 @@ def overpayments(facts: Facts) -> DataFrame:
     paid, claim = F.col("net_paid_amount"), F.col("claim_id")
     return facts.claims.filter(paid > governed).select(
         *candidate(
-            "PI006", "claim", "fact_claim", claim, paid - governed,
-            "Net payment exceeds allowed amount less member liability.", "net_paid_amount",
+            "PI006", claim, paid - governed,
             paid, governed, claim_id=claim,
         )
     )
@@ -282,8 +275,7 @@ def unusual_amounts(facts: Facts, settings: RuleSettings) -> DataFrame:
     line = F.col("claim_line_id")
     return compared.select(
         *candidate(
-            "PI007", "provider", "fact_claim_line", line, amount - F.col("_comparison"),
-            "Provider line amount exceeds the specialty peer threshold.", "allowed_amount",
+            "PI007", line, amount - F.col("_comparison"),
             amount, threshold,
             F.when(threshold != 0, F.try_divide(amount, threshold).cast(RANK)).otherwise(amount.cast(RANK)),
             claim_id=F.col("claim_id"), claim_line_id=line, provider_id=F.col("provider_id"),
@@ -322,9 +314,7 @@ def utilization_surges(facts: Facts, settings: RuleSettings) -> DataFrame:
     target = F.concat_ws(":", "provider_id", F.col("reporting_period").cast("string"))
     return surge.select(
         *candidate(
-            "PI008", "provider_period", "fact_claim", target, F.col("_paid"),
-            "Provider monthly claim volume exceeds its historical baseline.",
-            "provider_month_claim_count", F.col("_claims"), threshold.cast(RATE),
+            "PI008", target, F.col("_paid"), F.col("_claims"), threshold.cast(RATE),
             provider_id=F.col("provider_id"), reporting_period=F.col("reporting_period"),
         )
     )
@@ -353,8 +343,7 @@ def repeated_procedures(facts: Facts, limits: DataFrame) -> DataFrame:
     claim = F.col("claim_id")
     return excess.select(
         *candidate(
-            "PI009", "claim", "fact_claim", claim, F.col("_excess"),
-            "Procedure frequency exceeds the configured claim limit.", "service_code_frequency",
+            "PI009", claim, F.col("_excess"),
             F.col("_count"), F.col("_limit"), F.col("_newest"), claim_id=claim,
         )
     )
@@ -388,9 +377,7 @@ def diagnosis_mismatches(facts: Facts, settings: RuleSettings) -> DataFrame:
         .filter(diagnosis == F.element_at(constant_map(never), F.col("_category")))
         .select(
             *candidate(
-                "PI010", "claim", "fact_claim", claim, F.lit(0).cast(MONEY),
-                "Principal diagnosis is incompatible with the governed procedure category.",
-                "diagnosis_procedure_categories",
+                "PI010", claim, F.lit(0).cast(MONEY),
                 F.concat_ws(":", F.element_at(constant_map(diagnoses), diagnosis), "_category"),
                 F.lit("compatible category mapping"), claim_id=claim,
             )

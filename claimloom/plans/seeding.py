@@ -27,6 +27,7 @@ HEADER_OF_LINE = {
     "total_allowed_amount": "allowed_amount",
     "total_member_liability_amount": "member_liability_amount",
 }
+# fixed values: target table, injection method and label scope of each rule
 METHODS = {
     "PI001": ("claim_line", "row_insertion", "claim_line"),
     "PI002": ("claim_line", "row_insertion", "claim_line"),
