@@ -20,6 +20,8 @@ ROW_BITS = 33
 HOT_KEY_ROWS = 2_000_000
 # sampled rows expected of a key at that size, plenty to notice it
 HOT_KEY_SAMPLE = 200
+# the largest keys take the ranged way, any further ones the window; both are exact
+MAX_HOT_KEYS = 1_000
 
 # dimensions up to this many distinct keys are numbered on the driver
 SMALL_KEYS = 10_000
@@ -80,7 +82,7 @@ def _hot_keys(df: DataFrame, digest: Column, hot_rows: int) -> list[int]:
     """Digests of the keys that hold about ``hot_rows`` rows or more.
 
     A thin sample finds them; missing one costs speed, never rows, as both ways of numbering are
-    exact.  At most one key per ``hot_rows`` / 2 table rows is returned.
+    exact.  At most ``MAX_HOT_KEYS`` are returned, largest first.
     """
     fraction = min(1.0, HOT_KEY_SAMPLE / hot_rows)
     keyed = df.select(digest.alias("_digest"))
@@ -88,7 +90,8 @@ def _hot_keys(df: DataFrame, digest: Column, hot_rows: int) -> list[int]:
     if memo not in _known_hot_keys:
         sampled = keyed if fraction == 1.0 else keyed.sample(fraction, seed=7)
         counted = sampled.groupBy("_digest").count()
-        frequent = counted.filter(F.col("count") >= max(1.0, hot_rows * fraction / 2)).collect()
+        large = counted.filter(F.col("count") >= max(1.0, hot_rows * fraction / 2))
+        frequent = large.orderBy(F.desc("count"), "_digest").limit(MAX_HOT_KEYS).collect()
         _known_hot_keys[memo] = sorted(row["_digest"] for row in frequent)
     return _known_hot_keys[memo]
 
