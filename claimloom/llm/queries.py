@@ -5,19 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import language_id, packing, vector_search
+from claimloom.llm import language_id, packing, quality, sharding, simhash, toxicity, url_filter, vector_search
 from claimloom.llm.common import held_out, table
 
 
-def tokenizer_path() -> str:
+def tokenizer() -> tuple[str, str]:
+    """Vocabulary file and pattern."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
+RULES = [
+    url_filter.Rule(url_filter.ALLOW, "com/"),
+    url_filter.Rule(url_filter.BLOCK, "example.com/en/"),
+    url_filter.Rule(url_filter.ALLOW, "www.example.com/en/"),
+    url_filter.Rule(url_filter.BLOCK, "net/es/"),
+    url_filter.Rule(url_filter.BLOCK, "net/fr/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels of those not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels, ~held_out("doc_id", 4, 2))
+    scored = quality.with_quality(docs.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of those not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels, ~held_out("doc_id", 3, 1))
+    scored = toxicity.with_toxicity(docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and linked group of every document."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of nearly equal bytes."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1,024 ids."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer(), with_ids=False)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +74,11 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op3_quality": op3_quality,
+    "op5_toxicity": op5_toxicity,
+    "op6_simhash": op6_simhash,
+    "op7_sharding": op7_sharding,
     "op4_packing": op4_packing,
     "op9_language_id": op9_language_id,
     "op10_nearest_vectors": op10_nearest_vectors,
