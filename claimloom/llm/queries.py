@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import language_id, packing, quality, sharding, simhash, toxicity, url_filter, vector_search
+from claimloom.llm import language_id, packing, quality, sharding, simhash, suffix_tree, toxicity, url_filter, vector_search
 from claimloom.llm.common import held_out, table
 
 
@@ -16,6 +16,12 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out("doc_id", 5, 1).alias("held_out"), "text")
+    return suffix_tree.score_texts(docs)
+
+
 RULES = [
     url_filter.Rule(url_filter.ALLOW, "com/"),
     url_filter.Rule(url_filter.BLOCK, "example.com/en/"),
@@ -74,6 +80,7 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_url_filter": op2_url_filter,
     "op3_quality": op3_quality,
     "op5_toxicity": op5_toxicity,
