@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import language_id, packing, quality, sharding, simhash, suffix_tree, toxicity, url_filter, vector_search
+from claimloom.llm import decontamination, language_id, packing, quality, sharding, simhash, suffix_tree, toxicity, url_filter, vector_search
 from claimloom.llm.common import held_out, table
 
 
@@ -67,6 +67,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer(), with_ids=False)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held_out"))
@@ -87,6 +92,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op4_packing": op4_packing,
+    "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_nearest_vectors": op10_nearest_vectors,
 }
