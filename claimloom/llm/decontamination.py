@@ -2,18 +2,20 @@
 
 Test items form an inverted index; a posting's weight is its BM25 contribution divided by the item's score
 against itself, so one threshold fits items of any length.  Every text is cut into overlapping passages
-that hold any item whole, and each passage is a query: all items that reach the threshold are retrieved,
-skipping by the largest weights of terms and of blocks of postings.  A retrieved item counts if
-enough of its question's and of its answer's word n-grams stand in the passage.
+that hold any item whole, and each passage is a query that retrieves all items at the threshold.  As in
+block-max WAND, a passage is passed over if the largest weights of its terms can't reach the threshold,
+and blocks of items if the largest weights within them can't; both bounds are evaluated for whole lists at
+once.  A retrieved item counts if enough of its question's and of its answer's word n-grams stand in
+the passage.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-BLOCK = 64
+BLOCK = 8
+ROUNDING = 1e-9
 THRESHOLD = 0.5  # of an item's score against itself
 NGRAM = 4
 QUESTION_OVERLAP = 0.6
@@ -53,16 +56,29 @@ def overlap(wanted: set[tuple], words: list, found: set[tuple]) -> float:
     return len(wanted & (found if size == NGRAM else ngrams(words, size))) / len(wanted)
 
 
-class Postings:
-    """Items and weights of one term, with the largest weight of each block."""
+class Lists:
+    """For each term a list of places and weights, one after another."""
 
-    __slots__ = ("items", "weights", "most", "block_most")
+    def __init__(self, lists: list[list[tuple[int, float]]]):
+        self.starts = np.cumsum([0, *map(len, lists)])
+        self.places = np.array([place for entries in lists for place, _ in entries], dtype=np.int64)
+        self.weights = np.array([weight for entries in lists for _, weight in entries])
 
-    def __init__(self, pairs: list[tuple[int, float]]):
-        self.items = [item for item, _ in pairs]
-        self.weights = [weight for _, weight in pairs]
-        self.most = max(self.weights)
-        self.block_most = [max(self.weights[at : at + BLOCK]) for at in range(0, len(pairs), BLOCK)]
+    def summed(self, terms: np.ndarray, size: int) -> np.ndarray:
+        """Sum of the weights at each of ``size`` places over the lists of ``terms``."""
+        starts = self.starts[terms]
+        lengths = self.starts[terms + 1] - starts
+        before = np.cumsum(lengths) - lengths
+        entries = np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
+        return np.bincount(self.places[entries], self.weights[entries], minlength=size)
+
+
+def block_most(postings: list[tuple[int, float]]) -> list[tuple[int, float]]:
+    """The largest weight of each block of items that a term occurs in."""
+    most: dict[int, float] = {}
+    for item, weight in postings:
+        most[item // BLOCK] = max(most.get(item // BLOCK, 0.0), weight)
+    return list(most.items())
 
 
 class ItemIndex:
@@ -87,56 +103,23 @@ class ItemIndex:
             whole = sum(scores.values())
             for word, score in scores.items():
                 pairs[self.terms[word]].append((at, score / whole))
-        self.postings = [Postings(pairs[at]) for at in range(len(self.terms))]
+        lists = [pairs[at] for at in range(len(self.terms))]
+        self.postings, self.blocks = Lists(lists), Lists(list(map(block_most, lists)))
         # the last place stands for words of no item
-        self.most = np.array([p.most for p in self.postings] + [0.0])
+        self.most = np.array([max(weight for _, weight in entries) for entries in lists] + [0.0])
         self.stride = max(LEAST_STRIDE, self.longest)
 
-    def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
-        """All items whose share of their own score reaches the threshold for a passage's distinct ``terms``."""
-        cursors = [[self.postings[term].items[0], 0, self.postings[term]] for term in terms]
-        found = []
-        while cursors:
-            cursors.sort(key=lambda c: c[0])
-            bound, pivot = 0.0, None
-            for at, cursor in enumerate(cursors):
-                bound += cursor[2].most
-                if bound >= THRESHOLD - 1e-9:
-                    pivot = at
-                    break
-            if pivot is None:
-                return found
-            item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            blocks, block_end = 0.0, math.inf
-            for cursor in cursors[: pivot + 1]:
-                postings = cursor[2]
-                place = bisect_left(postings.items, item, cursor[1])
-                if place < len(postings.items):
-                    block = place // BLOCK
-                    blocks += postings.block_most[block]
-                    block_end = min(block_end, postings.items[min(len(postings.items), (block + 1) * BLOCK) - 1])
-            if blocks < THRESHOLD - 1e-9:
-                # no item up to the end of these blocks, or before the next cursor, can reach it
-                target = block_end + 1
-                if pivot + 1 < len(cursors):
-                    target = min(target, cursors[pivot + 1][0])
-                target = max(target, item + 1)
-            else:
-                score = 0.0
-                for cursor in cursors[: pivot + 1]:
-                    place = bisect_left(cursor[2].items, item, cursor[1])
-                    if place < len(cursor[2].items) and cursor[2].items[place] == item:
-                        score += cursor[2].weights[place]
-                if score >= THRESHOLD - 1e-9:
-                    found.append((item, score))
-                target = item + 1
-            for cursor in cursors[: pivot + 1]:
-                cursor[1] = bisect_left(cursor[2].items, target, cursor[1])
-                cursor[0] = cursor[2].items[cursor[1]] if cursor[1] < len(cursor[2].items) else None
-            cursors = [cursor for cursor in cursors if cursor[0] is not None]
-        return found
+    def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
+        """All items whose share of their own score reaches the threshold for a passage's distinct ``terms``.
+
+        Blocks of items are bounded by the sum of their terms' largest weights; postings are read only if
+        some block can reach the threshold.
+        """
+        bounds = self.blocks.summed(terms, -(-len(self.ids) // BLOCK))
+        if not len(terms) or bounds.max() < THRESHOLD - ROUNDING:
+            return []
+        scores = self.postings.summed(terms, len(self.ids))
+        return [(item, float(scores[item])) for item in np.flatnonzero(scores >= THRESHOLD - ROUNDING).tolist()]
 
     def search(self, text: str | None) -> dict[int, tuple[int, float, float, float]]:
         """By item: place of the best passage's first word, BM25 share, question and answer overlap."""
@@ -145,18 +128,19 @@ class ItemIndex:
         if not words or not self.ids:
             return best
         none = len(self.terms)
-        find = self.terms.get
-        coded = np.fromiter((find(word, none) for word in words), dtype=np.int64, count=len(words))
+        coded = np.fromiter(map(self.terms.get, words, repeat(none)), dtype=np.int64, count=len(words))
         # bounds of half passages from their distinct terms; a passage is two of them
         stripe = np.arange(len(coded)) // self.stride
         distinct = np.unique(stripe * (none + 1) + coded)
         halves = np.bincount(distinct // (none + 1), self.most[distinct % (none + 1)], minlength=stripe[-1] + 1)
         bounds = halves + np.r_[halves[1:], 0.0]
-        for at in np.flatnonzero(bounds >= THRESHOLD - 1e-9).tolist():
-            passage = coded[at * self.stride : (at + 2) * self.stride].tolist()
-            retrieved = self.retrieve(sorted(set(passage) - {none}))
+        for at in np.flatnonzero(bounds >= THRESHOLD - ROUNDING).tolist():
+            passage = coded[at * self.stride : (at + 2) * self.stride]
+            terms = np.unique(passage)
+            retrieved = self.retrieve(terms[:-1] if terms[-1] == none else terms)
             if not retrieved:
                 continue
+            passage = passage.tolist()
             grams = ngrams(passage)
             for item, score in retrieved:
                 question = overlap(self.questions[item], passage, grams)

@@ -103,7 +103,7 @@ def block_masks(blocks: int = BLOCKS) -> list[int]:
     return [_signed(everything & ~(bits[a] | bits[b])) for a, b in combinations(range(blocks), 2)]
 
 
-def fingerprint_links(fingerprints: DataFrame, scope: str | None = None) -> DataFrame:
+def fingerprint_links(fingerprints: DataFrame, scope: str | None = None, blocks: int = BLOCKS) -> DataFrame:
     """``u, v``: links that connect exactly the ``fingerprints`` (distinct longs) within two bits of each other.
 
     Not every pair is listed, but linked pairs and connected groups agree with all pairs.  With ``scope``
@@ -113,7 +113,7 @@ def fingerprint_links(fingerprints: DataFrame, scope: str | None = None) -> Data
     cells = fingerprints.select(
         *within, "fp",
         F.explode(F.array(*(
-            F.xxhash64(*within, F.lit(at), embedding(F.col("fp")).bitwiseAND(F.lit(mask))) for at, mask in enumerate(block_masks())
+            F.xxhash64(*within, F.lit(at), embedding(F.col("fp")).bitwiseAND(F.lit(mask))) for at, mask in enumerate(block_masks(blocks))
         ))).alias("cell"),
     )
     crowded = written(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CELL).select("cell"), "crowded")
