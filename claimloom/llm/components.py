@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import written
 
 
-def _star(neighbours: DataFrame) -> DataFrame:
+# edge tables are written in parts of about this many rows, and in at least so many parts
+ROWS_PER_PART = 250_000
+LEAST_PARTS = 12
+
+
+def _star(neighbours: DataFrame, parts: int) -> DataFrame:
     """Link every neighbour of ``u``, and ``u`` itself, to the least of them (``u`` included).
 
     Both sides of the join are written tables, so that Spark can split the rows of a node with very many
     neighbours.
     """
-    least = written(neighbours.groupBy("u").agg(F.min("v").alias("least")), "least").withColumn("least", F.least("u", "least"))
-    return neighbours.join(least, "u")
+    least = written(neighbours.groupBy("u").agg(F.min("v").alias("least")).coalesce(parts), "least")
+    return neighbours.join(least.withColumn("least", F.least("u", "least")), "u")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -33,11 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while (now := _state(current)) != state:
         state = now
-        both = written(current.union(current.select("v", "u")).distinct(), "both")
-        large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct()
-        large = written(large, "large")
+        parts = max(LEAST_PARTS, -(-now[0] // ROWS_PER_PART))
+        both = written(current.union(current.select("v", "u")).distinct().coalesce(parts), "both")
+        large = _star(both, parts).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct()
+        large = written(large.coalesce(parts), "large")
         # every edge now points to the smaller node
-        linked = _star(large)
+        linked = _star(large, parts)
         small = linked.select(F.col("v").alias("u"), F.col("least").alias("v")).union(linked.select("u", "least"))
-        current = written(small.filter("u <> v").distinct(), "edges")
+        current = written(small.filter("u <> v").distinct().coalesce(parts), "edges")
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(current.select("v", "v").distinct())
