@@ -16,7 +16,7 @@ DESIGN = policy.PolicyDesign(policy_start=date(2000, 1, 1))
 
 
 def panel(model):
-    return model.layers.keep("policy_panel", lambda: policy.provider_month_panel(model.facts, DESIGN))
+    return model.layers.keep("policy_panel", lambda: policy.provider_month_panel(model.facts, DESIGN), DESIGN)
 
 
 SUBQUERIES["p_attribution"] = """
@@ -96,7 +96,7 @@ def estimates(model):
             computed.update(policy.estimate_policy(panel(model), DESIGN))
         return computed[name]
 
-    return {name: model.layers.keep(name, lambda name=name: table(name)) for name in RESULTS}
+    return {name: model.layers.keep(name, lambda name=name: table(name), DESIGN) for name in RESULTS}
 
 
 # solved from cross products on a written panel: no SQL counterpart; tests compare with dense least squares

@@ -206,7 +206,7 @@ WHERE repeat = 1"""
 def selected(model):
     """Written before any label is read: the freeze."""
     return model.layers.keep(
-        "selected_findings", lambda: rules.run_rules(model.facts, SETTINGS, limits_of(model))
+        "selected_findings", lambda: rules.run_rules(model.facts, SETTINGS, limits_of(model)), SETTINGS
     )
 
 

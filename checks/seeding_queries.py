@@ -1,6 +1,7 @@
 """Seeded irregularities: labels, inserted rows, field changes, isolation and the whole back-test."""
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ STEPS = ("record", "ledger", "outlier", "surge", "repeat", "diagnosis")
 def seeded(model, upto="diagnosis"):
     """State after the given step; every step reads written target lists."""
     names = "member plan provider claim_header claim_line adjudication_event payment_transaction".split()
-    state = seeding.Seeded({n: getattr(model, n) for n in names}, keep=model.layers.keep)
+    state = seeding.Seeded({n: getattr(model, n) for n in names}, keep=partial(model.layers.keep, settings=SEED))
     run = {
         "record": seeding.seed_record_level,
         "ledger": seeding.seed_ledger,
@@ -33,7 +34,7 @@ def seeded(model, upto="diagnosis"):
         state = run[step](state, SEED)
         if step != STEPS[-1]:
             # later steps read the labels so far several times
-            state = seeding.replace(state, labels=model.layers.keep(f"seed_labels_{step}", lambda s=state: s.labels))
+            state = seeding.replace(state, labels=model.layers.keep(f"seed_labels_{step}", lambda s=state: s.labels, SEED))
     return state
 
 
@@ -253,7 +254,7 @@ register("g7_content_fingerprints", manifest,
 def backtest(model):
     """Seed, conform, detect without labels, then score against the labels."""
     state = seeded(model)
-    keep = model.layers.keep
+    keep = partial(model.layers.keep, settings=SEED)
     tables = {n: getattr(model, n) for n in ("membership_month", "claim_review", "policy_assignment", "plan", "provider")}
     written = {n: keep(f"seeded_{n}", lambda n=n: state.tables[n]) for n in ("claim_header", "claim_line", "payment_transaction")}
     facts = conformed.from_operational({**tables, **written}, model.service_categories)

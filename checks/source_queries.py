@@ -8,8 +8,31 @@ from claimloom.contracts.silver import LINEAGE
 from claimloom.functions.hashing import schema_fingerprint
 from claimloom.sources import landing, publish
 
-YEARS = (2019, 2021, 2023)
 SOURCE_COLUMNS = [c for c in BRONZE["outpatient"][1] if c not in LINEAGE]
+# this year's file is in another charset, and the last year's has one more column
+LATIN_YEAR = 2020
+LATER_COLUMN = "Later_Note"
+SECOND_LINE = 'second ""line"", é'
+
+
+def reported_years(model):
+    rows = bronze_frame(model, "outpatient").select("_reporting_year").distinct().collect()
+    return sorted(row["_reporting_year"] for row in rows)
+
+
+def annual_frames(model):
+    """Rows of each year as its file holds them: some texts have line breaks, quotes, commas or U+FFFD."""
+    source = bronze_frame(model, "outpatient")
+    years = reported_years(model)
+    code, note = F.col("APC_Cd"), F.col("APC_Desc")
+    told = F.when(code.endswith("1"), F.concat(note, F.lit("\n" + SECOND_LINE.replace('""', '"')))).when(
+        code.endswith("2") & (F.col("_reporting_year") != LATIN_YEAR), F.concat(note, F.lit("\ufffd"))
+    ).otherwise(note)
+    frames = {}
+    for year in years:
+        rows = source.filter(F.col("_reporting_year") == year).withColumn("APC_Desc", told).select(*SOURCE_COLUMNS)
+        frames[year] = rows.withColumn(LATER_COLUMN, F.lit("x")) if year == years[-1] else rows
+    return frames
 
 
 def raw_root(model):
@@ -18,11 +41,10 @@ def raw_root(model):
     marker = "raw_outpatient_written"
 
     def write():
-        source = bronze_frame(model, "outpatient")
-        for year in YEARS:
-            rows = source.filter(F.col("_reporting_year") == year).select(*SOURCE_COLUMNS)
+        for year, rows in annual_frames(model).items():
             rows.write.mode("overwrite").csv(
-                f"{root}/outpatient/{year}/outpatient_{year}.csv", header=True, nullValue="", emptyValue='""'
+                f"{root}/outpatient/{year}/outpatient_{year}.csv", header=True, nullValue="", emptyValue="", quoteAll=True,
+                escape='"', encoding="ISO-8859-1" if year == LATIN_YEAR else "UTF-8",
             )
         return model.spark.range(1)
 
@@ -34,27 +56,35 @@ def landed(model):
     root, target = raw_root(model), f"{model.layers.root}/landed"
 
     def land():
-        return landing.land_family(model.spark, root, target, "outpatient", YEARS,
-                                   aliases={"APC_Desc": "APC_Description"}, acquired_at="2026-01-01T00:00:00Z")
+        return landing.land_family(model.spark, root, target, "outpatient", reported_years(model),
+                                   aliases={"APC_Desc": "APC_Description"}, encodings={LATIN_YEAR: "latin-1"},
+                                   acquired_at="2026-01-01T00:00:00Z")
 
     inventory = model.layers.keep("landed_inventory", land)
     return inventory, model.spark.read.parquet(f"{target}/outpatient")
 
 
 KEY = "Rndrng_Prvdr_CCN:text APC_Cd:text "
+TOLD = f"""CASE WHEN APC_Cd LIKE '%1' THEN APC_Desc || chr(10) || '{SECOND_LINE.replace('""', '"')}'
+WHEN APC_Cd LIKE '%2' AND _reporting_year <> {LATIN_YEAR} THEN APC_Desc || chr(65533) ELSE APC_Desc END"""
 register(
     "a1_text_landing",
     lambda m: landed(m)[1],
     KEY + "_reporting_year:long CAPC_Srvcs:text Avg_Mdcr_Pymt_Amt:text _source_id:text",
     "SELECT Rndrng_Prvdr_CCN, APC_Cd, _reporting_year, CAPC_Srvcs, Avg_Mdcr_Pymt_Amt, 'outpatient' AS _source_id "
-    "FROM bronze_outpatient WHERE _reporting_year IN (2019, 2021, 2023)",
+    "FROM bronze_outpatient",
+)
+register(
+    "a2_source_charset",
+    lambda m: landed(m)[1].filter(F.col("_reporting_year") == LATIN_YEAR),
+    KEY + "APC_Description:text",
+    f"SELECT Rndrng_Prvdr_CCN, APC_Cd, {TOLD} AS APC_Description FROM bronze_outpatient WHERE _reporting_year = {LATIN_YEAR}",
 )
 register(
     "a3_column_aliases",
     lambda m: landed(m)[1],
     KEY + "_reporting_year:long APC_Description:text",
-    "SELECT Rndrng_Prvdr_CCN, APC_Cd, _reporting_year, APC_Desc AS APC_Description FROM bronze_outpatient "
-    "WHERE _reporting_year IN (2019, 2021, 2023)",
+    f"SELECT Rndrng_Prvdr_CCN, APC_Cd, _reporting_year, {TOLD} AS APC_Description FROM bronze_outpatient",
 )
 register(
     "a4_lineage_columns",
@@ -63,15 +93,15 @@ register(
     ).distinct(),
     "_reporting_year:long _source_id:text _acquired_at_utc:text named:bool",
     "SELECT DISTINCT _reporting_year, 'outpatient' AS _source_id, '2026-01-01T00:00:00Z' AS _acquired_at_utc, TRUE AS named "
-    "FROM bronze_outpatient WHERE _reporting_year IN (2019, 2021, 2023)",
-)
-register(
-    "a8_family_landing_inventory",
-    lambda m: landed(m)[0],
-    "reporting_year:long source_column_count:long row_count:long schema_consistent:bool",
-    "SELECT _reporting_year AS reporting_year, 18 AS source_column_count, count(*) AS row_count, TRUE AS schema_consistent "
-    "FROM bronze_outpatient WHERE _reporting_year IN (2019, 2021, 2023) GROUP BY _reporting_year",
+    "FROM bronze_outpatient",
 )
+INVENTORY_SQL = f"""SELECT _reporting_year AS reporting_year,
+  {len(SOURCE_COLUMNS)} + CAST(_reporting_year = max(_reporting_year) OVER () AS INT) AS source_column_count, count(*) AS row_count,
+  count(*) OVER () = 1 AS schema_consistent
+FROM bronze_outpatient GROUP BY _reporting_year"""
+INVENTORY = "reporting_year:long source_column_count:long row_count:long schema_consistent:bool"
+register("a8_family_landing_inventory", lambda m: landed(m)[0], INVENTORY, INVENTORY_SQL)
+register("a11_schema_drift_inventory", lambda m: landing.family_inventory(annual_frames(m)), INVENTORY, INVENTORY_SQL)
 register(
     "a10_schema_signature",
     lambda m: bronze_frame(m, "outpatient").groupBy("_reporting_year").agg(

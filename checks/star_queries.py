@@ -189,13 +189,12 @@ def m_col(name):
 
 register(
     "g2_line_numbers_hot_path",
-    # a threshold of nine sends the larger orders down the ranged way
     lambda m: number_within(
         m.read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
                                   "l_extendedprice", "l_quantity"),
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"],
-        "line_number", hot_rows=9),
+        "line_number"),
     "l_orderkey:long l_linenumber:long l_partkey:long l_suppkey:long line_number:long",
     "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, line_number FROM w_numbered",
 )

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 UNITS = "decimal(18,4)"
 RATE = "decimal(18,4)"
+# sums over a whole table
+WIDE_MONEY = "decimal(38,2)"
 
 
 def zero(kind: str = MONEY) -> Column:

@@ -7,28 +7,17 @@ from a sample, so both passes must read the very same partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimloom.session import ensure_checkpoint_dir
 
 # monotonically_increasing_id packs (partition, row) into 31 and 33 bits
 ROW_BITS = 33
 
-# a key is numbered by ranges, not by a window, once it holds this many rows
-HOT_KEY_ROWS = 2_000_000
-# sampled rows expected of a key at that size, plenty to notice it
-HOT_KEY_SAMPLE = 200
-# the largest keys take the ranged way, any further ones the window; both are exact
-MAX_HOT_KEYS = 1_000
-
-# dimensions up to this many distinct keys are numbered on the driver
-SMALL_KEYS = 10_000
-
-_known_hot_keys: dict[tuple[int, int], list[int]] = {}
-
-
 def dense_positions(df: DataFrame, order: list[str], position: str = "position") -> DataFrame:
     """Add the 0-based position of each row in the global order of ``order``."""
     spark = df.sparkSession
@@ -55,65 +44,24 @@ def dense_positions(df: DataFrame, order: list[str], position: str = "position")
     )
 
 
-def dense_keys(
-    df: DataFrame, business_key: list[str], key: str, key_type: str = "bigint", few: bool = False
-) -> DataFrame:
-    """Distinct business keys with a stable 1..N key in sorted order.
-
-    Tables of at most ``SMALL_KEYS`` rows are numbered on the driver; a probe of that many rows
-    decides.  ``few`` says that a long table holds few distinct keys, so those are probed instead.
-    """
-    distinct = df.select(*business_key).distinct()
-    sample = distinct if few else df.select(*business_key)
-    probe = sample.limit(SMALL_KEYS + 1).collect()
-    if len(probe) <= SMALL_KEYS:
-        schema = T.StructType([*distinct.schema.fields, T.StructField(key, T.LongType())])
-        # code point order equals Spark's byte order for text
-        ordered = sorted(set(probe), key=lambda row: tuple((value is not None, value) for value in row))
-        rows = [(*row, number) for number, row in enumerate(ordered, start=1)]
-        keyed = df.sparkSession.createDataFrame(rows, schema)
-        return keyed.withColumn(key, F.col(key).cast(key_type))
-    return dense_positions(distinct, business_key).select(
+def dense_keys(df: DataFrame, business_key: list[str], key: str, key_type: str = "bigint") -> DataFrame:
+    """Distinct business keys with a stable 1..N key in sorted order."""
+    return dense_positions(df.select(*business_key).distinct(), business_key).select(
         *business_key, (F.col("position") + 1).cast(key_type).alias(key)
     )
 
 
-def _hot_keys(df: DataFrame, digest: Column, hot_rows: int) -> list[int]:
-    """Digests of the keys that hold about ``hot_rows`` rows or more.
-
-    A thin sample finds them; missing one costs speed, never rows, as both ways of numbering are
-    exact.  At most ``MAX_HOT_KEYS`` are returned, largest first.
-    """
-    fraction = min(1.0, HOT_KEY_SAMPLE / hot_rows)
-    keyed = df.select(digest.alias("_digest"))
-    memo = (keyed.semanticHash(), hot_rows)
-    if memo not in _known_hot_keys:
-        sampled = keyed if fraction == 1.0 else keyed.sample(fraction, seed=7)
-        counted = sampled.groupBy("_digest").count()
-        large = counted.filter(F.col("count") >= max(1.0, hot_rows * fraction / 2))
-        frequent = large.orderBy(F.desc("count"), "_digest").limit(MAX_HOT_KEYS).collect()
-        _known_hot_keys[memo] = sorted(row["_digest"] for row in frequent)
-    return _known_hot_keys[memo]
-
-
-def number_within(
-    df: DataFrame, keys: list[str], order: list[str], number: str, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def number_within(df: DataFrame, keys: list[str], order: list[str], number: str) -> DataFrame:
     """1-based row number inside each key group; ``order`` must be a total order per key.
 
-    Ordinary keys use a window.  Keys too large for one task are spread over range partitions
-    and numbered from their global positions, with the same result.
+    Rows are numbered in the global order of key and ``order``, and the start of their key is taken off,
+    so a key of any size is spread over ranges.  Null keys form a group like any other.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    numbered = lambda part: part.withColumn(number, F.row_number().over(window).cast("bigint"))
-    digest = F.xxhash64(*keys)
-    hot = _hot_keys(df, digest, hot_rows)
-    if not hot:
-        return numbered(df)
-    spread = dense_positions(df.filter(digest.isin(hot)), [*keys, *order], "_position")
+    spread = dense_positions(df, [*keys, *order], "_position")
     starts = spread.groupBy(*keys).agg(F.min("_position").alias("_start"))
-    counted = spread.join(F.broadcast(starts), keys).withColumn(
-        number, F.col("_position") - F.col("_start") + 1
+    # checkpointed, so that both sides of the join are plain scans and a large key's rows can be split
+    starts = starts.select(*(F.col(name).alias(f"_key_{name}") for name in keys), "_start").checkpoint()
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_key_{name}")) for name in keys))
+    return spread.join(starts, same).select(
+        *(F.col(name) for name in df.columns), (F.col("_position") - F.col("_start") + 1).alias(number)
     )
-    cold = numbered(df.filter(~digest.isin(hot)))
-    return cold.unionByName(counted.select(*cold.columns))

@@ -43,7 +43,7 @@ def resolve_labels(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def match_labels(findings: DataFrame, labels: DataFrame, settings: RuleSettings) -> DataFrame:
-    """Full outer match on rule and canonical target."""
+    """Full outer match on rule and canonical target; of several labels on one target the last id counts."""
     key = ["rule_id", "canonical_target_id"]
     found = findings.withColumn("canonical_target_id", canonical_target()).select(
         *key, F.col("label_scope").alias("_found_scope"), "finding_id", "amount_at_risk"
@@ -51,6 +51,10 @@ def match_labels(findings: DataFrame, labels: DataFrame, settings: RuleSettings)
     known = labels.withColumn("canonical_target_id", canonical_target()).select(
         *key, F.col("label_scope").alias("_known_scope"), "injection_id", "expected_financial_exposure"
     )
+    # aggregated, so that a target with very many labels needs no window
+    known = known.groupBy(*key).agg(
+        F.max(F.struct("injection_id", "_known_scope", "expected_financial_exposure")).alias("_last")
+    ).select(*key, "_last.*")
     finding, label = F.col("finding_id"), F.col("injection_id")
     money = lambda name: F.coalesce(name, F.lit(0)).cast(MONEY).alias(name)
     matched = found.join(known, key, "full").select(

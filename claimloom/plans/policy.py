@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.dates import month_of, month_spine, months_from
-from claimloom.functions.numbers import MONEY, count_as_decimal, rate, total
+from claimloom.functions.numbers import MONEY, count_as_decimal, or_fail, rate, total
 from claimloom.operators.percentiles import exact_percentiles
 from claimloom.plans.conformed import Facts
 
@@ -99,8 +99,9 @@ def provider_month_panel(facts: Facts, design: PolicyDesign) -> DataFrame:
         count("_members"), count("_claims"), count("_denied"), count("_reviews"),
         total(F.col("_paid")).alias("_paid"), total(F.col("_allowed")).alias("_allowed"),
     )
-    filled = grid.join(cells, key, "left").select(
-        *key, "treatment_group",
+    unassigned = F.concat(F.lit("no policy assignment of provider key "), F.col("provider_key").cast("string"))
+    filled = grid.join(cells, key, "full").select(
+        *key, or_fail(F.col("treatment_group"), unassigned, "string").alias("treatment_group"),
         *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("_members", "_claims", "_denied", "_reviews")],
         *[F.coalesce(n, F.lit(0)).cast(MONEY).alias(n) for n in ("_paid", "_allowed")],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.errors import ContractError
-from claimloom.functions.numbers import MONEY, total
+from claimloom.functions.numbers import MONEY, WIDE_MONEY, total
 from claimloom.operators.quality import all_checks, report, row_count, violations
 
 MINIMUM_MEMBERS = 11
@@ -207,13 +207,13 @@ def reconciliation_metrics(
     claim_totals = claims.agg(
         F.count("*").alias("rows"),
         F.count_distinct("claim_id").alias("keys"),
-        total(F.when(paid, F.col("total_allowed_amount"))).alias("allowed"),
-        total(F.when(paid, F.col("net_paid_amount"))).alias("net"),
+        total(F.when(paid, F.col("total_allowed_amount")), WIDE_MONEY).alias("allowed"),
+        total(F.when(paid, F.col("net_paid_amount")), WIDE_MONEY).alias("net"),
     )
     active = memberships.agg(F.count_if(F.col("coverage_status") == "active").alias("active"))
     month_plan = F.concat_ws("|", F.col("service_month").cast("string"), F.col("plan_key").cast("string"))
     per_rule = findings.groupBy("rule_id").agg(
-        F.count("*").alias("leads"), total(F.col("amount_at_risk")).alias("amount")
+        F.count("*").alias("leads"), total(F.col("amount_at_risk"), WIDE_MONEY).alias("amount")
     )
     per_group = panel.groupBy("treatment_group").agg(F.count("*").alias("months"))
     primary = effects.filter(F.col("specification") == "balanced_panel")

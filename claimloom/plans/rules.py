@@ -63,7 +63,7 @@ def last_lines(facts: Facts) -> DataFrame:
 
 
 def id_number(identifier: Column) -> Column:
-    return F.substring(identifier, 4, 30).cast("bigint")
+    return F.substr(identifier, F.lit(4)).cast("bigint")
 
 
 def exact_duplicates(facts: Facts) -> DataFrame:

@@ -88,7 +88,7 @@ def required(targets: DataFrame, count: int, what: str) -> None:
 def next_numbers(df: DataFrame, column: str) -> tuple[str, int, int]:
     """Prefix, highest number and digit count of an identifier column."""
     row = df.agg(
-        F.max(F.substring(column, 4, 40).cast("bigint")).alias("top"),
+        F.max(F.substr(F.col(column), F.lit(4)).cast("bigint")).alias("top"),
         F.max(F.length(column)).alias("size"),
         F.first(F.substring(column, 1, 3), ignorenulls=True).alias("prefix"),
     ).first()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -27,16 +25,11 @@ def build_session(app_name: str = "claimloom", master: str | None = None, **conf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; fall back to a temporary folder only in local mode."""
+    """Use the cluster's ``spark.checkpoint.dir``; where it is unset, a folder of the warehouse, which is shared too."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="claimloom-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")

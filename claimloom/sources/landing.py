@@ -2,31 +2,125 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimloom.errors import ContractError
 from claimloom.functions.hashing import schema_fingerprint
 
-REPLACEMENT = "�"
 MALFORMED = "_malformed"
-CHARSETS = {"cp1252": "windows-1252"}
+LINE_END = "\n"
+QUOTE = b'"'
+# source encodings whose quotes and line ends are the ASCII bytes; utf-8-sig may start with a byte order mark
+ENCODINGS = {"utf-8": "utf-8", "utf-8-sig": "utf-8", "cp1252": "cp1252", "latin-1": "latin-1", "ascii": "ascii"}
+BYTE_ORDER_MARK = "\ufeff"
+ARROW_KINDS = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string())
 
 
-def charset(spark: SparkSession, encoding: str) -> str:
-    """Java name of a source encoding; windows code pages need the session's full charset list."""
-    name = CHARSETS.get(encoding, encoding)
-    if name.startswith("windows") and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
-        raise ContractError(f"{encoding} sources need spark.sql.legacy.javaCharsets=true in the session")
-    return name
+def codec(encoding: str) -> str:
+    """Python codec of a source encoding."""
+    if encoding not in ENCODINGS:
+        raise ContractError(f"unsupported source encoding {encoding}")
+    return ENCODINGS[encoding]
+
+
+def decoded(line: bytes, path: str, encoding: str) -> str:
+    try:
+        return line.decode(codec(encoding))
+    except UnicodeDecodeError as error:
+        raise ContractError(f"bytes of {path} do not fit {encoding}: {error}") from error
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw lines with their file and the start of the split they were read in, in the order of the file."""
+    return spark.read.text(path, lineSep=LINE_END).select(
+        F.col("value").cast("binary").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
 
 
 def read_header(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
-    reader = spark.read.option("header", True).option("encoding", charset(spark, encoding))
-    return reader.csv(path, inferSchema=False).columns
+    """Column names of a file, or of the first file of a folder."""
+    files = [entry for entry in list_entries(spark, path) if not entry.rpartition("/")[2].startswith(("_", "."))]
+    first = _lines(spark, files[0]).first()
+    if first is None:
+        raise ContractError(f"no header in {path}")
+    text = decoded(bytes(first["line"]), path, encoding).removeprefix(BYTE_ORDER_MARK).rstrip("\r")
+    if text.count('"') % 2:
+        raise ContractError(f"line break in the header of {path}")
+    return next(csv.reader([text]))
+
+
+def _splits_inside_quotes(lines: DataFrame) -> set[tuple[str, int]]:
+    """Splits that start inside a quoted field: those with an odd number of quotes before them in the file."""
+    text = F.col("line").cast("string")
+    quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    counted = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
+    # one row for each split of a file
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    odd = counted.withColumn("before", F.sum("quotes").over(before)).filter(F.col("before") % 2 == 1)
+    return {(row["file"], row["block"]) for row in odd.select("file", "block").collect()}
+
+
+def read_records(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """``file, first, record``: records of delimited text, which may hold line breaks inside quotes.
+
+    Files are split between tasks at any line.  Quotes are counted per split first, so each task knows
+    whether its splits begin inside a quoted field.  It joins the lines of its records; of a record that crosses
+    a split the pieces, at most two a split, are joined afterwards.  ``first`` marks the first record of a file.
+    """
+    lines = _lines(spark, path)
+    inside = _splits_inside_quotes(lines)
+    fields = ["file", "block", "place", "kind", "first", "record"]
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, place, kind, open_lines, is_open = None, 0, "whole", [], False
+        rows: list[tuple] = []
+
+        def close(kind: str) -> None:
+            nonlocal place
+            first = kind != "rest" and split[1] == 0 and place == 0
+            text = LINE_END.join(open_lines)
+            rows.append((*split, place, kind, first, text.removeprefix(BYTE_ORDER_MARK) if first else text))
+            open_lines.clear()
+            place += 1
+
+        for batch in batches:
+            for line, file, block in zip(*(column.to_pylist() for column in batch.columns)):
+                if (file, block) != split:
+                    if open_lines:
+                        close("rest" if kind == "rest" else "start")
+                    split, place, is_open = (file, block), 0, (file, block) in inside
+                    kind = "rest" if is_open else "whole"
+                open_lines.append(decoded(line, file, encoding))
+                is_open ^= line.count(QUOTE) % 2 == 1
+                if not is_open:
+                    close(kind)
+                    kind = "whole"
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind_) for values, kind_ in zip(zip(*rows) if rows else [()] * 6, ARROW_KINDS)], names=fields
+            )
+            rows.clear()
+        if open_lines:
+            close("rest" if kind == "rest" else "start")
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), ARROW_KINDS)], names=fields)
+
+    read = lines.mapInArrow(records, "file string, block long, place long, kind string, first boolean, record string")
+    whole = read.filter("kind = 'whole'").select("file", "first", "record")
+    pieces = read.filter("kind <> 'whole'")
+    order = Window.partitionBy("file").orderBy("block", "place")
+    numbered = pieces.withColumn("number", F.count_if(F.col("kind") == "start").over(order))
+    parts = F.array_sort(F.collect_list(F.struct("block", "place", "record")))
+    joined = numbered.groupBy("file", "number").agg(F.max("first").alias("first"), parts.alias("parts")).select(
+        "file", "first", F.array_join(F.transform("parts", lambda part: part["record"]), LINE_END).alias("record")
+    )
+    return whole.unionByName(joined)
 
 
 def active_aliases(header: Sequence[str], aliases: dict[str, str] | None) -> dict[str, str]:
@@ -49,37 +143,33 @@ def read_text_csv(
     aliases: dict[str, str] | None = None,
     encoding: str = "utf-8",
     acquired_at: str = "",
-    multi_line: bool | None = None,
 ) -> DataFrame:
     """Every source column as text plus lineage; malformed rows and undecodable bytes fail the job.
 
-    The checks are part of the rows' own columns, so they run whenever the rows are written.
-    Large files are split between tasks; a quoted line break then shows as a malformed row, and the
-    file has to be read with ``multi_line`` (one task per file).  A single column could hide such a
-    break, so one-column files are read that way from the start.
+    The checks are part of the rows' own columns, so they run whenever the rows are written.  Blank lines
+    outside quotes are left out; every file of a folder starts with the same header.
     """
     # renames may differ by case only, so header names are matched exactly
     header = read_header(spark, path, encoding)
     renames = active_aliases(header, aliases)
-    schema = ", ".join(f"`{name}` string" for name in header) + f", {MALFORMED} string"
-    rows = spark.read.schema(schema).csv(
-        path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
-        multiLine=len(header) == 1 if multi_line is None else multi_line, escape='"',
-        encoding=charset(spark, encoding), enforceSchema=True,
-    )
-    broken = F.col(MALFORMED).isNotNull()
-    damaged = F.lit(False)
-    for name in header:
-        damaged = damaged | F.coalesce(F.col(f"`{name}`").contains(REPLACEMENT), F.lit(False))
-    guard = F.when(broken, F.raise_error(F.lit(f"malformed row in {path}")).cast("string")).when(
-        damaged, F.raise_error(F.lit(f"bytes of {path} do not fit {encoding}")).cast("string")
+    places = [f"_c{at}" for at in range(len(header))]
+    schema = ", ".join(f"{name} string" for name in [*places, MALFORMED])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "escape": '"', "maxCharsPerColumn": "-1"}
+    record = F.regexp_replace("record", r"\r\z", "")
+    rows = read_records(spark, path, encoding).select("file", "first", record.alias("record")).filter("first OR record <> ''")
+    parsed = rows.select("file", "first", "record", F.from_csv("record", schema, options).alias("r"))
+    quotes = F.length("record") - F.length(F.replace(F.col("record"), F.lit('"'), F.lit("")))
+    broken = F.col(f"r.{MALFORMED}").isNotNull() | (quotes % 2 == 1)
+    other_header = F.col("first") & ~F.array(*(F.coalesce(F.col(f"r.{name}"), F.lit("")) for name in places)).eqNullSafe(
+        F.array(*(F.lit(name) for name in header))
     )
-    file_name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return rows.select(
-        *[F.col(f"`{name}`").alias(renames.get(name, name)) for name in header],
-        F.coalesce(guard, F.lit(source_id)).alias("_source_id"),
+    fail = lambda text: F.raise_error(F.lit(text)).cast("boolean")
+    sound = F.when(broken, fail(f"malformed row in {path}")).when(other_header, fail(f"another header in {path}")).otherwise(~F.col("first"))
+    return parsed.filter(sound).select(
+        *[F.col(f"r.{place}").alias(renames.get(name, name)) for place, name in zip(places, header)],
+        F.lit(source_id).alias("_source_id"),
         F.lit(year).alias("_reporting_year"),
-        file_name.alias("_source_file"),
+        F.element_at(F.split("file", "/"), -1).alias("_source_file"),
         F.lit(acquired_at).alias("_acquired_at_utc"),
     )
 

@@ -18,26 +18,46 @@ from claimloom.session import ensure_checkpoint_dir
 _written: dict[str, dict[str, StructType]] = {}
 
 
+def _digest(value: object) -> str:
+    return hashlib.sha256(repr(value).encode()).hexdigest()[:16]
+
+
+def input_listing(spark: SparkSession, folder: str) -> list[tuple]:
+    """Path, size and time of change of everything directly under a folder and its table folders."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, waiting = [], [root]
+    while waiting:
+        path = waiting.pop()
+        for status in fs.listStatus(path) if fs.exists(path) else ():
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+            if status.isDirectory() and path == root:
+                waiting.append(status.getPath())
+    return sorted(found)
+
+
 class LayerStore:
-    """Written tables of one application over one unchanging input folder."""
+    """Written tables of one application, by input files, name and settings."""
 
     def __init__(self, spark: SparkSession, source: str):
         ensure_checkpoint_dir(spark)
         context = spark.sparkContext
-        digest = hashlib.sha256(source.encode()).hexdigest()[:16]
         self.spark = spark
-        self.root = f"{context.getCheckpointDir()}/layers/{context.applicationId}/{digest}"
+        self.root = f"{context.getCheckpointDir()}/layers/{context.applicationId}/{_digest((source, input_listing(spark, source)))}"
 
-    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Write what ``build`` returns under ``name`` if not yet written, and read it back.
+    def keep(self, name: str, build: Callable[[], DataFrame], settings: object = None) -> DataFrame:
+        """Write what ``build`` returns under ``name`` and ``settings`` if not yet written, and read it back.
 
-        No bucketing by claim: a claim holding a large share of rows would fill one bucket, while
+        ``settings`` is everything the rows depend on besides the input; its ``repr`` tells layers apart.  No
+        bucketing by claim: a claim holding a large share of rows would fill one bucket, while
         shuffled joins are split when skewed.
         """
         schemas = _written.setdefault(self.root, {})
-        path = f"{self.root}/{name}"
-        if name not in schemas:
+        layer = name if settings is None else f"{name}-{_digest(settings)}"
+        path = f"{self.root}/{layer}"
+        if layer not in schemas:
             frame = build()
             frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
-            schemas[name] = frame.schema
-        return self.spark.read.schema(schemas[name]).parquet(path)
+            schemas[layer] = frame.schema
+        return self.spark.read.schema(schemas[layer]).parquet(path)

@@ -8,6 +8,7 @@ overpayments) together with the labels that name them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,6 +110,27 @@ def overpaid(order_key: Column) -> Column:
     return order_key % 89 == 5
 
 
+class LazyTables(Mapping):
+    """Tables of a model by name; asking for one builds it and what it needs, nothing else."""
+
+    def __init__(self, model: WarehouseModel, names: Sequence[str]):
+        self._model, self._names = model, tuple(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        return getattr(self._model, name)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._names
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 class WarehouseModel:
     """Lazy operational tables over ``region nation customer supplier part orders lineitem``."""
 
@@ -566,14 +588,14 @@ class WarehouseModel:
             )
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        """All operational tables by contract name."""
+    def tables(self) -> Mapping[str, DataFrame]:
+        """All operational tables by contract name, each built when it is first asked for."""
         names = (
             "member plan provider provider_contract membership_month claim_header claim_line "
             "adjudication_event payment_transaction claim_review denial_outcome policy_assignment "
             "audit_outcome recovery_transaction anomaly_injection"
         ).split()
-        return {name: getattr(self, name) for name in names}
+        return LazyTables(self, names)
 
     @cached_property
     def service_categories(self) -> DataFrame:

@@ -12,23 +12,54 @@ def test_checkpoint_dir_is_taken_from_the_session(spark):
     assert configured in spark.sparkContext.getCheckpointDir()
 
 
-def test_dense_keys_small_and_ranged_agree(spark, monkeypatch):
+def test_dense_keys_follow_sorted_order(spark):
     df = spark.range(3000).select(F.concat(F.lit("K"), F.lpad((F.col("id") * 7919 % 3000).cast("string"), 5, "0")).alias("k"))
-    df = df.unionAll(df.limit(500))
-    small = {r["k"]: r["n"] for r in keys.dense_keys(df, ["k"], "n").collect()}
-    monkeypatch.setattr(keys, "SMALL_KEYS", 10)
-    ranged = {r["k"]: r["n"] for r in keys.dense_keys(df, ["k"], "n").collect()}
-    assert small == ranged == {k: i for i, k in enumerate(sorted(small), start=1)}
-
-
-def test_number_within_hot_key_matches_window(spark):
-    df = spark.range(5000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 400 + 1).alias("g"), F.col("id").alias("v")
-    )
-    plain = keys.number_within(df, ["g"], ["v"], "n").collect()
-    hot = keys.number_within(df, ["g"], ["v"], "n", hot_rows=1000).collect()
-    assert sorted(map(tuple, plain)) == sorted(map(tuple, hot))
-    assert keys._hot_keys(df, F.xxhash64("g"), 1000)
+    found = {r["k"]: r["n"] for r in keys.dense_keys(df.unionAll(df.limit(500)), ["k"], "n").collect()}
+    assert found == {k: i for i, k in enumerate(sorted(found), start=1)}
+    assert keys.dense_keys(spark.createDataFrame([("b",), (None,), ("a",)], "k string"), ["k"], "n").count() == 3
+
+
+def plain_numbers(rows):
+    seen = {}
+    out = []
+    for g, v in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        seen[g] = seen.get(g, 0) + 1
+        out.append((g, v, seen[g]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("groups", [1, 1_500, 7])
+def test_number_within_keys_of_any_size(spark, groups):
+    # a third of all rows in one key, some in none, the others spread
+    rows = [(None if i % 50 == 1 else 0 if i % 3 == 0 else i % groups + 1, i) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "g long, v long").repartition(5)
+    found = keys.number_within(df, ["g"], ["v"], "n")
+    assert found.columns == ["g", "v", "n"]
+    assert sorted(map(tuple, found.collect()), key=str) == plain_numbers(rows)
+
+
+def test_layers_are_told_apart_by_settings_and_input(spark, tmp_path):
+    from claimloom.sources.layers import LayerStore
+
+    spark.range(2).write.parquet(str(tmp_path / "in" / "t.parquet"))
+    store = LayerStore(spark, str(tmp_path / "in"))
+    first = store.keep("panel", lambda: spark.range(3), ("policy", 2000))
+    second = store.keep("panel", lambda: spark.range(5), ("policy", 1999))
+    again = store.keep("panel", lambda: spark.range(9), ("policy", 2000))
+    assert (first.count(), second.count(), again.count()) == (3, 5, 3)
+    spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "in" / "t.parquet"))
+    assert LayerStore(spark, str(tmp_path / "in")).root != store.root
+
+
+def test_tables_are_built_when_asked_for(spark, monkeypatch):
+    from claimloom.sources.warehouse_model import WarehouseModel
+    from tests.conftest import SMALL
+
+    model = WarehouseModel(spark, SMALL)
+    monkeypatch.setattr(model.layers, "keep", lambda *_, **__: pytest.fail("a layer was written"))
+    assert model.tables()["plan"].count() > 0 and "claim_line" in model.tables()
+    with pytest.raises(KeyError):
+        model.tables()["nothing"]
 
 
 def test_dense_positions_of_empty_table(spark):

@@ -106,12 +106,52 @@ def test_stable_sample_and_latest(spark):
     assert newest == {"k": "new", "j": "only"}
 
 
-def test_quoted_line_breaks_need_the_unsplit_reader(spark, tmp_path):
-    path = write(tmp_path / "q.csv", 'A,B\n1,"x\ny"\n2,z\n')
+def written_csv(path, rows):
+    import csv
+    import io
+
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    return write(path, out.getvalue())
+
+
+def test_quoted_line_breaks_are_part_of_a_record(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'id,note\n1,"x\ny,z"\n2,"a\r\n""b"""\n\n3,plain\r\n4,"\ufffd"\n5,""\n')
+    rows = sorted(landing.read_text_csv(spark, path, "s", 2020).collect(), key=lambda r: r["id"])
+    wanted = [("1", "x\ny,z"), ("2", 'a\r\n"b"'), ("3", "plain"), ("4", "\ufffd"), ("5", None)]
+    assert [(r["id"], r["note"]) for r in rows] == wanted
+
+
+@pytest.mark.parametrize("split_bytes", [50, 333, 100_000])
+def test_splits_fall_anywhere(spark, tmp_path, split_bytes):
+    import random
+
+    draw = random.Random(split_bytes)
+    rows = [(str(i), draw.choice(["", "a,b", "line\nbreak", '"', 'q"\n"\n\n,', "x" * 40, "é\n" * 30]), "t") for i in range(200)]
+    path = written_csv(tmp_path / "s.csv", [("id", "note", "end"), *rows])
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in before:
+            spark.conf.set(name, split_bytes)
+        found = landing.read_text_csv(spark, path, "s", 2020).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted((int(r["id"]), r["note"] or "", r["end"]) for r in found) == [(int(i), n, t) for i, n, t in rows]
+
+
+def test_open_quotes_other_headers_and_marks(spark, tmp_path):
+    path = write(tmp_path / "o.csv", 'A,B\n1,"never closed\n2,3\n')
     with pytest.raises(Exception, match="malformed row"):
         landing.read_text_csv(spark, path, "s", 2020).collect()
-    rows = landing.read_text_csv(spark, path, "s", 2020, multi_line=True).collect()
-    assert [r["B"] for r in rows] == ["x\ny", "z"]
+    write(tmp_path / "two.csv" / "a.csv", "A,B\n1,2\n")
+    write(tmp_path / "two.csv" / "b.csv", "A,C\n1,2\n")
+    with pytest.raises(Exception, match="another header"):
+        landing.read_text_csv(spark, str(tmp_path / "two.csv"), "s", 2020).collect()
+    path = write(tmp_path / "b.csv", "\ufeffA,B\n1,2\n")
+    assert landing.read_text_csv(spark, path, "s", 2020, encoding="utf-8-sig").first()["A"] == "1"
+    with pytest.raises(ContractError):
+        landing.read_text_csv(spark, path, "s", 2020, encoding="utf-16")
 
 
 def test_folder_of_parts_counts_as_one_annual_file(spark, tmp_path):
