@@ -21,7 +21,8 @@ MAX_DEPTH = 8  # what lies deeper counts as one last segment
 MANY_CHILDREN = 16
 FEW_EACH = 4.0
 NORMAL_QUANTILE = 3.09  # of 0.999
-PRIOR_WEIGHT = 5.0
+# Laplace smoothing: a template without labels is at one half
+PRIOR_BLOCKED, PRIOR_LABELLED = 1.0, 2.0
 REJECT_AT = 0.8
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WILDCARD = "*"
@@ -149,10 +150,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         "shapes",
     )
     tree = written(template_tree(shapes), "tree")
-    overall = tree.agg(F.sum("n_block"), F.sum("n_allow")).first()
-    blocked, labelled = overall[0] or 0, (overall[0] or 0) + (overall[1] or 0)
-    prior = blocked / labelled if labelled else 0.0
-    purity = (F.sum("n_block") + PRIOR_WEIGHT * prior) / (F.sum("n_block") + F.sum("n_allow") + PRIOR_WEIGHT)
+    purity = (F.sum("n_block") + PRIOR_BLOCKED) / (F.sum("n_block") + F.sum("n_allow") + PRIOR_LABELLED)
     rejected = tree.groupBy("host", "template").agg(purity.alias("purity")).filter(
         F.col("purity") >= REJECT_AT
     ).select("host", "template", F.lit(BLOCK).alias("learned"))
