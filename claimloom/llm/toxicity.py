@@ -129,10 +129,12 @@ def learn_terms(sample: DataFrame, size: int = LEARNED_TERMS) -> Terms:
     if not toxic or not clean:
         return Terms(frozenset(), frozenset())
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"))
-    stems = [
-        F.transform(F.filter("words", lambda w, n=n: F.char_length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit(STEM_MARK)))
-        for n in STEM_LENGTHS
-    ]
+
+    def stems_of(length: int) -> Column:
+        longer = F.filter("words", lambda word: F.char_length(word) > length)
+        return F.transform(longer, lambda word: F.concat(F.substring(word, 1, length), F.lit(STEM_MARK)))
+
+    stems = map(stems_of, STEM_LENGTHS)
     terms = once.select("y", words.alias("words")).select("y", F.explode(F.array_distinct(F.concat("words", *stems))).alias("term"))
     held = terms.filter("term <> ''").groupBy("term").agg(
         F.count_if(F.col("y") > 0).alias("in_toxic"), F.count_if(F.col("y") <= 0).alias("in_clean")
