@@ -12,7 +12,7 @@ from claimloom.contracts.silver import INPATIENT
 from claimloom.operators.percentiles import exact_percentiles
 from claimloom.plans import benchmark, policy, silver
 
-DESIGN = policy.PolicyDesign(policy_start=date(2000, 1, 1))
+DESIGN = policy.PolicyDesign(run_id="warehouse-policy", policy_start=date(2000, 1, 1))
 
 
 def panel(model):

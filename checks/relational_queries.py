@@ -195,10 +195,11 @@ register(
 )
 register(
     "a9_table_profile",
-    lambda m: landing.profile(bronze_frame(m, "inpatient")).select("position", "column_name", "row_count"),
-    "position:long column_name:text row_count:long",
+    lambda m: landing.profile(bronze_frame(m, "inpatient")),
+    "position:long column_name:text column_type:text is_nullable:bool row_count:long",
     " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS column_name, count(*) AS row_count FROM bronze_inpatient"
+        f"SELECT {i} AS position, '{c}' AS column_name, '{'int' if c == '_reporting_year' else 'string'}' AS column_type, "
+        "TRUE AS is_nullable, count(*) AS row_count FROM bronze_inpatient"
         for i, c in enumerate(BRONZE["inpatient"][1])),
 )
 

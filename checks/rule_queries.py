@@ -10,7 +10,7 @@ from checks.registry import register
 from claimloom.contracts.review_rules import RULES, RuleSettings
 from claimloom.plans import evaluation, rules
 
-SETTINGS = RuleSettings(policy_start=date(2000, 1, 1))
+SETTINGS = RuleSettings(run_id="warehouse-rules", deterministic_seed=42, policy_start=date(2000, 1, 1))
 
 
 def limits_of(model):

@@ -138,10 +138,10 @@ INCOMPATIBLE_DIAGNOSIS = {
 
 @dataclass(frozen=True)
 class RuleSettings:
-    run_id: str = "M05-EVAL-20260724"
+    run_id: str
+    deterministic_seed: int
     contract_version: int = 1
     source_variant: str = "anomalous_evaluation"
-    deterministic_seed: int = 20260724
     maximum_findings_per_rule: int = 50
     peer_threshold_multiplier: str = "1.25"
     minimum_peer_count: int = 11

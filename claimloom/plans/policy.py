@@ -30,7 +30,7 @@ OUTCOMES = ("paid_pmpm", "allowed_pmpm", "claims_per_1000", "denial_rate", "revi
 
 @dataclass(frozen=True)
 class PolicyDesign:
-    run_id: str = "M07-EVAL-20260724"
+    run_id: str
     policy_start: date = date(2026, 1, 1)
     pre_months: int = 12
     post_months: int = 6

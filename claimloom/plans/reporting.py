@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimloom.errors import ContractError
 from claimloom.functions.numbers import MONEY, WIDE_MONEY, total
 from claimloom.operators.quality import all_checks, report, row_count, violations
+from claimloom.sources.publish import save_managed
 
 MINIMUM_MEMBERS = 11
 
@@ -288,6 +289,22 @@ def table_manifest(
     return reduce(DataFrame.unionByName, parts)
 
 
+def load_and_validate(
+    tables: dict[str, DataFrame], manifest: DataFrame, keys: dict[str, list[str]], measures: dict[str, list[str]],
+    schema: str, strict: bool = True,
+) -> DataFrame:
+    """Load managed tables, read them back and hold them against the manifest.
+
+    The results are saved as the table ``load_validation`` of the schema; with ``strict`` a failed check raises.
+    """
+    loaded = {name: save_managed(df, schema, name) for name, df in tables.items()}
+    results = save_managed(validate_against_manifest(manifest, table_manifest(loaded, keys, measures)), schema, "load_validation")
+    failed = [f"{row['table_name']} {row['check_type']}" for row in results.filter("NOT passed").collect()]
+    if strict and failed:
+        raise ContractError(f"failed load checks: {', '.join(sorted(failed))}")
+    return results
+
+
 def validate_against_manifest(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     """Loaded totals against the manifest: counts exactly, sums within a cent."""
     key = ["table_name", "check_type"]

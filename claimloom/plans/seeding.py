@@ -44,7 +44,7 @@ METHODS = {
 
 @dataclass(frozen=True)
 class SeedSettings:
-    seed: int = 20260724
+    seed: int
     target_count: int = 50
     peer_multiplier: str = "1.25"
     minimum_peers: int = 11

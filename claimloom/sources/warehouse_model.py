@@ -26,6 +26,9 @@ REPORTING_END = "2001-08-31"
 POLICY_START = "2000-01-01"
 POLICY_END = "2000-06-30"
 
+# seed recorded with planted labels
+LABEL_SEED = 42
+
 # the warehouse's fixed customer segments
 MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -582,7 +585,7 @@ class WarehouseModel:
                 "label_scope",
                 F.lit(None).cast("string").alias("overlap_group"),
                 "expected_financial_exposure",
-                F.lit(20260724).alias("deterministic_seed"),
+                F.lit(LABEL_SEED).alias("deterministic_seed"),
                 F.lit(1).alias("contract_version"),
                 F.lit(True).alias("synthetic_record"),
             )

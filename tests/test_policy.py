@@ -81,7 +81,7 @@ def test_fit_equals_dense_regression(panel, terms, months, weighted, upper):
 
 
 def test_estimates_cover_every_outcome_and_specification(panel):
-    design = policy.PolicyDesign(policy_start=date(2026, 1, 1), pre_months=4, post_months=3, placebo_months_before=2)
+    design = policy.PolicyDesign(run_id="run", policy_start=date(2026, 1, 1), pre_months=4, post_months=3, placebo_months_before=2)
     results = policy.estimate_policy(panel, design)
     effects = results["policy_effect_estimate"].collect()
     assert len(effects) == 15 and {r["outcome_name"] for r in effects} == set(policy.OUTCOMES)
@@ -101,7 +101,7 @@ def test_tails():
 
 
 def test_panel_is_balanced(model):
-    design = policy.PolicyDesign(policy_start=date(2000, 1, 1))
+    design = policy.PolicyDesign(run_id="run", policy_start=date(2000, 1, 1))
     panel = policy.provider_month_panel(model.facts, design)
     counts = {r["n"] for r in panel.groupBy("provider_key").agg(F.count("*").alias("n")).collect()}
     assert counts == {18}

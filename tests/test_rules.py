@@ -107,20 +107,20 @@ def test_unusual_amounts_equal_a_plain_loop(spark, seed):
     pool = [D(random.choice(["0.00", "0.01", "0.02", "0.03", "99.99", "100.00", "100.01", "125.00"])) for _ in range(12)]
     pool += [D(random.randint(0, 90000)) / 100 for _ in range(25)]
     lines = [line(i, 1, i, allowed=str(v)) for i, v in enumerate(pool, start=1)]
-    got = targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings()))
+    got = targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings("run", 1)))
     assert got == loop_unusual([(f"LIN{i:012d}", v) for i, v in enumerate(pool, start=1)])
 
 
 def test_small_peer_groups_are_left_alone(spark):
     lines = [line(i, 1, i, allowed=str(10 ** i)) for i in range(1, 10)]
-    assert targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings())) == []
+    assert targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings("run", 1))) == []
 
 
 def test_surge_needs_history(spark):
     old = [claim(f"{m}{i}", day=date(2025, m, 5)) for m in range(1, 7) for i in (1, 2)]
     new = [claim(f"9{i}", day=date(2026, 3, 9), net="10.00") for i in range(7)]
     short = [claim(f"8{i}", provider="P2", day=date(2026, 3, 9)) for i in range(40)]
-    found = rules.utilization_surges(facts(spark, claims=old + new + short), RuleSettings()).collect()
+    found = rules.utilization_surges(facts(spark, claims=old + new + short), RuleSettings("run", 1)).collect()
     assert [(r["target_record_id"], r["observed_value"], r["threshold_value"], r["amount_at_risk"]) for r in found] == [
         ("P1:2026-03-01", "7", "6.0000", D("70.00"))]
 
@@ -138,7 +138,7 @@ def test_diagnosis_mismatch_needs_a_single_category(spark):
     claims = [claim(1, diagnosis="M1711"), claim(2, diagnosis="M1711"), claim(3, diagnosis="I10")]
     lines = [line(1, 1, code="93000"), line(2, 1, 2, code="none"), line(3, 2, code="93000"), line(4, 2, 2, code="97110"),
              line(5, 3, code="93000")]
-    found = rules.diagnosis_mismatches(facts(spark, claims=claims, lines=lines, categories=categories), RuleSettings()).collect()
+    found = rules.diagnosis_mismatches(facts(spark, claims=claims, lines=lines, categories=categories), RuleSettings("run", 1)).collect()
     assert [(r["target_record_id"], r["observed_value"]) for r in found] == [("CLM1", "musculoskeletal:cardiovascular")]
 
 
@@ -148,7 +148,7 @@ def test_labels_are_refused_as_detection_input(spark):
 
 
 def test_matching_and_empty_denominators(spark):
-    settings = RuleSettings()
+    settings = RuleSettings("run", 1)
     findings = spark.createDataFrame(
         [("F1", "PI005", "claim", "C1", None, None, None, None, "C1", D("3.00")),
          ("F2", "PI005", "claim", "C2", None, None, None, None, "C2", D("1.00"))],
@@ -172,7 +172,7 @@ def test_matching_and_empty_denominators(spark):
 
 
 def test_cap_keeps_the_strongest_and_numbers_in_order(spark):
-    settings = RuleSettings(maximum_findings_per_rule=2)
+    settings = RuleSettings("run", 1, maximum_findings_per_rule=2)
     claims = [claim(i, net=str(80 + i)) for i in range(1, 6)]
     selected = rules.select_findings(rules.overpayments(facts(spark, claims=claims)), settings)
     got = [(r["finding_id"], r["target_record_id"]) for r in rules.findings_table(selected).orderBy("finding_id").collect()]
