@@ -212,7 +212,7 @@ def isolation(model):
     reports = [quality.duplicate_keys("targets_not_disjoint", state.labels, ["target_record_id"]),
                quality.violations(state.labels, {"negative_exposure": F.col("expected_financial_exposure") < 0})]
     for table, rows in before.items():
-        plain = lambda df: df.join(F.broadcast(labelled), "claim_id", "left_anti").join(known, "claim_id", "left_semi")
+        plain = lambda df: df.join(labelled, "claim_id", "left_anti").join(known, "claim_id", "left_semi")
         reports.append(quality.rows_differ(f"{table}_untouched_rows_changed", plain(rows), plain(state.tables[table])))
     return quality.all_checks(*reports)
 

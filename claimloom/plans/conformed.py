@@ -123,7 +123,7 @@ def from_star(star: dict[str, DataFrame], service_categories: DataFrame | None =
 
     def dated(frame: DataFrame, key: str, name: str) -> DataFrame:
         role = dates.select(F.col("date_key").alias(key), F.col("calendar_date").alias(name))
-        return frame.join(F.broadcast(role), key, "left")
+        return frame.join(role, key, "left")
 
     providers = star["dim_provider"].select(
         F.col("provider_key").alias("billing_provider_key"),

@@ -39,7 +39,7 @@ def resolve_labels(star: dict[str, DataFrame]) -> DataFrame:
     dates = star["dim_date"].select(
         F.col("date_key").alias("reporting_period_date_key"), F.col("calendar_date").alias("reporting_period")
     )
-    return labels.join(F.broadcast(dates), "reporting_period_date_key", "left")
+    return labels.join(dates, "reporting_period_date_key", "left")
 
 
 def match_labels(findings: DataFrame, labels: DataFrame, settings: RuleSettings) -> DataFrame:

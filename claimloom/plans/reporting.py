@@ -67,7 +67,7 @@ def access_of(table: str) -> str:
 def review_lead_summary(findings: DataFrame, claims: DataFrame) -> DataFrame:
     """Leads per rule with values withheld where fewer than eleven members are concerned."""
     # findings are a capped list, so they may travel to the claims
-    wanted = F.broadcast(findings.select("claim_id").filter(F.col("claim_id").isNotNull()).distinct())
+    wanted = findings.select("claim_id").filter(F.col("claim_id").isNotNull()).distinct()
     members = (
         claims.select("claim_id", "member_id").join(wanted, "claim_id", "left_semi").dropDuplicates(["claim_id"])
     )

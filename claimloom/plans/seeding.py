@@ -76,7 +76,7 @@ class Seeded:
         if self.labels is None:
             return headers
         taken = self.labels.select("claim_id").distinct()
-        return headers.join(F.broadcast(taken), "claim_id", "left_anti")
+        return headers.join(taken, "claim_id", "left_anti")
 
 
 def required(targets: DataFrame, count: int, what: str) -> None:
@@ -179,7 +179,7 @@ def first_of(df: DataFrame, key: str, order: str, name: str, latest: bool = Fals
 
 def with_header_deltas(headers: DataFrame, deltas: DataFrame) -> DataFrame:
     """Add per-claim amounts; ``deltas`` holds one row per target claim."""
-    joined = headers.join(F.broadcast(deltas), "claim_id", "left")
+    joined = headers.join(deltas, "claim_id", "left")
     for total_name, line_name in HEADER_OF_LINE.items():
         moved = F.coalesce(F.col(f"d_{line_name}"), F.lit(0))
         joined = joined.withColumn(total_name, (F.col(total_name) + moved).cast(MONEY))
@@ -187,7 +187,7 @@ def with_header_deltas(headers: DataFrame, deltas: DataFrame) -> DataFrame:
 
 
 def with_payment_deltas(payments: DataFrame, deltas: DataFrame) -> DataFrame:
-    joined = payments.join(F.broadcast(deltas), "payment_transaction_id", "left")
+    joined = payments.join(deltas, "payment_transaction_id", "left")
     amount = F.col("signed_transaction_amount") + F.coalesce("d_payment", F.lit(0))
     return joined.withColumn("signed_transaction_amount", amount.cast(MONEY)).select(*payments.columns)
 
@@ -211,7 +211,7 @@ def seed_record_level(state: Seeded, settings: SeedSettings) -> Seeded:
         lambda: select_ranked(eligible, settings.seed, "record_level_target", "claim_id", settings.target_count, rules),
     )
     required(chosen, settings.target_count * len(rules), "claims for record-level rules")
-    targets = F.broadcast(chosen)
+    targets = chosen
     of_targets = lambda df: df.join(targets.select("claim_id"), "claim_id", "left_semi")
     line_numbers = next_numbers(lines, "claim_line_id")
     last = of_targets(lines).groupBy("claim_id").agg(F.max("line_number").alias("_last"))
@@ -325,7 +325,7 @@ def seed_ledger(state: Seeded, settings: SeedSettings) -> Seeded:
     service = headers.select("claim_id", F.col("service_from_date").alias("_service"),
                              F.col("billing_provider_id").alias("provider_id"))
     own = F.col("payment_transaction_id")
-    detail = service.join(F.broadcast(chosen), "claim_id").select(
+    detail = service.join(chosen, "claim_id").select(
         "*",
         injection_id(first, order).alias("injection_id"),
         added(1, 2, 1, "reversal", -amount, own).alias("r"),
@@ -337,7 +337,7 @@ def seed_ledger(state: Seeded, settings: SeedSettings) -> Seeded:
     detail = state.keep("seed_ledger_detail", lambda: detail)
     inserted_rows = detail.filter(rule == "PI003").select(F.explode(F.array("r", "n")).alias("_row")).select("_row.*")
     early = detail.filter(rule == "PI004").select("payment_transaction_id", "_early")
-    moved = payments.join(F.broadcast(early), "payment_transaction_id", "left").withColumn(
+    moved = payments.join(early, "payment_transaction_id", "left").withColumn(
         "transaction_date", F.coalesce("_early", "transaction_date")
     )
     marked = {"transaction_type", "signed_transaction_amount"}
@@ -399,7 +399,7 @@ def seed_outlier_amounts(state: Seeded, settings: SeedSettings) -> Seeded:
     ).cast(MONEY)
     first = state.labels.count() + 1
     pays = payments.filter(F.col("transaction_type") == "payment").join(
-        F.broadcast(chosen.select("claim_id")), "claim_id", "left_semi"
+        chosen.select("claim_id"), "claim_id", "left_semi"
     )
     money = lambda name: F.coalesce(name, F.lit(0)).cast(MONEY)
     detail = (
@@ -419,7 +419,7 @@ def seed_outlier_amounts(state: Seeded, settings: SeedSettings) -> Seeded:
     )
     detail = state.keep("seed_outlier_detail", lambda: detail)
     new_values = detail.select("claim_line_id", "_charge", "_allowed", "_liability")
-    changed = lines.join(F.broadcast(new_values), "claim_line_id", "left")
+    changed = lines.join(new_values, "claim_line_id", "left")
     for name in ("charge", "allowed", "liability"):
         column = "member_liability_amount" if name == "liability" else f"{name}_amount"
         changed = changed.withColumn(column, F.coalesce(f"_{name}", column).cast(MONEY))
@@ -480,7 +480,7 @@ def seed_surges(state: Seeded, settings: SeedSettings) -> Seeded:
         F.explode(F.sequence(F.lit(0).cast("bigint"), needed - 1)).alias("_offset"),
     ).withColumn("_template", F.col("_offset") % F.col("_templates") + 1)
     templates = number_within(
-        usable.join(F.broadcast(chosen.select(*period)), period, "left_semi"), period, ["claim_id"], "_template"
+        usable.join(chosen.select(*period), period, "left_semi"), period, ["claim_id"], "_template"
     )
     claim_numbers = next_numbers(headers, "claim_id")
     logical_numbers = next_numbers(headers, "logical_claim_id")
@@ -575,7 +575,7 @@ def seed_repeated_procedures(state: Seeded, settings: SeedSettings, limits: Data
     )
     required(chosen, settings.target_count, "claims for PI009")
     first, numbers = state.labels.count() + 1, next_numbers(lines, "claim_line_id")
-    only = lambda df: df.join(F.broadcast(chosen.select("claim_id")), "claim_id", "left_semi")
+    only = lambda df: df.join(chosen.select("claim_id"), "claim_id", "left_semi")
     last = only(lines).groupBy("claim_id").agg(F.max("line_number").alias("_last"))
     copies = F.col("_limit") - F.col("_current") + 1
     # bounded targets, so a running sum over them may sit in one task
@@ -660,7 +660,7 @@ def seed_diagnoses(state: Seeded, settings: SeedSettings, categories: DataFrame)
     )
     required(chosen, settings.target_count, "claims for PI010")
     first = state.labels.count() + 1
-    joined = headers.join(F.broadcast(chosen), "claim_id", "left")
+    joined = headers.join(chosen, "claim_id", "left")
     old = F.col("principal_diagnosis_code")
     detail = joined.filter(F.col("_code").isNotNull()).select(
         "claim_id", old, "_code", F.col("claim_id").alias("target_record_id"),

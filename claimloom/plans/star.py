@@ -134,7 +134,7 @@ class Star:
     def _date(self, frame: DataFrame, column: str, name: str) -> DataFrame:
         # the calendar is small whatever the facts hold
         role = self.dim_date.select(F.col("calendar_date").alias(column), F.col("date_key").alias(name))
-        return frame.join(F.broadcast(role), column, "left")
+        return frame.join(role, column, "left")
 
     def _variant(self) -> Column:
         return F.lit(self.source_variant).alias("source_variant")
