@@ -3,9 +3,9 @@
 Test items form an inverted index; a posting's weight is its BM25 contribution divided by the item's score
 against itself, so one threshold fits items of any length.  Every text is cut into overlapping passages
 that hold any item whole, and each passage is a query that retrieves all items at the threshold.  As in
-block-max WAND, a passage is passed over if the largest weights of its terms can't reach the threshold,
-and blocks of items if the largest weights within them can't; both bounds are evaluated for whole lists at
-once.  A retrieved item counts if enough of its question's and of its answer's word n-grams stand in
+block-max WAND, items are bounded by the largest weights that a passage's terms have in their block, and
+postings are read only where a bound reaches the threshold; the bounds of all passages of a text are
+evaluated at once.  A retrieved item counts if enough of its question's and of its answer's word n-grams stand in
 the passage.
 """
 
@@ -64,13 +64,14 @@ class Lists:
         self.places = np.array([place for entries in lists for place, _ in entries], dtype=np.int64)
         self.weights = np.array([weight for entries in lists for _, weight in entries])
 
-    def summed(self, terms: np.ndarray, size: int) -> np.ndarray:
-        """Sum of the weights at each of ``size`` places over the lists of ``terms``."""
+    def summed(self, terms: np.ndarray, size: int, rows: np.ndarray | None = None, n_rows: int = 1) -> np.ndarray:
+        """Sum of the weights at each of ``size`` places over the lists of ``terms``, for each row of terms."""
         starts = self.starts[terms]
         lengths = self.starts[terms + 1] - starts
         before = np.cumsum(lengths) - lengths
         entries = np.arange(lengths.sum()) + np.repeat(starts - before, lengths)
-        return np.bincount(self.places[entries], self.weights[entries], minlength=size)
+        places = self.places[entries] + (np.repeat(rows * size, lengths) if n_rows > 1 else 0)
+        return np.bincount(places, self.weights[entries], minlength=n_rows * size).reshape(n_rows, size)
 
 
 def block_most(postings: list[tuple[int, float]]) -> list[tuple[int, float]]:
@@ -105,20 +106,11 @@ class ItemIndex:
                 pairs[self.terms[word]].append((at, score / whole))
         lists = [pairs[at] for at in range(len(self.terms))]
         self.postings, self.blocks = Lists(lists), Lists(list(map(block_most, lists)))
-        # the last place stands for words of no item
-        self.most = np.array([max(weight for _, weight in entries) for entries in lists] + [0.0])
         self.stride = max(LEAST_STRIDE, self.longest)
 
     def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """All items whose share of their own score reaches the threshold for a passage's distinct ``terms``.
-
-        Blocks of items are bounded by the sum of their terms' largest weights; postings are read only if
-        some block can reach the threshold.
-        """
-        bounds = self.blocks.summed(terms, -(-len(self.ids) // BLOCK))
-        if not len(terms) or bounds.max() < THRESHOLD - ROUNDING:
-            return []
-        scores = self.postings.summed(terms, len(self.ids))
+        """All items whose share of their own score reaches the threshold for a passage's distinct ``terms``."""
+        scores = self.postings.summed(terms, len(self.ids))[0]
         return [(item, float(scores[item])) for item in np.flatnonzero(scores >= THRESHOLD - ROUNDING).tolist()]
 
     def search(self, text: str | None) -> dict[int, tuple[int, float, float, float]]:
@@ -129,12 +121,15 @@ class ItemIndex:
             return best
         none = len(self.terms)
         coded = np.fromiter(map(self.terms.get, words, repeat(none)), dtype=np.int64, count=len(words))
-        # bounds of half passages from their distinct terms; a passage is two of them
+        # halves of passages bound each block of items by the largest weights of their distinct terms
         stripe = np.arange(len(coded)) // self.stride
-        distinct = np.unique(stripe * (none + 1) + coded)
-        halves = np.bincount(distinct // (none + 1), self.most[distinct % (none + 1)], minlength=stripe[-1] + 1)
-        bounds = halves + np.r_[halves[1:], 0.0]
-        for at in np.flatnonzero(bounds >= THRESHOLD - ROUNDING).tolist():
+        known = coded < none
+        distinct = np.unique(stripe[known] * none + coded[known])
+        halves = self.blocks.summed(distinct % none, -(-len(self.ids) // BLOCK), distinct // none, stripe[-1] + 1)
+        bounds = halves.copy()
+        bounds[:-1] += halves[1:]
+        # postings are read only for passages in which some block can reach the threshold
+        for at in np.flatnonzero(bounds.max(axis=1) >= THRESHOLD - ROUNDING).tolist():
             passage = coded[at * self.stride : (at + 2) * self.stride]
             terms = np.unique(passage)
             retrieved = self.retrieve(terms[:-1] if terms[-1] == none else terms)
