@@ -44,25 +44,30 @@ class Encoder:
 
     A vocabulary whose ids are in order of its merges, as in the file read here, gives the same ids with
     ``tiktoken``, which is several times faster; the first texts of a task are compared with ``tokenizers`` itself.
+    With ``special_ids`` a special string in a text, like ``<|endoftext|>``, gets its own id, as ``tokenizers`` gives
+    it by default; without, it is ordinary text.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, special_ids: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.reference = Tokenizer.from_file(path)
-        self.reference.encode_special_tokens = True  # special strings are ordinary text
+        self.reference.encode_special_tokens = not special_ids
         model = json.loads(self.reference.to_str())
-        special = {token["content"] for token in model["added_tokens"]}
+        special = {token["content"]: token["id"] for token in model["added_tokens"]}
+        if special_ids and any(token["single_word"] or token["lstrip"] or token["rstrip"] for token in model["added_tokens"]):
+            raise ValueError("special strings that take blanks or word ends with them can't be encoded")
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special
         }
-        self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special if special_ids else {})
+        self.allowed = "all" if special_ids else set()
         self.to_compare = COMPARED
 
     def encode(self, text: str) -> bytes:
-        ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        ids = self.fast.encode_to_numpy(text, allowed_special=self.allowed, disallowed_special=())
         if self.to_compare:
             self.to_compare -= 1
             if ids.tolist() != self.reference.encode(text, add_special_tokens=False).ids:
@@ -233,6 +238,7 @@ def pack_documents(
     lengths: tuple[int, ...] = LENGTHS,
     step_tokens: int = STEP_TOKENS,
     with_ids: bool = True,
+    special_ids: bool = False,
 ) -> DataFrame:
     """Pieces of all documents (``doc_id``, ``text``) packed into sequences.
 
@@ -241,7 +247,7 @@ def pack_documents(
     A null text counts as empty and holds the separator only; a null id is kept as null; repeated rows are
     packed once each; an empty table gives no rows; other columns are ignored.  ``lengths`` are powers of
     two in falling order.  ``tokenizer_path`` is a byte-level vocabulary of ``tokenizers`` that every
-    executor has, ``pattern`` what it cuts texts by.
+    executor has, ``pattern`` what it cuts texts by.  With ``special_ids`` special strings in texts get their own ids.
     """
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
               ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
@@ -250,7 +256,7 @@ def pack_documents(
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path, pattern)
+        encoder = Encoder(tokenizer_path, pattern, special_ids)
         base = TaskContext.get().partitionId() << LOCAL_BITS
         pairs = ((doc, encoder.encode(text or "")) for batch in batches for doc, text in zip(batch[0].to_pylist(), batch[1].to_pylist()))
         for rows in pack_partition(pairs, lengths, step_tokens, base, with_ids):

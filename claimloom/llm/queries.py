@@ -64,7 +64,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1,024 ids."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer(), with_ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer(), with_ids=False, special_ids=True)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
