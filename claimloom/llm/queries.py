@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import decontamination, language_id, packing, quality, sharding, simhash, suffix_tree, toxicity, url_filter, vector_search
+from claimloom.llm import (
+    decontamination,
+    language_id,
+    packing,
+    periodic_runs,
+    quality,
+    sharding,
+    simhash,
+    suffix_tree,
+    toxicity,
+    url_filter,
+    vector_search,
+)
 from claimloom.llm.common import held_out, table
 
 
@@ -84,6 +96,39 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def _with_planted_run(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in one document of ten, by the digest of its id, the end of the text repeats words before it."""
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    count = F.size("words").cast("long")
+    parts = (
+        docs.select("doc_id", "text", digest.alias("digest"))
+        .withColumn("words", F.when(F.col("digest") % 10 == 0, words))
+        .withColumn("start", F.floor(F.col("digest") / 10) % count)
+        .withColumn("period", 1 + F.floor((count - F.col("start")) / (3 + F.floor(F.col("digest") / 10) % 8)))
+    )
+    start, period = F.col("start"), F.col("period")
+    place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period)
+    planted = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.col("words")[place(i)])
+    return parts.select("doc_id", F.when((F.col("digest") % 10 == 0) & (count > 0), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, as digests, and the longest of them."""
+    found = periodic_runs.word_runs(_with_planted_run(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("shortness"), r.start, r.period)))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    length = -F.col("longest.shortness")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"), length.alias("length"), F.col("longest.period").alias("period"),
+        F.floor(1000 * length / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_url_filter": op2_url_filter,
@@ -95,6 +140,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES = {
