@@ -10,6 +10,7 @@ from claimloom.llm import (
     language_id,
     packing,
     periodic_runs,
+    phrases,
     quality,
     sharding,
     simhash,
@@ -96,6 +97,11 @@ def op10_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language."""
+    return phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents")))
+
+
 def _with_planted_run(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; in one document of ten, by the digest of its id, the end of the text repeats words before it."""
     digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -140,6 +146,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op11_phrases": op11_phrases,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
@@ -157,5 +164,40 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+placed AS (
+  SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS pos
+  FROM worded, (VALUES (1), (2), (3), (4)) lengths(k) WHERE len(words) >= k),
+totals AS (SELECT lang, count(*) AS n FROM placed WHERE k = 1 GROUP BY lang),
+frequent AS (
+  SELECT lang, k, array_to_string(words[pos : pos + k - 1], ' ') AS phrase, count(*) AS f
+  FROM placed GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM frequent WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r,
+    (CAST(c.a AS HUGEINT) * 2000000) // (CAST(l.f AS HUGEINT) + r.f) AS score
+  FROM cuts c
+  JOIN frequent l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1 : c.cut], ' ')
+  JOIN frequent r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.cut + 1 :], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, a, words, part_length, unnest(range(1, k - part_length + 2)) AS pos
+  FROM (SELECT DISTINCT lang, phrase, k, a, words FROM cuts), (VALUES (2), (3)) lengths(part_length) WHERE part_length < k),
+covering AS (
+  SELECT lang, array_to_string(words[pos : pos + part_length - 1], ' ') AS phrase, max(a) AS longer FROM inner_parts GROUP BY ALL),
+ranked AS (
+  SELECT w.lang, w.phrase, w.a, w.l, w.r, w.score,
+    row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS place
+  FROM lowest w LEFT JOIN covering v ON v.lang = w.lang AND v.phrase = w.phrase
+  WHERE v.longer IS NULL OR CAST(v.longer AS HUGEINT) * 100 < CAST(w.a AS HUGEINT) * 80)
+SELECT ranked.lang, place AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE place <= 2000
 """,
 }
