@@ -12,6 +12,7 @@ from claimloom.llm import (
     periodic_runs,
     phrases,
     quality,
+    repeated_bytes,
     sharding,
     simhash,
     suffix_tree,
@@ -135,6 +136,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur elsewhere."""
+    found = repeated_bytes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span.length)
+    return found.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_tree": op1_suffix_tree,
     "op2_url_filter": op2_url_filter,
@@ -148,6 +159,7 @@ QUERIES = {
     "op10_nearest_vectors": op10_nearest_vectors,
     "op11_phrases": op11_phrases,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_repeated_bytes": op13_repeated_bytes,
 }
 
 ORACLES = {
@@ -199,5 +211,26 @@ ranked AS (
   WHERE v.longer IS NULL OR CAST(v.longer AS HUGEINT) * 100 < CAST(w.a AS HUGEINT) * 80)
 SELECT ranked.lang, place AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE place <= 2000
+""",
+    "op13_repeated_bytes": """
+WITH numbered AS (SELECT row_number() OVER () AS row_id, doc_id, encode(coalesce(text, '')) AS bytes FROM documents),
+hexed AS (SELECT row_id, doc_id, octet_length(bytes) AS n_bytes, hex(bytes) AS digits FROM numbered),
+strings AS (SELECT row_id, unnest(range(0, n_bytes - 199)) AS pos FROM hexed WHERE n_bytes >= 200),
+named AS (SELECT row_id, pos, md5_number(substr(digits, 2 * pos + 1, 400)) AS name FROM strings JOIN hexed USING (row_id)),
+repeated AS (SELECT row_id, pos FROM named WHERE name IN (SELECT name FROM named GROUP BY name HAVING count(*) > 1)),
+marked AS (
+  SELECT row_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY row_id ORDER BY pos) + 200 THEN 0 ELSE 1 END AS opens FROM repeated),
+grouped AS (SELECT row_id, pos, sum(opens) OVER (PARTITION BY row_id ORDER BY pos) AS span FROM marked),
+spans AS (SELECT row_id, span, min(pos) AS start, max(pos) + 200 AS stop FROM grouped GROUP BY ALL),
+borders AS (
+  SELECT row_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY row_id ORDER BY start), 0) AS before FROM spans),
+kept AS (
+  SELECT b.row_id, count(*) AS n_spans, sum(stop - start) AS n_removed, max(stop) AS last_stop,
+    string_agg(substr(h.digits, 2 * before + 1, 2 * (start - before)), '' ORDER BY start) AS head
+  FROM borders b JOIN hexed h USING (row_id) GROUP BY b.row_id)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head || substr(digits, 2 * last_stop + 1), digits))) AS kept_sha256
+FROM hexed LEFT JOIN kept USING (row_id)
 """,
 }
