@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -67,7 +68,11 @@ class Encoder:
         self.to_compare = COMPARED
 
     def encode(self, text: str) -> bytes:
-        ids = self.fast.encode_to_numpy(text, allowed_special=self.allowed, disallowed_special=())
+        try:
+            ids = self.fast.encode_to_numpy(text, allowed_special=self.allowed, disallowed_special=())
+        except ValueError:
+            # its pattern matcher gives up within runs of about a million blanks
+            return np.array(self.reference.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if self.to_compare:
             self.to_compare -= 1
             if ids.tolist() != self.reference.encode(text, add_special_tokens=False).ids:

@@ -167,12 +167,12 @@ def _numbered(texts: list[bytes]) -> tuple[list[list[bytes]], list[np.ndarray]]:
     return words, [np.array([numbers.setdefault(word, len(numbers)) for word in text], dtype=np.int64) for text in words]
 
 
-def _portions(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``WORDS_AT_ONCE`` words; a text alone may have more."""
+def _portions(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` words; a text alone may have more."""
     begin, size = 0, 0
     for at, text in enumerate(texts):
         words = len(text) // 6 + 1
-        if size and size + words > WORDS_AT_ONCE:
+        if size and size + words > most:
             yield begin, at
             begin, size = at, 0
         size += words
@@ -193,7 +193,7 @@ def word_runs(docs: DataFrame) -> DataFrame:
         for batch in batches:
             column = batch.column(len(kept))
             texts = [value or b"" for value in column.cast(pa.binary()).to_pylist()]
-            for begin, end in _portions(texts):
+            for begin, end in _portions(texts, WORDS_AT_ONCE):
                 words, numbers = _numbered(texts[begin:end])
                 runs = find_runs(numbers)
                 shorter = [b" ".join(collapsed(*pair)) for pair in zip(words, runs)]

@@ -66,7 +66,7 @@ class Generation:
         return (bitmap[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _tokens(texts: list[bytes]) -> Iterator[list[bytes]]:
+def _tokens(texts: list[bytes], most: int, most_bytes: int) -> Iterator[list[bytes]]:
     """Words with a border after each piece, in portions that end with a border."""
     part: list[bytes] = []
     for text in texts:
@@ -74,14 +74,14 @@ def _tokens(texts: list[bytes]) -> Iterator[list[bytes]]:
         begin = 0
         while begin < len(text):
             end = len(text)
-            if end - begin > TEXT_BYTES_AT_ONCE:
-                cut = text.find(BORDER, begin + TEXT_BYTES_AT_ONCE)
+            if end - begin > most_bytes:
+                cut = text.find(BORDER, begin + most_bytes)
                 end = cut + 1 if cut >= 0 else end
             # blanks other than 0x20 and 0x09 are borders by now
             part += text[begin:end].replace(BORDER, b" \xff ").split()
             part.append(BORDER)
             begin = end
-            if len(part) >= WORDS_AT_ONCE:
+            if len(part) >= most:
                 yield part
                 part = []
     if part:
@@ -175,7 +175,7 @@ def _pass_over(docs: DataFrame, generations: list[Generation], fresh: bool, long
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for lang in sorted(set(langs)):
                 own = [text or b"" for text, known in zip(texts, langs) if known == lang]
-                for tokens in _tokens(own):
+                for tokens in _tokens(own, WORDS_AT_ONCE, TEXT_BYTES_AT_ONCE):
                     for k, phrases, counts in _counted(tokens, lang, shared.value, fresh, longest):
                         if len(phrases):
                             yield pa.RecordBatch.from_arrays(

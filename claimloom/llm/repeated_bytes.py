@@ -83,7 +83,7 @@ def positions(buffer: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes[place], place, place - starts[last], place - starts[first]
 
 
-def _portions(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+def _portions(texts: list[bytes], most: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """``bytes, starts, text, offset``: joined texts, starts of all their strings, and number, begin and offset of each piece.
 
     A long text is divided into pieces that overlap, so that each of its strings starts in one piece.
@@ -99,12 +99,12 @@ def _portions(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarra
         return b"".join(pieces), starts, begins, table
 
     for number, text in enumerate(texts):
-        for begin in range(0, max(0, len(text) - LENGTH + 1), BYTES_AT_ONCE):
-            piece = text[begin : begin + BYTES_AT_ONCE + LENGTH - 1]
+        for begin in range(0, max(0, len(text) - LENGTH + 1), most):
+            piece = text[begin : begin + most + LENGTH - 1]
             pieces.append(piece)
             origin.append((number, begin, len(piece)))
             size += len(piece)
-            if size >= BYTES_AT_ONCE:
+            if size >= most:
                 yield joined()
                 pieces, origin, size = [], [], 0
     if pieces:
@@ -148,7 +148,7 @@ def _set_bits(hashes: DataFrame) -> bytes:
 
 
 def _has_bit(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
-    bits = hashes & np.uint64(FILTER_BITS - 1)
+    bits = hashes & np.uint64(8 * len(bitmap) - 1)
     return (np.frombuffer(bitmap, np.uint8)[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -162,7 +162,7 @@ def _ranked(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             distinct, counts, _ = _texts(batch)
-            for buffer, starts, begins, origin in _portions(distinct):
+            for buffer, starts, begins, origin in _portions(distinct, BYTES_AT_ONCE):
                 rank, place, _, _ = positions(np.frombuffer(buffer, np.uint8), starts)
                 weights = counts[origin[np.searchsorted(begins, place, side="right") - 1, 0]]
                 found, inverse = np.unique(rank, return_inverse=True)
@@ -182,7 +182,7 @@ def _open_positions(texts: DataFrame, bitmap: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             distinct, counts, digests = _texts(batch)
-            for buffer, starts, begins, origin in _portions(distinct):
+            for buffer, starts, begins, origin in _portions(distinct, BYTES_AT_ONCE):
                 rank, place, low, high = positions(np.frombuffer(buffer, np.uint8), starts)
                 kept = np.flatnonzero(_has_bit(shared.value, rank))
                 rank, place, low, high = rank[kept], place[kept], low[kept], high[kept]
@@ -209,7 +209,7 @@ def _contexts(texts: DataFrame, bitmap: bytes) -> DataFrame:
         sent: set[int] = set()
         for batch in batches:
             distinct, _, _ = _texts(batch)
-            for buffer, starts, _, _ in _portions(distinct):
+            for buffer, starts, _, _ in _portions(distinct, BYTES_AT_ONCE):
                 rank, place, low, high = positions(np.frombuffer(buffer, np.uint8), starts)
                 around = _surroundings(buffer, place, low, high)
                 classes = _class_hash(rank, around)

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from claimloom.llm.common import written
 from claimloom.llm.components import components
@@ -145,14 +146,44 @@ def near_groups(docs: DataFrame) -> DataFrame:
     rows come out once each; an empty table gives no rows; other columns are ignored.
     """
     found = written(with_fingerprints(docs.select("doc_id", "text")), "fingerprints")
-    distinct = written(found.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(fingerprint_links(distinct))
-    rooted = written(
-        distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted"
-    )
+    rooted = _rooted(found.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # a written table on both sides, so that the rows of a very common fingerprint can be split
     named = written(rooted.join(names, "root").select("fp", "component_id"), "named")
     return found.join(named, found["fingerprint"] == named["fp"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def _rooted(fingerprints: DataFrame) -> DataFrame:
+    """``fp, least, root`` of distinct fingerprints ``fp, least``; the root is the same in all of a connected group."""
+    distinct = written(fingerprints, "distinct")
+    roots = components(fingerprint_links(distinct))
+    return written(
+        distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted"
+    )
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (any columns, with ``doc_id, text``), one of each group of ``near_groups``: that with the smallest id.
+
+    Null ids come last; among equal ids the smaller digest of the text decides; of rows equal in both one stays.
+    Null, empty and blank texts are one group.  An empty table gives no rows.
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), "doc_id", F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    found = written(with_fingerprints(rows.select("doc_id", "digest", "text")), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    rooted = _rooted(found.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(place).alias("least")))
+    first = rooted.groupBy("root").agg(F.min("least").alias("first")).select(
+        F.col("first.doc_id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+    times = found.groupBy("doc_id", "digest").count().filter("count > 1")
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    kept = rows.drop("text").join(written(first, "first"), same).drop("first_id", "first_digest")
+    times = written(times.select(F.col("doc_id").alias("first_id"), F.col("digest").alias("first_digest")), "repeated")
+    if times.isEmpty():
+        return kept.select("row.*")
+    once = kept.join(times, same, "left_semi").withColumn(
+        "place", F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(F.to_json("row"))))
+    ).filter("place = 1")
+    return kept.join(times, same, "left_anti").select("row.*").union(once.select("row.*"))

@@ -196,6 +196,9 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, score: str = "score") -
     if model.trees is None:
         return docs.withColumn(score, F.lit(model.default))
     learned = model.learned
-    made = with_text_columns(docs, lambda texts: [all_features(texts, learned)], {"_features": "array<double>"})
+    # given columns are packed, so that none can clash with working columns
+    others = [name for name in docs.columns if name != score]
+    packed = docs.select(F.struct(*(F.col(f"`{name}`") for name in others)).alias("_row"), "text")
+    made = with_text_columns(packed, lambda texts: [all_features(texts, learned)], {"_features": "array<double>"}).drop("text")
     found = model.calibration.transform(_raw(made, model.trees))
-    return found.select(*docs.columns, F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0)).alias(score))
+    return found.select("_row.*", F.least(F.greatest("_score", F.lit(0.0)), F.lit(1.0)).alias(score))
