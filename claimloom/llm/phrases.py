@@ -2,28 +2,29 @@
 
 A phrase of 1 to 4 words is frequent if it occurs at least ``LEAST`` times in texts of its language.
 
-1. *Sample.*  Phrases of one document in ``SAMPLE`` (by hash of the text) are counted; those with ``SAMPLE_LEAST``
-   occurrences there are proposed, a lower share than ``LEAST`` so that few frequent phrases are missed.
+1. *Sample.*  Words and pairs of one document in ``SAMPLE`` (by hash of the text) are counted; those with
+   ``SAMPLE_LEAST`` occurrences there are proposed.
 2. *Full pass.*  Every word is counted, and every longer phrase whose first and last part (all words but
-   one) are proposed: exactly the proposals and their negative border.
-3. *Closing.*  If a phrase of the border turns out frequent, phrases that it lets in are counted in one more
-   pass, until no border phrase is left.  Four passes suffice, as phrases have at most four words.
-
-The sample only proposes: all counts are exact counts over all texts, keyed by the phrase's own words.  What tasks
-know of proposals is one bitmap for each phrase length, ``FILTER_BITS`` bits at any size of corpus; a
-phrase let in by an equal bit is counted for nothing and can't change results, so a larger corpus only wants a
-larger bitmap.  Tasks count inside portions of about ``WORDS_AT_ONCE`` words (a long text is divided between pieces,
-which phrases never cross), so memory is bounded and frequent phrases are combined before the exchange.
+   one) are proposed or, from three words on, counted: the proposals and their negative border.
+3. *Closing.*  Words and pairs of the border that turn out frequent let in phrases that the full pass did not count.  One
+   more pass counts these, and whatever they let in turn, together with all phrases found frequent.  A phrase
+   can only be frequent if its parts are, and every part is either known or counted here, so nothing is left open.
+
+The full pass adds up 64-bit hashes of phrases; the closing pass counts by the words themselves, so results are exact:
+phrases that share a hash are only looked at for nothing.  What tasks know of earlier passes is one bitmap for each
+phrase length, ``FILTER_BITS`` bits at any size of corpus; a phrase let in by an equal bit can't change results
+either, so a larger corpus only wants a larger bitmap.  Tasks count portions of about ``WORDS_AT_ONCE`` words (a
+long text is divided between pieces, which phrases never cross), so memory is bounded and frequent phrases are
+combined before the exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,14 +32,15 @@ from claimloom.llm.common import written
 
 LEAST = 30
 LONGEST = 4
-SAMPLE = 4
+SAMPLE = 8
 SAMPLE_LEAST = 2
+SAMPLE_LONGEST = 2
 TOP = 2000
 COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 FILTER_BITS = 1 << 24
 BLOCK_BITS = 1 << 14
-WORDS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 500_000
 TEXT_BYTES_AT_ONCE = 6 * WORDS_AT_ONCE
 
 BORDER = b"\xff"  # never part of UTF-8
@@ -47,23 +49,19 @@ _NORMAL = bytes(0xFF if i in _PIECE_ENDS else i + 32 if ord("A") <= i <= ord("Z"
 
 COUNTS = "lang string, k int, phrase string, f long"
 
+Bitmaps = tuple[bytes, ...]
+
 
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint64(32))
-    values = values * np.uint64(0xD6E8FEB86659FD93)
-    return values ^ (values >> np.uint64(29))
-
-
-@dataclass(frozen=True)
-class Generation:
-    """Bitmaps of phrases of 1 to 3 words that let longer phrases in; one byte string for each length."""
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(29)
+    return values
 
-    bitmaps: tuple[bytes, ...]
 
-    def holds(self, k: int, hashes: np.ndarray) -> np.ndarray:
-        bitmap = np.frombuffer(self.bitmaps[k - 1], np.uint8)
-        bits = hashes & np.uint64(8 * len(bitmap) - 1)
-        return (bitmap[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
+def _has_bit(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
+    bits = (hashes >> np.uint64(2)) & np.uint64(8 * len(bitmap) - 1)
+    return (np.frombuffer(bitmap, np.uint8)[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def _tokens(texts: list[bytes], most: int, most_bytes: int) -> Iterator[list[bytes]]:
@@ -88,164 +86,140 @@ def _tokens(texts: list[bytes], most: int, most_bytes: int) -> Iterator[list[byt
         yield part
 
 
-def _language_seed(lang: str) -> np.uint64:
-    from xxhash import xxh64_intdigest
+class Portion:
+    """Words of a portion as numbers, and hashes of the phrases that start at each place, length by length."""
 
-    return np.uint64(xxh64_intdigest(lang.encode()))
+    def __init__(self, tokens: list[bytes], lang: str):
+        from xxhash import xxh64_intdigest
 
+        numbers: dict[bytes, int] = {BORDER: 0}
+        self.tokens = tokens
+        self.ids = np.array([numbers.setdefault(token, len(numbers)) for token in tokens], dtype=np.int32)
+        words = np.fromiter((xxh64_intdigest(word) for word in numbers), np.uint64, len(numbers))
+        self.words = _mixed(words ^ np.uint64(xxh64_intdigest(lang.encode())))[self.ids]
+        self.k, self.inside, self._plain = 1, self.ids != 0, self.words
 
-def _counted(tokens: list[bytes], lang: str, generations: list[Generation], fresh: bool, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """``k, phrases, counts`` of one portion: what the last generation lets in and none before did.
+    @property
+    def hashes(self) -> np.ndarray:
+        """The two lowest bits hold the length less one."""
+        return (self._plain & ~np.uint64(3)) | np.uint64(self.k - 1)
+
+    def grow(self) -> None:
+        """On to phrases of one word more."""
+        self._plain = _mixed(self._plain[:-1] * np.uint64(0xA0761D6478BD642F) + self.words[self.k :])
+        self.inside = self.inside[:-1] & self.inside[1:]
+        self.k += 1
 
-    ``fresh``: words are counted too, and their number under length 0.
-    """
-    from xxhash import xxh64_intdigest
-
-    numbers: dict[bytes, int] = {BORDER: 0}
-    ids = np.array([numbers.setdefault(token, len(numbers)) for token in tokens], dtype=np.int64)
-    vocabulary = list(numbers)
-    size = len(vocabulary)
-    if fresh:
-        counts = np.bincount(ids, minlength=size)
-        counts[0] = 0
-        yield 0, [b""], counts.sum(keepdims=True)
-        yield 1, vocabulary[1:], counts[1:]
-    word_hashes = np.fromiter((xxh64_intdigest(word) for word in vocabulary), np.uint64, size) ^ _language_seed(lang)
-    hashes, names = _mixed(word_hashes), [(at,) for at in range(size)]
-    current, usable = ids, ids != 0
-    # counted[g]: phrases of k - 1 words that the pass of generation g has counted
-    counted = [np.ones(size, dtype=bool) for _ in generations]
-    for k in range(2, longest + 1):
-        # allowed[g]: phrases of k - 1 words that generation g lets longer ones grow from
-        allowed = [generation.holds(k - 1, hashes) for generation in generations]
-        inside = usable[:-1] & usable[1:]
-        left, right = current[:-1], current[1:]
-        at = np.flatnonzero(inside)
-        at = at[allowed[-1][left[at]] & allowed[-1][right[at]]]
-        # a phrase is named by its first k - 1 words and its last word
-        keys, inverse, counts = np.unique(left[at] * size + ids[at + k - 1], return_inverse=True, return_counts=True)
-        first = np.empty(len(keys), dtype=np.int64)
-        first[inverse] = left[at]
-        rest = np.empty(len(keys), dtype=np.int64)
-        rest[inverse] = right[at]
-        grown = [before & let_in for before, let_in in zip(counted, allowed)]
-        counted = [one[first] & one[rest] for one in grown]
-        known = np.zeros(len(keys), dtype=bool)
-        for before in counted[:-1]:
-            known |= before
-        names = [(*names[a], b) for a, b in zip(first.tolist(), (keys % size).tolist())]
-        new = np.flatnonzero(~known)
-        if len(new):
-            yield k, [b" ".join([vocabulary[word] for word in names[at]]) for at in new.tolist()], counts[new]
-        hashes = _mixed(hashes[first] * np.uint64(0xA0761D6478BD642F) + word_hashes[keys % size] + np.uint64(k))
-        following = np.zeros(len(ids) - k + 1, dtype=np.int64)
-        following[at] = inverse
-        usable = np.zeros(len(following), dtype=bool)
-        usable[at] = True
-        current = following
-        if not len(keys):
-            return
 
+def _both(flags: np.ndarray) -> np.ndarray:
+    """Whether both parts of each phrase of one word more have the flag."""
+    return flags[:-1] & flags[1:]
 
-def _known_hashes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    """Length and hashes, as tasks compute them while counting, of the phrases of a batch of ``lang, k, phrase``."""
-    from xxhash import xxh64_intdigest
 
-    langs, lengths = np.array(batch.column(0).to_pylist(), dtype=object), np.asarray(batch.column(1))
-    texts = np.array(batch.column(2).cast(pa.binary()).to_pylist(), dtype=object)
-    seeds = {lang: _language_seed(lang) for lang in set(langs)}
-    for k in sorted(set(lengths.tolist())):
-        own = lengths == k
-        seed = np.array([seeds[lang] for lang in langs[own]], dtype=np.uint64)
-        words = np.array([xxh64_intdigest(word) for text in texts[own] for word in text.split(b" ")], dtype=np.uint64).reshape(-1, k)
-        words ^= seed[:, None]
-        hashes = _mixed(words[:, 0])
-        for at in range(1, k):
-            hashes = _mixed(hashes * np.uint64(0xA0761D6478BD642F) + words[:, at] + np.uint64(at + 1))
-        yield k, hashes
+def _summed(portion: Portion, let_in: Bitmaps, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and counts of all words, and of longer phrases whose parts are let in (those of any length beyond the bitmaps')."""
+    counted = portion.inside
+    while True:
+        hashes = portion.hashes
+        yield np.unique(hashes[counted], return_counts=True)
+        if portion.k == longest or len(hashes) < 2:
+            return
+        allowed = counted & _has_bit(let_in[portion.k - 1], hashes) if portion.k <= len(let_in) else counted
+        portion.grow()
+        counted = _both(allowed)
+
+
+def _named(portion: Portion, let_in: Bitmaps, frequent: Bitmaps) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """``k, phrases, counts`` of what may be frequent: phrases counted before with their bit in ``frequent``, and those
+    that weren't counted before and whose parts may be frequent."""
+    counted = open_ = portion.inside
+    while True:
+        k, hashes = portion.k, portion.hashes
+        open_ = open_ & (~counted | _has_bit(frequent[k - 1], hashes))
+        at = np.flatnonzero(open_)
+        _, first, inverse = np.unique(hashes[at], return_index=True, return_inverse=True)
+        like = at[first][inverse]
+        # phrases of equal hash are one if their words are
+        same = np.ones(len(at), dtype=bool)
+        for place in range(k):
+            same &= portion.ids[at + place] == portion.ids[like + place]
+        counts = np.bincount(inverse[same], minlength=len(first))
+        places, counts = np.concatenate([at[first], at[~same]]), np.concatenate([counts, np.ones(int((~same).sum()), np.int64)])
+        yield k, [b" ".join(portion.tokens[place : place + k]) for place in places.tolist()], counts
+        if k == LONGEST or len(hashes) < 2:
+            return
+        allowed = counted & _has_bit(let_in[k - 1], hashes) if k <= len(let_in) else counted
+        portion.grow()
+        counted, open_ = _both(allowed), _both(open_)
+
 
+def _portions(batch: pa.RecordBatch, most: int, most_bytes: int) -> Iterator[tuple[str, list[bytes]]]:
+    langs = batch.column(0).to_pylist()
+    texts = batch.column(1).cast(pa.binary())
+    for lang in sorted(set(langs)):
+        own = pa.array(np.flatnonzero([known == lang for known in langs]))
+        for tokens in _tokens([text or b"" for text in texts.take(own).to_pylist()], most, most_bytes):
+            yield lang, tokens
 
-def _pass_over(docs: DataFrame, generations: list[Generation], fresh: bool, longest: int = LONGEST) -> DataFrame:
-    """Exact counts of what the last generation lets in and earlier ones didn't: ``lang, k, phrase, f``."""
-    shared = docs.sparkSession.sparkContext.broadcast(generations)
+
+def _hash_counts(texts: DataFrame, let_in: Bitmaps, longest: int) -> DataFrame:
+    """``h, f``: sums of phrases by hash."""
+    shared = texts.sparkSession.sparkContext.broadcast(let_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for lang in sorted(set(langs)):
-                own = [text or b"" for text, known in zip(texts, langs) if known == lang]
-                for tokens in _tokens(own, WORDS_AT_ONCE, TEXT_BYTES_AT_ONCE):
-                    for k, phrases, counts in _counted(tokens, lang, shared.value, fresh, longest):
-                        if len(phrases):
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrases), np.int32))),
-                                    pa.array(np.full(len(phrases), k, np.int32)),
-                                    pa.array(phrases, pa.binary()).cast(pa.string()),
-                                    pa.array(counts.astype(np.int64)),
-                                ],
-                                names=["lang", "k", "phrase", "f"],
-                            )
-
-    return docs.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
-
-
-def _bitmaps(phrases: DataFrame) -> Generation:
-    """Bitmaps of ``lang, k, phrase``: blocks are filled by tasks, and only their fixed number of bytes reaches the driver."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, hashes in _known_hashes(batch):
-                places = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), k, np.int32)), pa.array(places)], names=["k", "bit"])
+            for lang, tokens in _portions(batch, WORDS_AT_ONCE, TEXT_BYTES_AT_ONCE):
+                for hashes, counts in _summed(Portion(tokens, lang), shared.value, longest):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "f"])
+
+    return texts.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
 
+
+def _phrase_counts(texts: DataFrame, let_in: Bitmaps, frequent: Bitmaps) -> DataFrame:
+    """``lang, k, phrase, f`` of all phrases that may be frequent, by their words; all words together under ``k = 0``."""
+    shared = texts.sparkSession.sparkContext.broadcast((let_in, frequent))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, tokens in _portions(batch, WORDS_AT_ONCE, TEXT_BYTES_AT_ONCE):
+                portion = Portion(tokens, lang)
+                total = (0, [b""], portion.inside.sum(keepdims=True))
+                for k, phrases, counts in (total, *_named(portion, *shared.value)):
+                    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrases), np.int32)))
+                    yield pa.RecordBatch.from_arrays(
+                        [langs, pa.array(np.full(len(phrases), k, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))],
+                        names=["lang", "k", "phrase", "f"],
+                    )
+
+    return texts.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+
+
+def _bitmaps(hashes: DataFrame, lengths: int) -> Bitmaps:
+    """A bitmap for each phrase length: blocks are filled by tasks, and only their fixed number of bytes reaches the driver."""
+    bits = hashes.select((F.col("h").bitwiseAND(3)).alias("k"), F.shiftrightunsigned("h", 2).bitwiseAND(FILTER_BITS - 1).alias("bit")).distinct()
     # at most BLOCK_BITS distinct bits a block
-    blocks = (
-        phrases.select("lang", "k", "phrase").mapInArrow(bits, "k int, bit long").distinct()
-        .groupBy("k", F.expr(f"bit div {BLOCK_BITS}").alias("block")).agg(F.collect_list((F.col("bit") % BLOCK_BITS).cast("int")).alias("bits"))
-    )
-    maps = [np.zeros(FILTER_BITS // 8, np.uint8) for _ in range(LONGEST - 1)]
+    blocks = bits.groupBy("k", F.expr(f"bit div {BLOCK_BITS}").alias("block")).agg(F.collect_list((F.col("bit") % BLOCK_BITS).cast("int")).alias("bits"))
+    maps = [np.zeros(FILTER_BITS // 8, np.uint8) for _ in range(lengths)]
     for row in blocks.toLocalIterator():
         part = np.zeros(BLOCK_BITS, np.uint8)
         part[row["bits"]] = 1
         begin = row["block"] * BLOCK_BITS // 8
-        maps[row["k"] - 1][begin : begin + BLOCK_BITS // 8] = np.packbits(part, bitorder="little")
-    return Generation(tuple(part.tobytes() for part in maps))
-
-
-def _all_let_in() -> Generation:
-    return Generation(tuple(b"\xff" for _ in range(LONGEST - 1)))
-
-
-def _missing(frequent: DataFrame, generation: Generation) -> bool:
-    """Whether a frequent phrase that could grow isn't in the bitmaps."""
-    shared = frequent.sparkSession.sparkContext.broadcast(generation)
-
-    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [k for k, hashes in _known_hashes(batch) if not shared.value.holds(k, hashes).all()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], names=["k"])
-
-    return not frequent.filter(F.col("k") < LONGEST).select("lang", "k", "phrase").mapInArrow(out, "k int").isEmpty()
+        maps[row["k"]][begin : begin + BLOCK_BITS // 8] = np.packbits(part, bitorder="little")
+    return tuple(part.tobytes() for part in maps)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE, sample_least: int = SAMPLE_LEAST) -> DataFrame:
     """``lang, k, phrase, f`` of every phrase of 1 to 4 words that occurs ``least`` times or more in its language.
 
-    Rows with ``k = 0`` hold the number of word occurrences of a language that has any.  ``docs`` has ``lang``
+    Rows with ``k = 0`` hold the number of word occurrences of a language.  ``docs`` has ``lang``
     (null: ``und``) and ``text`` (null: empty); other columns are ignored, repeated rows count each, an empty table gives no rows.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0)
-    proposed = _pass_over(drawn, [_all_let_in()], True, LONGEST - 1).filter((F.col("k") > 0) & (F.col("f") >= sample_least))
-    generations = [_bitmaps(written(proposed, "proposed"))]
-    frequent = written(_pass_over(texts, generations, True).filter((F.col("k") == 0) | (F.col("f") >= least)), "frequent")
-    while _missing(frequent.filter("k > 0"), generations[-1]):
-        generations.append(_bitmaps(frequent.filter((F.col("k") > 0) & (F.col("k") < LONGEST))))
-        more = _pass_over(texts, generations, False).filter(F.col("f") >= least)
-        frequent = written(frequent.unionByName(more), "frequent")
-    return frequent
+    everything = (b"\xff",) * (SAMPLE_LONGEST - 1)
+    proposed = _bitmaps(_hash_counts(drawn, everything, SAMPLE_LONGEST).filter(F.col("f") >= sample_least), SAMPLE_LONGEST)
+    frequent = _bitmaps(_hash_counts(texts, proposed, LONGEST).filter(F.col("f") >= least), LONGEST)
+    return written(_phrase_counts(texts, proposed, frequent).filter((F.col("k") == 0) | (F.col("f") >= least)), "phrases")
 
 
 def _part(words: Column, begin: Column | int, length: Column | int) -> Column:
