@@ -1,6 +1,7 @@
 """Imports every module that registers queries."""
 
 from checks import (  # noqa: F401
+    benchmark_queries,
     cost_queries,
     integrity_queries,
     model_queries,

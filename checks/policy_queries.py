@@ -160,7 +160,7 @@ def inpatient(model):
 BENCH_COHORT = ["ms_drg_code", "reporting_year"]
 register(
     "e21_peer_benchmarks",
-    lambda m: benchmark.peer_benchmark(inpatient(m), BENCH_COHORT, "average_total_payment", width=1000.0).select(
+    lambda m: benchmark.peer_benchmark(inpatient(m), BENCH_COHORT, "average_total_payment").select(
         *BENCH_COHORT, "peer_count", four("mean"), four("standard_deviation"), *map(four, benchmark.STATISTICS)
     ),
     "ms_drg_code:text reporting_year:long peer_count:long mean:num standard_deviation:num percentile_25:num "
@@ -182,7 +182,7 @@ register(
 register(
     "e21_line_amount_percentiles",
     lambda m: exact_percentiles(m.claim_line, ["service_code_system"], "allowed_amount",
-                                {"median": 0.5, "percentile_99": 0.99}, width=1000.0).select(
+                                {"median": 0.5, "percentile_99": 0.99}).select(
         "service_code_system", four("median"), four("percentile_99")),
     "service_code_system:text median:num percentile_99:num",
     "SELECT service_code_system, round(quantile_cont(CAST(allowed_amount AS DOUBLE), 0.5), 4) AS median, "

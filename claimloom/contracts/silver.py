@@ -63,6 +63,9 @@ class SourceContract:
     minimum: tuple[str, int] | None = None
     ordered: tuple[tuple[str, str], ...] = ()  # lower measure may not exceed the higher
     cohort: tuple[str, ...] = ()
+    cohort_measure: str = ""  # compared between peers
+    cohort_volume: str | None = None  # totalled over peers
+    minimum_peers: int = 11
     private: tuple[str, ...] = ()  # columns left out of public extracts
 
     def target(self, source: str) -> str:
@@ -110,6 +113,8 @@ INPATIENT = SourceContract(
     ordered=(("average_medicare_payment", "average_total_payment"),),
     cohort=("ms_drg_code", "hospital_state_fips", "hospital_ruca_code", "discharge_volume_band",
             "reporting_year"),
+    cohort_measure="average_total_payment",
+    cohort_volume="total_discharges",
     private=HOSPITAL_PRIVATE,
 )
 
@@ -148,6 +153,8 @@ OUTPATIENT = SourceContract(
     ordered=(("average_medicare_payment", "average_medicare_allowed_amount"),),
     cohort=("comprehensive_apc_code", "hospital_state_fips", "hospital_ruca_code", "service_volume_band",
             "reporting_period"),
+    cohort_measure="average_medicare_payment",
+    cohort_volume="comprehensive_apc_services",
     private=HOSPITAL_PRIVATE,
 )
 
@@ -214,6 +221,8 @@ PHYSICIAN_SERVICE = SourceContract(
     ordered=(("average_medicare_payment", "average_medicare_allowed_amount"),),
     cohort=("hcpcs_code", "place_of_service_category", "provider_type", "provider_country_code",
             "peer_state_fips", "beneficiary_volume_band", "reporting_year"),
+    cohort_measure="average_medicare_payment",
+    cohort_volume="total_beneficiaries",
     private=("provider_last_or_organization_name", "provider_first_name", "provider_street_address_1",
              "provider_street_address_2", "provider_zip5"),
 )
@@ -248,6 +257,8 @@ PHYSICIAN = SourceContract(
     null_breaks_pattern=False,
     cohort=("provider_specialty", "provider_country_code", "provider_state_abbreviation",
             "provider_ruca_code", "provider_entity_code", "reporting_year"),
+    cohort_measure="tot_mdcr_pymt_amt",
+    cohort_volume="tot_benes",
     private=("provider_street_address_1", "provider_street_address_2", "provider_first_name",
              "provider_middle_initial", "provider_last_or_organization_name", "provider_credentials",
              "provider_zip5"),
@@ -332,6 +343,8 @@ PART_D = SourceContract(
     cohort=("prescriber_type", "prescriber_type_source", "prescriber_country_code",
             "prescriber_state_abbreviation", "prescriber_ruca_code", "prescriber_entity_code",
             "reporting_year"),
+    cohort_measure="tot_drug_cst",
+    cohort_volume="tot_clms",
     private=("prescriber_last_or_organization_name", "prescriber_first_name", "prescriber_middle_initial",
              "prescriber_credentials", "prescriber_street_address_1", "prescriber_street_address_2",
              "prescriber_zip5"),

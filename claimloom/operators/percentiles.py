@@ -1,67 +1,84 @@
-"""Exact interpolated percentiles of large groups.
+"""Exact interpolated percentiles of groups of any size, by repeated histograms.
 
-Values collapse to counts first.  Counts are accumulated over coarse value buckets, then only the
-buckets holding a wanted rank are opened, so no task sorts a whole group.
+Values collapse to counts first.  Every wanted rank starts with the range of its group's values; in each round
+all ranks of all groups look at a histogram of ``BINS`` bins over their range and keep the bin that holds them,
+narrowed to the least and greatest value in it.  A range of one value is the answer.  Histograms combine before
+the shuffle, no step orders more than the bins of one range, and a group that holds most rows is spread like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.session import ensure_checkpoint_dir
 
-def exact_percentiles(
-    df: DataFrame, groups: list[str], value: str, fractions: dict[str, float], width: float = 100.0
-) -> DataFrame:
-    """One row per group with a column per named fraction (linear interpolation, nulls ignored).
+BINS = 8192
 
-    ``width`` is the value range of a bucket; the number of distinct values within it bounds the
-    work of one task.
+
+def _bin(value: Column, low: Column, high: Column) -> Column:
+    """Monotone bin of a value from ``low`` to ``high``, both of which get bins of their own; halved, so that no range overflows."""
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    return F.when(value >= high, BINS - 1).otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 2))).cast("int")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def values_at_ranks(counts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``key, rank, value``: the value at each 0-based rank of its group's values in order.
+
+    ``counts`` has distinct ``key, value`` (double, no nulls) and ``n``, how often the value occurs; ``ranks`` has
+    ``key, rank``.  Keys are compared with nulls equal; ranks outside a group are left out.
     """
-    keys = groups or ["_all"]
-    values = df if groups else df.withColumn("_all", F.lit(1))
-    counts = (
-        values.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / width))
-    )
-    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_bucket_n"))
-    running = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    placed = buckets.select(
-        *keys,
-        "_bucket",
-        "_bucket_n",
-        F.coalesce(F.sum("_bucket_n").over(running), F.lit(0)).alias("_before"),
-        F.sum("_bucket_n").over(whole).alias("_total"),
-    )
-    # wanted 0-based ranks: both neighbours of each fractional position
-    wanted = []
-    for name, fraction in fractions.items():
-        position = F.lit(float(fraction)) * (F.col("_total") - 1)
-        low = F.floor(position)
-        for rank in (low, F.ceil(position)):
-            share = F.when(rank == low, 1 - (position - low)).otherwise(position - low)
-            wanted.append(F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank"),
-                                   share.alias("share")))
-    # a whole position needs its rank once, with full weight
-    targets = placed.select(*keys, "_bucket", "_before", "_bucket_n",
-                            F.explode(F.array_distinct(F.array(*wanted))).alias("_target"))
-    rank = F.col("_target.rank")
-    opened = targets.filter((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_bucket_n")))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    needed = opened.select(*keys, "_bucket").distinct()
-    ranked = counts.join(needed, [*keys, "_bucket"], "left_semi").withColumn(
-        "_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    )
-    first = F.col("_before") + F.col("_inside")
-    hits = opened.join(ranked, [*keys, "_bucket"]).filter((rank >= first) & (rank < first + F.col("_n")))
-    picked = [
-        F.sum(F.when(F.col("_target.name") == name, F.col("_target.share") * F.col("_value"))).alias(name)
-        for name in fractions
-    ]
-    result = hits.groupBy(*keys).agg(*picked)
-    return result if groups else result.drop("_all")
+    counts = _kept(counts.select("key", "value", "n"))
+    ends = counts.groupBy("key").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("size"))
+    wanted = ranks.select(F.col("key").alias("wanted"), "rank").distinct()
+    open_ = ends.join(wanted, F.col("key").eqNullSafe(F.col("wanted"))).filter((F.col("rank") >= 0) & (F.col("rank") < F.col("size")))
+    open_ = _kept(open_.select("key", "rank", F.col("rank").alias("inside"), "low", "high"))
+    found = open_.filter("low = high").select("key", "rank", F.col("low").alias("value"))
+    while not (open_ := open_.filter("low < high")).isEmpty():
+        ranges = open_.select(F.col("key").alias("group"), "low", "high").distinct()
+        held = counts.join(ranges, F.col("key").eqNullSafe(F.col("group")) & F.col("value").between(F.col("low"), F.col("high")))
+        histogram = held.groupBy("group", "low", "high", _bin(F.col("value"), F.col("low"), F.col("high")).alias("bin")).agg(
+            F.sum("n").alias("n"), F.min("value").alias("first"), F.max("value").alias("last")
+        )
+        # at most BINS rows a range
+        earlier = Window.partitionBy("group", "low", "high").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        placed = histogram.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        bins = placed.withColumnsRenamed({"low": "bin_low", "high": "bin_high"})
+        here = (
+            F.col("key").eqNullSafe(F.col("group")) & (F.col("low") == F.col("bin_low")) & (F.col("high") == F.col("bin_high"))
+            & (F.col("inside") >= F.col("before")) & (F.col("inside") < F.col("before") + F.col("n"))
+        )
+        open_ = _kept(open_.join(bins, here).select(
+            "key", "rank", (F.col("inside") - F.col("before")).alias("inside"), F.col("first").alias("low"), F.col("last").alias("high")))
+        found = found.unionByName(open_.filter("low = high").select("key", "rank", F.col("low").alias("value")))
+    return found
+
+
+def exact_percentiles(df: DataFrame, groups: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+    """One row per group with a column per named fraction (linear interpolation; nulls and NaN are passed over)."""
+    key = F.struct(*groups) if groups else F.struct(F.lit(1).alias("all"))
+    number = F.col(value).cast("double")
+    counts = df.filter(number.isNotNull() & ~F.isnan(number)).groupBy(key.alias("key"), (number + 0.0).alias("value")).agg(F.count("*").alias("n"))
+    counts = _kept(counts)
+    sizes = counts.groupBy("key").agg((F.sum("n") - 1).alias("last"))
+    places = F.array(*(
+        F.struct(F.lit(name).alias("name"), (F.lit(float(share)) * F.col("last")).alias("place")) for name, share in fractions.items()
+    ))
+    placed = sizes.select("key", F.explode(places).alias("at")).select("key", "at.name", "at.place")
+    # both neighbours of each fractional place; a whole place counts once, with full weight
+    low, high = F.floor("place"), F.ceil("place")
+    near = F.array_distinct(F.array(
+        F.struct(low.cast("bigint").alias("rank"), (1 - (F.col("place") - low)).alias("share")),
+        F.struct(high.cast("bigint").alias("rank"), F.when(high == low, 1.0).otherwise(F.col("place") - low).alias("share")),
+    ))
+    shares = _kept(placed.select("key", "name", F.explode(near).alias("at")).select("key", "name", "at.rank", "at.share"))
+    values = values_at_ranks(counts, shares.select("key", "rank")).withColumnsRenamed({"key": "group", "rank": "known"})
+    met = shares.join(values, F.col("key").eqNullSafe(F.col("group")) & (F.col("rank") == F.col("known")))
+    picked = [F.sum(F.when(F.col("name") == name, F.col("share") * F.col("value"))).alias(name) for name in fractions]
+    result = met.groupBy("key").agg(*picked)
+    return result.select(*(["key.*"] if groups else []), *fractions)

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from claimloom.operators import keys
-from claimloom.operators.percentiles import exact_percentiles
+from claimloom.operators import percentiles
 from claimloom.session import ensure_checkpoint_dir
 
 
@@ -67,11 +69,33 @@ def test_dense_positions_of_empty_table(spark):
     assert keys.dense_positions(empty, ["a"]).count() == 0
 
 
-@pytest.mark.parametrize("width", [0.5, 10.0, 1e6])
-def test_exact_percentiles_match_interpolation(spark, width):
-    rows = [("a", float(v)) for v in (5, 1, 1, 9, 2.5)] + [("b", 3.0), ("b", None), ("c", -4.0), ("c", 4.0)]
+def test_exact_percentiles_match_interpolation(spark, monkeypatch):
+    rows = [("a", float(v)) for v in (5, 1, 1, 9, 2.5)] + [("b", 3.0), ("b", None), ("c", -4.0), ("c", 4.0), ("d", float("nan"))]
+    rows += [(None, 1.0), (None, 2.0), ("e", -1e308), ("e", 1e308), ("e", 0.0), ("f", None)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: (r["m"], r["p"]) for r in exact_percentiles(df, ["g"], "v", {"m": 0.5, "p": 0.9}, width).collect()}
-    assert got["a"] == (2.5, pytest.approx(7.4))
-    assert got["b"] == (3.0, 3.0)
-    assert got["c"] == (pytest.approx(0.0), pytest.approx(3.2))
+    got = {r["g"]: (r["m"], r["p"]) for r in percentiles.exact_percentiles(df, ["g"], "v", {"m": 0.5, "p": 0.9}).collect()}
+    assert got == {
+        "a": (2.5, pytest.approx(7.4)), "b": (3.0, 3.0), "c": (pytest.approx(0.0), pytest.approx(3.2)),
+        None: (1.5, pytest.approx(1.9)), "e": (0.0, pytest.approx(8e307)),
+    }
+
+
+@pytest.mark.parametrize("bins", [64, 8192])
+def test_ranks_of_skewed_values_in_any_number_of_bins(spark, monkeypatch, bins):
+    monkeypatch.setattr(percentiles, "BINS", bins)
+    draw = random.Random(bins)
+    values = {
+        "money": [round(draw.expovariate(0.001), 2) for _ in range(400)], "few": [draw.choice([1.0, 2.0, 7.0]) for _ in range(90)],
+        "wide": [draw.choice([-1, 1]) * 10.0 ** draw.randrange(-2, 6) for _ in range(120)], "one": [4.25] * 50,
+    }
+    rows = [(key, value) for key, group in values.items() for value in group]
+    counts = spark.createDataFrame(rows, "key string, value double").groupBy("key", "value").count().withColumnRenamed("count", "n")
+    ranks = [(key, rank) for key, group in values.items() for rank in (0, len(group) // 3, len(group) // 2, len(group) - 1, len(group))]
+    found = percentiles.values_at_ranks(counts, spark.createDataFrame(ranks, "key string, rank long")).collect()
+    assert {(r["key"], r["rank"]): r["value"] for r in found} == {
+        (key, rank): sorted(values[key])[rank] for key, rank in ranks if rank < len(values[key])}
+
+
+def test_percentiles_of_empty_table(spark):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert percentiles.exact_percentiles(empty, ["g"], "v", {"m": 0.5}).count() == 0
