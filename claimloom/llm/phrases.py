@@ -20,7 +20,7 @@ combined before the exchange.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,8 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 FILTER_BITS = 1 << 24
 BLOCK_BITS = 1 << 14
-WORDS_AT_ONCE = 500_000
+WORDS_AT_ONCE = 250_000
+ROWS_AT_ONCE = 1000
 TEXT_BYTES_AT_ONCE = 6 * WORDS_AT_ONCE
 
 BORDER = b"\xff"  # never part of UTF-8
@@ -64,7 +65,7 @@ def _has_bit(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
     return (np.frombuffer(bitmap, np.uint8)[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _tokens(texts: list[bytes], most: int, most_bytes: int) -> Iterator[list[bytes]]:
+def _tokens(texts: Iterable[bytes], most: int, most_bytes: int) -> Iterator[list[bytes]]:
     """Words with a border after each piece, in portions that end with a border."""
     part: list[bytes] = []
     for text in texts:
@@ -154,12 +155,14 @@ def _named(portion: Portion, let_in: Bitmaps, frequent: Bitmaps) -> Iterator[tup
 
 
 def _portions(batch: pa.RecordBatch, most: int, most_bytes: int) -> Iterator[tuple[str, list[bytes]]]:
-    langs = batch.column(0).to_pylist()
-    texts = batch.column(1).cast(pa.binary())
-    for lang in sorted(set(langs)):
-        own = pa.array(np.flatnonzero([known == lang for known in langs]))
-        for tokens in _tokens([text or b"" for text in texts.take(own).to_pylist()], most, most_bytes):
-            yield lang, tokens
+    for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+        rows = batch.slice(begin, ROWS_AT_ONCE)
+        langs = rows.column(0).to_pylist()
+        texts = rows.column(1).cast(pa.binary())
+        for lang in sorted(set(langs)):
+            own = pa.array(np.flatnonzero([known == lang for known in langs]))
+            for tokens in _tokens((text.as_py() or b"" for text in texts.take(own)), most, most_bytes):
+                yield lang, tokens
 
 
 def _hash_counts(texts: DataFrame, let_in: Bitmaps, longest: int) -> DataFrame:
