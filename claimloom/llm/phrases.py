@@ -10,7 +10,7 @@ A phrase of 1 to 4 words is frequent if it occurs at least ``LEAST`` times in te
    more pass counts these, and whatever they let in turn, together with all phrases found frequent.  A phrase
    can only be frequent if its parts are, and every part is either known or counted here, so nothing is left open.
 
-The full pass adds up 64-bit hashes of phrases; the closing pass counts by the words themselves, so results are exact:
+The full pass adds up hashes of ``HASH_BITS`` bits; the closing pass counts by the words themselves, so results are exact:
 phrases that share a hash are only looked at for nothing.  What tasks know of earlier passes is one bitmap for each
 phrase length, ``FILTER_BITS`` bits at any size of corpus; a phrase let in by an equal bit can't change results
 either, so a larger corpus only wants a larger bitmap.  Tasks count portions of about ``WORDS_AT_ONCE`` words (a
@@ -38,6 +38,8 @@ SAMPLE_LONGEST = 2
 TOP = 2000
 COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
+# of a hash that is summed; fewer make rows smaller, more let fewer phrases in for nothing
+HASH_BITS = 40
 FILTER_BITS = 1 << 24
 BLOCK_BITS = 1 << 14
 WORDS_AT_ONCE = 250_000
@@ -103,7 +105,7 @@ class Portion:
     @property
     def hashes(self) -> np.ndarray:
         """The two lowest bits hold the length less one."""
-        return (self._plain & ~np.uint64(3)) | np.uint64(self.k - 1)
+        return (self._plain & np.uint64((1 << HASH_BITS) - 4)) | np.uint64(self.k - 1)
 
     def grow(self) -> None:
         """On to phrases of one word more."""
