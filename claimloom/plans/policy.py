@@ -1,25 +1,25 @@
 """Provider-month policy panel and difference-in-differences estimates.
 
-Provider effects are absorbed exactly: each task turns the months of its providers into cross
-products and one small matrix per model; only those sums reach the driver, where a system of at
-most a few dozen unknowns is solved.  A second pass sums each provider's score for the
+Provider effects are absorbed exactly.  Every regressor is a sum of month-by-treatment cells, so the
+moments of all models are sums over pairs of a provider's cells, taken by built-in aggregates that
+combine in the tasks; only sums by pair of cells reach the driver, where a system of at most a few
+dozen unknowns is solved.  A second pass sums products of each provider's scores for the
 cluster-robust variance.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.errors import ContractError
 from claimloom.functions.dates import month_of, month_spine, months_from
 from claimloom.functions.numbers import MONEY, count_as_decimal, or_fail, rate, total
 from claimloom.operators.percentiles import exact_percentiles
@@ -164,103 +164,119 @@ def provider_rows(panel: DataFrame) -> DataFrame:
     return panel.groupBy("provider_key").agg(F.collect_list(month).alias("months"))
 
 
-def _flatten(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    sizes = frame["months"].map(len).to_numpy()
-    rows = [month for months in frame["months"] for month in months]
-    provider = np.repeat(np.arange(len(frame)), sizes)
-    t = np.array([row["t"] for row in rows])
-    d = np.array([row["d"] for row in rows], dtype=float)
-    w = np.array([row["w"] for row in rows], dtype=float)
-    y = np.array([[np.nan if v is None else v for v in row["y"]] for row in rows], dtype=float)
-    return provider, t, d, w, y
-
-
-def _design(model: Model, provider, t, d, w, y):
-    """Rows of one model with provider means removed: (provider number, weights, x, y, providers)."""
-    outcome = y[:, model.outcome]
-    use = ~np.isnan(outcome) & np.isin(t, model.months)
-    provider, t, d, w, outcome = provider[use], t[use], d[use], w[use], outcome[use]
-    if model.upper is not None:
-        outcome = np.minimum(outcome, model.upper)
-    if not model.weighted:
-        w = np.ones_like(w)
-    columns = [d * np.isin(t, term) for term in model.terms]
-    columns += [(t == month).astype(float) for month in model.months[1:]]
-    x = np.column_stack([*columns, outcome])
-    _, number = np.unique(provider, return_inverse=True)
-    groups = number.max() + 1 if len(number) else 0
-    weight = np.zeros(groups)
-    np.add.at(weight, number, w)
-    sums = np.zeros((groups, x.shape[1]))
-    np.add.at(sums, number, w[:, None] * x)
-    x = x - (sums / weight[:, None])[number] if groups else x
-    return number, w, x[:, :-1], x[:, -1], groups
-
-
-def _task_sums(models: list[Model], betas: list[np.ndarray] | None):
-    """Pandas batch function adding up every model over the batches of a task."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for frame in batches:
-            if frame.empty:
-                continue
-            parts = _flatten(frame)
-            for index, model in enumerate(models):
-                number, w, x, y, groups = _design(model, *parts)
-                if not groups:
-                    continue
-                if betas is None:
-                    values = np.concatenate(
-                        [(x.T @ (w[:, None] * x)).ravel(), x.T @ (w * y), [groups, len(y)]]
-                    )
-                else:
-                    scores = np.zeros((groups, x.shape[1]))
-                    np.add.at(scores, number, (w * (y - x @ betas[index]))[:, None] * x)
-                    values = (scores.T @ scores).ravel()
-                sums[index] = sums[index] + values if index in sums else values
-        for index, values in sums.items():
-            yield pd.DataFrame({"model": index, "place": np.arange(len(values)), "value": values})
-
-    return run
-
-
-def _collect_sums(rows: DataFrame, models: list[Model], betas: list[np.ndarray] | None) -> list[np.ndarray]:
-    added = (
-        rows.mapInPandas(_task_sums(models, betas), "model int, place int, value double")
-        .groupBy("model", "place")
+def _cell(event_time: int, treated: int) -> int:
+    return 2 * event_time + treated
+
+
+def _model_cells(rows: DataFrame, models: list[Model], fitted: list[dict[int, float]] | None) -> DataFrame:
+    """One row per model and provider: its cells with number, weight and outcome less the fitted value."""
+
+    def cells(place: int, model: Model) -> Column:
+        used = F.filter("months", lambda m: m["y"][model.outcome].isNotNull() & m["t"].isin(*model.months))
+
+        def cell(m: Column) -> Column:
+            number = m["t"] * 2 + m["d"]
+            value = m["y"][model.outcome]
+            if model.upper is not None:
+                value = F.least(value, F.lit(model.upper))
+            if fitted is not None:
+                lowest = _cell(min(model.months), 0)
+                values = [fitted[place].get(c, 0.0) for c in range(lowest, _cell(max(model.months), 1) + 1)]
+                value = value - F.get(F.lit(values), number - lowest)
+            weight = m["w"] if model.weighted else F.lit(1.0)
+            return F.struct(number.alias("c"), weight.alias("w"), value.alias("y"))
+
+        return F.struct(F.lit(place).alias("model"), F.transform(used, cell).alias("cells"))
+
+    dealt = rows.select(F.explode(F.array(*[cells(*each) for each in enumerate(models)])).alias("_m")).select("_m.*")
+    added = lambda value: F.aggregate("cells", F.lit(0.0), lambda sum_, m: sum_ + value(m))
+    weight = added(lambda m: m["w"])
+    return dealt.filter(F.size("cells") > 0).select(
+        "model", "cells", weight.alias("weight"), (added(lambda m: m["w"] * m["y"]) / weight).alias("mean")
+    )
+
+
+def _moment_sums(cells: DataFrame, scores: bool) -> DataFrame:
+    """Sums over providers by model and pair of cells.
+
+    First pass: ``gram`` of the cells and ``cross`` with the outcome, provider means removed, and the
+    numbers of ``providers`` and ``observations``.  With ``scores``: products of the provider's scores.
+    """
+    own, none = F.col("cells"), F.lit(None).cast("int")
+
+    def entry(kind: str, left: Column, right: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), left.alias("a"), right.alias("b"), value.cast("double").alias("value"))
+
+    score = lambda m: m["w"] * (m["y"] - F.col("mean"))
+    if scores:
+        entries = F.flatten(F.transform(own, lambda a: F.transform(own, lambda b: entry("meat", a["c"], b["c"], score(a) * score(b)))))
+    else:
+        diagonal = lambda a, b: F.when(a["c"] == b["c"], a["w"]).otherwise(0.0)
+        pairs = F.flatten(F.transform(own, lambda a: F.transform(own, lambda b: entry(
+            "gram", a["c"], b["c"], diagonal(a, b) - a["w"] * b["w"] / F.col("weight")))))
+        counts = F.array(entry("providers", none, none, F.lit(1)), entry("observations", none, none, F.size(own)))
+        entries = F.concat(pairs, F.transform(own, lambda a: entry("cross", a["c"], none, score(a))), counts)
+    return (
+        cells.select("model", F.explode(entries).alias("_e"))
+        .select("model", "_e.*")
+        .groupBy("model", "kind", "a", "b")
         .agg(F.sum("value").alias("value"))
-        .toPandas()
     )
-    return [
-        added[added["model"] == index].sort_values("place")["value"].to_numpy()
-        for index in range(len(models))
+
+
+def _cell_columns(model: Model) -> tuple[list[int], np.ndarray]:
+    """The model's cells and, for each, which regressors are one in it."""
+    cells = [(t, d) for t in model.months for d in (0, 1)]
+    rows = [
+        [float(d and t in term) for term in model.terms] + [float(t == month) for month in model.months[1:]]
+        for t, d in cells
     ]
+    return [_cell(*cell) for cell in cells], np.array(rows)
+
+
+def _matrices(sums: DataFrame, models: list[Model]) -> list[dict[str, np.ndarray]]:
+    """Collected sums as arrays by kind; the number of cells is bounded by the design, not by the data."""
+    places = [{c: n for n, c in enumerate(_cell_columns(model)[0])} for model in models]
+    found = []
+    for place in places:
+        size = len(place)
+        found.append({"gram": np.zeros((size, size)), "meat": np.zeros((size, size)), "cross": np.zeros(size),
+                      "providers": np.zeros(()), "observations": np.zeros(())})
+    for row in sums.collect():
+        place = places[row["model"]]
+        at = tuple(place[c] for c in (row["a"], row["b"]) if c is not None)
+        found[row["model"]][row["kind"]][at] = row["value"]
+    return found
 
 
 def fit_models(panel: DataFrame, models: list[Model]) -> list[Fit]:
     """Weighted two-way fixed-effects fits with provider-clustered covariance, all in two passes.
 
-    The panel should be a written table: both passes read it.
+    The panel has one row per provider and month and should be a written table: both passes read it.
+    A model without observations has no fit and raises.
     """
     rows = provider_rows(panel)
-    first = _collect_sums(rows, models, None)
-    grams, betas, sizes = [], [], []
-    for model, values in zip(models, first, strict=True):
-        width = model.width
-        gram = values[: width * width].reshape(width, width)
-        inverse = np.linalg.pinv(gram, hermitian=True)
-        grams.append(inverse)
-        betas.append(inverse @ values[width * width : width * (width + 1)])
-        sizes.append((int(round(values[-2])), int(round(values[-1]))))
+    first = _matrices(_moment_sums(_model_cells(rows, models, None), scores=False), models)
+    empty = sorted({model.name for model, sums in zip(models, first, strict=True) if not sums["observations"]})
+    if empty:
+        raise ContractError(f"no observations for {', '.join(empty)}")
+    inverses, betas, fitted = [], [], []
+    for model, sums in zip(models, first, strict=True):
+        cells, columns = _cell_columns(model)
+        inverse = np.linalg.pinv(columns.T @ sums["gram"] @ columns, hermitian=True)
+        beta = inverse @ (columns.T @ sums["cross"])
+        inverses.append(inverse)
+        betas.append(beta)
+        fitted.append(dict(zip(cells, map(float, columns @ beta), strict=True)))
+    second = _matrices(_moment_sums(_model_cells(rows, models, fitted), scores=True), models)
     fits = []
-    meats = _collect_sums(rows, models, betas)
-    for model, inverse, beta, meat, (groups, n) in zip(models, grams, betas, meats, sizes, strict=True):
-        unknowns = 1 + (groups - 1) + (len(model.months) - 1) + len(model.terms)
+    for model, inverse, beta, sums, scored in zip(models, inverses, betas, first, second, strict=True):
+        columns = _cell_columns(model)[1]
+        groups, n = int(sums["providers"]), int(sums["observations"])
+        unknowns = 1 + (groups - 1) + model.width
         factor = groups / (groups - 1) * (n - 1) / (n - unknowns)
-        middle = meat.reshape(model.width, model.width)
+        covariance = factor * inverse @ (columns.T @ scored["meat"] @ columns) @ inverse
         terms = len(model.terms)
-        covariance = factor * inverse @ middle @ inverse
         fits.append(Fit(beta[:terms], covariance[:terms, :terms], groups, n))
     return fits
 
