@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.bronze_model import bronze_frame
 from checks.oracle_base import SUBQUERIES
 from checks.oracle_numbers import half_up, scaled, whole
+from checks.policy_oracle import EFFECTS, define
 from checks.registry import register
 from claimloom.contracts.silver import INPATIENT
 from claimloom.operators.percentiles import exact_percentiles
@@ -99,13 +100,34 @@ def estimates(model):
     return {name: model.layers.keep(name, lambda name=name: table(name), DESIGN) for name in RESULTS}
 
 
-# solved from cross products on a written panel: no SQL counterpart; tests compare with dense least squares
-register("l2_policy_effects", lambda m: estimates(m)["policy_effect_estimate"], EFFECT_SPEC, None)
+define(DESIGN)
+SUBQUERIES["l_effects"] = f"""SELECT '{DESIGN.run_id}' AS run_id, outcome_name, specification, round(b, 4) AS coefficient,
+  round(se, 4) AS standard_error, round(b - 1.96 * se, 4) AS confidence_interval_lower,
+  round(b + 1.96 * se, 4) AS confidence_interval_upper, round(p, 4) AS p_value, groups AS provider_count,
+  observations AS observation_count FROM l_terms WHERE specification IN {EFFECTS}"""
+
+
+def effects_where(test):
+    return lambda m: estimates(m)["policy_effect_estimate"].filter(test)
+
+
+for name, test in {
+    "l2_policy_effects": "true",
+    "l3_winsorized_effects": "specification = 'winsorized_99_percent'",
+    "l4_unweighted_effects": "specification = 'unweighted_provider_month'",
+}.items():
+    register(name, effects_where(test), EFFECT_SPEC, f"SELECT * FROM l_effects WHERE {test}")
+# how far each bound lies from 1.96 errors, and whether the interval leaves zero out, of every effect
 register(
-    "l4_unweighted_effects",
-    lambda m: estimates(m)["policy_effect_estimate"].filter("specification = 'unweighted_provider_month'"),
-    EFFECT_SPEC,
-    None,
+    "l6_intervals",
+    lambda m: estimates(m)["policy_effect_estimate"].selectExpr(
+        "outcome_name", "specification", "confidence_interval_lower", "confidence_interval_upper", "p_value",
+        "confidence_interval_lower > 0 or confidence_interval_upper < 0 as excludes_zero",
+        "abs(confidence_interval_upper - coefficient - 1.96 * standard_error) <= 0.001 as matches_error"),
+    "outcome_name:text specification:text confidence_interval_lower:num confidence_interval_upper:num p_value:num "
+    "excludes_zero:bool matches_error:bool",
+    "SELECT outcome_name, specification, confidence_interval_lower, confidence_interval_upper, p_value, "
+    "abs(coefficient) > 1.96 * standard_error AS excludes_zero, TRUE AS matches_error FROM l_effects",
 )
 register(
     "l6_interval_violations",
@@ -114,25 +136,36 @@ register(
         "or abs(confidence_interval_upper - coefficient - 1.96 * standard_error) > 0.001 or p_value not between 0 and 1"
     ),
     EFFECT_SPEC,
-    "SELECT '' AS run_id, '' AS outcome_name, '' AS specification, 0 AS coefficient, 0 AS standard_error, "
-    "0 AS confidence_interval_lower, 0 AS confidence_interval_upper, 0 AS p_value, 0 AS provider_count, "
-    "0 AS observation_count WHERE FALSE",
+    "SELECT * FROM l_effects WHERE coefficient NOT BETWEEN confidence_interval_lower AND confidence_interval_upper "
+    "OR abs(confidence_interval_upper - coefficient - 1.96 * standard_error) > 0.001 OR p_value NOT BETWEEN 0 AND 1",
 )
 register(
     "l5_event_study",
     lambda m: estimates(m)["event_study_estimate"],
     "run_id:text outcome_name:text event_time:long coefficient:num standard_error:num "
     "confidence_interval_lower:num confidence_interval_upper:num p_value:num",
-    None,
+    f"SELECT '{DESIGN.run_id}' AS run_id, outcome_name, event_time, round(b, 4) AS coefficient, round(se, 4) AS standard_error, "
+    "round(b - 1.96 * se, 4) AS confidence_interval_lower, round(b + 1.96 * se, 4) AS confidence_interval_upper, "
+    "round(p, 4) AS p_value FROM l_terms WHERE specification = 'event_study'",
 )
 DIAGNOSTIC_SPEC = (
     "run_id:text outcome_name:text diagnostic_name:text specification:text statistic:num p_value:num "
     "passed:bool explanation:text"
 )
-register("l7_pretrend_tests",
-         lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'parallel_trends'"), DIAGNOSTIC_SPEC, None)
-register("l8_placebo_tests",
-         lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'placebo_policy_date'"), DIAGNOSTIC_SPEC, None)
+register(
+    "l7_pretrend_tests",
+    lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'parallel_trends'"), DIAGNOSTIC_SPEC,
+    f"SELECT '{DESIGN.run_id}' AS run_id, outcome_name, 'parallel_trends' AS diagnostic_name, 'joint_wald' AS specification, "
+    f"round(statistic, 4) AS statistic, round(p, 4) AS p_value, p >= {DESIGN.significance} AS passed, "
+    "'Joint Wald test of treatment-specific event coefficients -12 through -2.' AS explanation FROM l_wald",
+)
+register(
+    "l8_placebo_tests",
+    lambda m: estimates(m)["policy_diagnostic"].filter("diagnostic_name = 'placebo_policy_date'"), DIAGNOSTIC_SPEC,
+    f"SELECT '{DESIGN.run_id}' AS run_id, outcome_name, 'placebo_policy_date' AS diagnostic_name, '1999-07-01' AS specification, "
+    f"round(b, 4) AS statistic, round(p, 4) AS p_value, p >= {DESIGN.significance} AS passed, "
+    "'Pretreatment-only placebo interaction at July 1999.' AS explanation FROM l_terms WHERE specification = 'placebo'",
+)
 
 
 def four(column):
