@@ -12,5 +12,6 @@ from checks import (  # noqa: F401
     seeding_queries,
     silver_queries,
     source_queries,
+    star_path_queries,
     star_queries,
 )

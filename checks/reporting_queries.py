@@ -66,6 +66,7 @@ KPI = {
     "BI011": ("mart_concentration", f"sum({D('hhi')} * {D('total_allowed_amount')}) / sum({D('total_allowed_amount')})"),
     "BI012": ("mart_decomposition", D("sum(CAST(total_cost_change AS DECIMAL(38,2)))")),
     "BI013": ("mart_signals", D("count(*) FILTER (WHERE signal_status = 'warning')")),
+    "BI014": ("l_effects", "max(coefficient) FILTER (WHERE specification = 'balanced_panel' AND outcome_name = 'paid_pmpm')"),
 }
 NAMES = {metric: (display, role) for metric, display, role in reporting.INDICATORS}
 SUBQUERIES["b_kpi"] = " UNION ALL ".join(
@@ -88,8 +89,7 @@ KPI_SPEC = "metric_id:text display_name:text date_role:text metric_value:num"
 for name in ("e13_executive_indicators", "d16_metric_display_names"):
     register(
         name,
-        # the policy coefficient has no SQL counterpart
-        lambda m: indicators(m).filter("metric_id <> 'BI014'").withColumn("metric_value", F.round("metric_value", 4)),
+        lambda m: indicators(m).withColumn("metric_value", F.round("metric_value", 4)),
         KPI_SPEC, "SELECT * FROM b_kpi",
     )
 register(
@@ -112,11 +112,51 @@ register(
         quality.row_count(name, frame) for name, (frame, _) in extracts(m).items()
     ]).withColumnsRenamed({"check_name": "extract", "violations": "row_count"}),
     "extract:text row_count:long",
-    "SELECT 'executive_kpi' AS extract, 14 AS row_count UNION ALL SELECT 'cost_and_utilization', count(*) FROM mart_cost "
+    "SELECT 'executive_kpi' AS extract, count(*) AS row_count FROM b_kpi UNION ALL SELECT 'cost_and_utilization', count(*) FROM mart_cost "
     "UNION ALL SELECT 'payment_cash_flow', count(*) FROM mart_cash "
     "UNION ALL SELECT 'payment_integrity_review_leads', count(*) FROM b_leads "
     "UNION ALL SELECT 'provider_service_concentration', count(*) FROM mart_concentration "
-    "UNION ALL SELECT 'policy_impact', 15 UNION ALL SELECT 'methodology_signals', count(*) FROM mart_signals",
+    "UNION ALL SELECT 'policy_impact', count(*) FROM l_effects UNION ALL SELECT 'methodology_signals', count(*) FROM mart_signals",
+)
+
+
+# extract: its SQL and, of its columns, those that are summed
+EXTRACT_SQL = {
+    "executive_kpi": ("b_kpi", ["metric_value"]),
+    "cost_and_utilization": ("mart_cost", ["eligible_member_months", "claim_count", "allowed_amount", "paid_amount", "allowed_pmpm"]),
+    "payment_cash_flow": ("mart_cash", ["net_payment_cash_flow"]),
+    "payment_integrity_review_leads": ("b_leads", ["review_lead_count", "amount_at_risk", "distinct_member_count"]),
+    "provider_service_concentration": ("mart_concentration", ["total_allowed_amount", "hhi", "top_10_share"]),
+    "policy_impact": ("l_effects", ["coefficient", "standard_error", "p_value", "observation_count"]),
+    "methodology_signals": ("mart_signals", ["metric_value", "history_month_count"]),
+}
+
+
+def extract_contents(model):
+    """Values and exact total of the measures of each extract, long."""
+    parts = []
+    for name, (frame, order) in extracts(model).items():
+        for column in EXTRACT_SQL[name][1]:
+            parts.append(frame.agg(F.count(column).alias("filled"), F.sum(F.round(column, 4).cast("decimal(28,4)")).alias("total"),
+                                   F.count_distinct(*order).alias("keys")).select(
+                F.lit(name).alias("extract"), F.lit(column).alias("measure"), "filled", "total", "keys"))
+    return quality.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+EXTRACT_ORDER = {
+    "executive_kpi": "metric_id", "cost_and_utilization": "service_month, plan_key", "payment_cash_flow": "payment_month, plan_key",
+    "payment_integrity_review_leads": "rule_id, severity", "provider_service_concentration": "service_month, plan_key, entity_type",
+    "policy_impact": "outcome_name, specification", "methodology_signals": "service_month, plan_key, metric_name",
+}
+register(
+    "m2_dashboard_extract_contents",
+    extract_contents,
+    "extract:text measure:text filled:long total:num keys:long",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS extract, '{column}' AS measure, count({column}) AS filled, "
+        f"sum(CAST(round({column}, 4) AS DECIMAL(28,4))) AS total, count(DISTINCT ({EXTRACT_ORDER[name]})) AS keys FROM {table}"
+        for name, (table, columns) in EXTRACT_SQL.items() for column in columns
+    ),
 )
 
 
@@ -144,7 +184,9 @@ UNION ALL SELECT 'SAS006', CAST(service_month AS VARCHAR) || '|' || plan_key, 'r
 UNION ALL SELECT 'SAS007', CAST(service_month AS VARCHAR) || '|' || plan_key, 'rate', units_per_1000 FROM mart_cost
 UNION ALL SELECT 'SAS008', rule_id, 'row_count', count(*) FROM r_selected GROUP BY rule_id
 UNION ALL SELECT 'SAS009', rule_id, 'financial', sum(amount_at_risk) FROM r_selected GROUP BY rule_id
-UNION ALL SELECT 'SAS010', treatment_group, 'row_count', count(*) FROM p_panel GROUP BY treatment_group"""
+UNION ALL SELECT 'SAS010', treatment_group, 'row_count', count(*) FROM p_panel GROUP BY treatment_group
+UNION ALL SELECT 'SAS011', outcome_name, 'coefficient', coefficient FROM l_effects WHERE specification = 'balanced_panel'
+UNION ALL SELECT 'SAS012', outcome_name, 'p_value', p_value FROM l_effects WHERE specification = 'balanced_panel'"""
 
 
 def metrics(model):
@@ -154,27 +196,20 @@ def metrics(model):
     )
 
 
-register(
-    "e20_reconciliation_metrics",
-    lambda m: metrics(m).filter("metric_id < 'SAS011'"),
-    "metric_id:text comparison_scope:text metric_type:text value:num",
-    "SELECT * FROM x_metrics",
-)
-register(
-    "m4_reference_metric_table", metrics, "metric_id:text comparison_scope:text metric_type:text value:num", None
-)
+for name in ("e20_reconciliation_metrics", "m4_reference_metric_table"):
+    register(name, metrics, "metric_id:text comparison_scope:text metric_type:text value:num", "SELECT * FROM x_metrics")
 
 
 def shifted(model):
     """A recomputation that misses one metric and differs slightly or too much in others."""
     value, metric = F.col("value"), F.col("metric_id")
     moved = F.when(metric == "SAS003", value + 0.01).when(metric == "SAS004", value + 0.02).otherwise(value)
-    return metrics(model).filter("metric_id < 'SAS011' and metric_id <> 'SAS005'").withColumn(
+    return metrics(model).filter("metric_id <> 'SAS005'").withColumn(
         "value", moved.cast(reporting.VALUE))
 
 
 def comparison(model):
-    return reporting.compare_metrics(metrics(model).filter("metric_id < 'SAS011'"), shifted(model), "run-1")
+    return reporting.compare_metrics(metrics(model), shifted(model), "run-1")
 
 
 SUBQUERIES["x_compared"] = """
@@ -182,7 +217,8 @@ SELECT 'run-1' AS execution_id, metric_id, comparison_scope, metric_type,
   metric_id <> 'SAS004' AND metric_id <> 'SAS005' AS passed, metric_id = 'SAS005' AS missing,
   CASE WHEN metric_id = 'SAS005' THEN NULL WHEN metric_id = 'SAS003' THEN 0.01 WHEN metric_id = 'SAS004' THEN 0.02 ELSE 0 END
     AS absolute_difference,
-  CASE metric_type WHEN 'financial' THEN 0.01 WHEN 'rate' THEN 0.0001 ELSE 0 END AS tolerance
+  CASE metric_type WHEN 'financial' THEN 0.01 WHEN 'rate' THEN 0.0001 WHEN 'coefficient' THEN 0.001
+    WHEN 'p_value' THEN 0.001 ELSE 0 END AS tolerance
 FROM x_metrics"""
 for name in ("h31_tolerance_comparison", "d15_reference_to_recomputed"):
     register(name, comparison,
@@ -190,7 +226,7 @@ for name in ("h31_tolerance_comparison", "d15_reference_to_recomputed"):
              "tolerance:num passed:bool", "SELECT * FROM x_compared")
 register(
     "h32_reconciliation_set_checks",
-    lambda m: reporting.comparison_checks(comparison(m), metrics(m).filter("metric_id < 'SAS011'")),
+    lambda m: reporting.comparison_checks(comparison(m), metrics(m)),
     "check_name:text violations:long",
     count_rows({
         "reference_without_result": ("x_compared", "FALSE"), "result_without_reference": ("x_compared", "FALSE"),

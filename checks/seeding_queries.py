@@ -251,6 +251,44 @@ register("g7_content_fingerprints", manifest,
          "table_name:text row_count:long content_sha256:text schema_sha256:text", None)
 
 
+# columns whose contents are hashed by the same rule on both sides; "q" are quoted in JSON
+CONTENTS = {
+    "provider": "provider_id:q provider_entity_type:q specialty_group:q state_code:q synthetic_record:p",
+    "membership_month": "member_id:q plan_id:q coverage_month:q coverage_status:q",
+    "claim_header": "claim_id:q member_id:q claim_version_number:p claim_status:q service_from_date:q adjudication_date:q "
+                    "total_allowed_amount:p prior_claim_id:q",
+    "claim_line": "claim_line_id:q claim_id:q units:p place_of_service_code:q allowed_amount:p",
+    "payment_transaction": "payment_transaction_id:q claim_id:q transaction_date:q signed_transaction_amount:p reverses_transaction_id:q",
+}
+
+
+def content_hashes(model):
+    parts = []
+    for table, spec in CONTENTS.items():
+        names = [item.split(":")[0] for item in spec.split()]
+        hashed = hashing.content_fingerprint(getattr(model, table), names)
+        parts.append(hashed.select(F.lit(table).alias("table_name"), "row_count", "content_sha256"))
+    return quality.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def content_sql(table, spec):
+    values = []
+    for name, quoted in (item.split(":") for item in spec.split()):
+        mark = '"' if quoted == "q" else ""
+        values.append(f"""coalesce('{{"v":{mark}' || CAST({name} AS VARCHAR) || '{mark}}}', '{{}}')""")
+    words = " || ':' || ".join(
+        f"CAST(coalesce(sum(CAST(CAST('0x' || substr(d, {start}, 15) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR)" for start in (1, 16, 31, 46)
+    )
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, sha256(CAST(count(*) AS VARCHAR) || ':' || {words}) AS content_sha256 "
+        f"FROM (SELECT sha256(concat_ws(',', {', '.join(values)})) AS d FROM op_{table}) rows"
+    )
+
+
+CONTENT_SQL = " UNION ALL ".join(content_sql(table, spec) for table, spec in CONTENTS.items())
+register("g7_content_hashes", content_hashes, "table_name:text row_count:long content_sha256:text", CONTENT_SQL)
+
+
 def backtest(model):
     """Seed, conform, detect without labels, then score against the labels."""
     state = seeded(model)

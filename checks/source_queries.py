@@ -1,5 +1,8 @@
 """Round trips through text landings, published tables and exports, on data derived from the given tables."""
 
+import json
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.bronze_model import BRONZE, bronze_frame
@@ -112,6 +115,26 @@ register(
 )
 
 
+def signatures(model):
+    """The signature of each year's columns; the last year has one more."""
+    frames = [rows.agg(F.lit(year).alias("_reporting_year"), F.lit(schema_fingerprint(rows)).alias("schema_signature"),
+                       F.count("*").alias("row_count")) for year, rows in annual_frames(model).items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def signed_text(columns):
+    return "sha256('" + json.dumps([{"name": c, "type": "string"} for c in columns], separators=(",", ":")) + "')"
+
+
+register(
+    "a10_annual_schema_signatures",
+    signatures,
+    "_reporting_year:long schema_signature:text row_count:long",
+    f"SELECT _reporting_year, CASE WHEN _reporting_year = max(_reporting_year) OVER () THEN {signed_text([*SOURCE_COLUMNS, LATER_COLUMN])} "
+    f"ELSE {signed_text(SOURCE_COLUMNS)} END AS schema_signature, count(*) AS row_count FROM bronze_outpatient GROUP BY _reporting_year",
+)
+
+
 def published(model):
     path = f"{model.layers.root}/published_claims"
 
@@ -126,6 +149,34 @@ CLAIM_SPEC = "claim_id:text claim_status:text total_allowed_amount:num"
 CLAIM_SQL = "SELECT claim_id, claim_status, total_allowed_amount FROM op_claim_header"
 register("a6_validated_publish", published, CLAIM_SPEC, CLAIM_SQL)
 register("a5_parquet_sink", published, CLAIM_SPEC, CLAIM_SQL)
+ROW_GROUP_ROWS = 1_000
+
+
+def published_footers(model):
+    """Codec, rows, largest row group and bounds of the identifier, as the footers of the published files have them."""
+    path = f"{model.layers.root}/published_in_small_groups"
+    claims = model.claim_header.select("claim_id", "claim_status", "adjudication_date").coalesce(2)
+    footers = publish.parquet_footers(publish.publish(claims, path, row_group_rows=ROW_GROUP_ROWS))
+    return footers.groupBy("column_name", "codec").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+        F.count_if(F.col("row_count") > ROW_GROUP_ROWS).alias("groups_too_large"),
+        (F.count("*") >= F.ceil(F.sum("row_count") / ROW_GROUP_ROWS)).alias("enough_groups"),
+        F.when(F.col("column_name") == "claim_id", F.min("smallest")).alias("smallest"),
+        F.when(F.col("column_name") == "claim_id", F.max("largest")).alias("largest"),
+    )
+
+
+register(
+    "a5_parquet_footers",
+    published_footers,
+    "column_name:text codec:text row_count:long null_count:long groups_too_large:long enough_groups:bool smallest:text largest:text",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, 'ZSTD' AS codec, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"0 AS groups_too_large, TRUE AS enough_groups, {bounds.format('min')} AS smallest, {bounds.format('max')} AS largest "
+        "FROM op_claim_header"
+        for c, bounds in (("claim_id", "{}(claim_id)"), ("claim_status", "NULL"), ("adjudication_date", "NULL"))
+    ),
+)
 
 
 def required_tables(model):

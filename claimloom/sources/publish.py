@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,17 +56,17 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def publish(
-    df: DataFrame, path: str, validate: Callable[[DataFrame], None] = lambda written: None
+    df: DataFrame, path: str, validate: Callable[[DataFrame], None] = lambda written: None, row_group_rows: int = 100_000
 ) -> DataFrame:
     """Write beside the target, validate what was written, then swap it in.
 
-    A failed validation leaves the former table in place and removes the attempt.
+    Files are compressed with Zstandard in row groups of at most ``row_group_rows`` rows.  A failed validation leaves the former table in place and removes the attempt.
     """
     spark = df.sparkSession
     attempt = f"{path.rstrip('/')}__attempt_{uuid.uuid4().hex}"
     fs, attempt_path, jvm = _file_system(spark, attempt)
     try:
-        df.write.option("compression", "zstd").parquet(attempt)
+        df.write.option("compression", "zstd").option("parquet.block.row.count.limit", row_group_rows).parquet(attempt)
         validate(spark.read.schema(df.schema).parquet(attempt))
     except Exception:
         fs.delete(attempt_path, True)
@@ -84,6 +85,44 @@ def publish(
     return spark.read.schema(df.schema).parquet(path)
 
 
+FOOTER_SCHEMA = (
+    "file string, row_group int, row_count bigint, column_name string, codec string, null_count bigint, "
+    "smallest string, largest string"
+)
+
+
+def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # imported in the tasks, as only they read footers
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+
+    for batch in batches:
+        rows = []
+        for uri in batch["file"]:
+            system, path = fs.FileSystem.from_uri(uri)
+            with system.open_input_file(path) as source:
+                footer = pq.ParquetFile(source).metadata
+            for group in range(footer.num_row_groups):
+                block = footer.row_group(group)
+                for place in range(block.num_columns):
+                    column, known = block.column(place), block.column(place).statistics
+                    bounds = (str(known.min), str(known.max)) if known is not None and known.has_min_max else (None, None)
+                    nulls = known.null_count if known is not None and known.has_null_count else None
+                    rows.append((uri, group, block.num_rows, column.path_in_schema, column.compression, nulls, *bounds))
+        yield pd.DataFrame(rows, columns=[part.split()[0] for part in FOOTER_SCHEMA.split(", ")])
+
+
+def parquet_footers(table: DataFrame) -> DataFrame:
+    """What the footers of a written table say of each column of each row group; tasks read them, never the rows.
+
+    Files must lie in a file system that Arrow can open.  A table without files gives no rows.
+    """
+    spark, files = table.sparkSession, table.inputFiles()
+    names = spark.createDataFrame([(name,) for name in files], "file string")
+    spread = names.repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism)), "file")
+    return spread.mapInPandas(_read_footers, FOOTER_SCHEMA)
+
+
 def load_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
     """Required tables under a folder; all missing ones are named together."""
     absent = []
