@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from claimloom.errors import ContractError
 from claimloom.plans import policy
 
 MONTHS = list(range(-4, 3))
@@ -107,3 +108,8 @@ def test_panel_is_balanced(model):
     assert counts == {18}
     zero = panel.filter("claim_count = 0").select("denial_rate", "review_rate").distinct().collect()
     assert all(tuple(r) == (None, None) for r in zero)
+
+
+def test_a_model_without_observations_is_refused(panel):
+    with pytest.raises(ContractError, match="no observations for late"):
+        policy.fit_models(panel, [policy.Model("late", 1, ((9,),), (8, 9))])

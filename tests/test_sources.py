@@ -160,3 +160,26 @@ def test_folder_of_parts_counts_as_one_annual_file(spark, tmp_path):
     found = landing.discover_annual_files(spark, str(tmp_path), "fam", [2020])
     rows = landing.read_text_csv(spark, found[2020], "fam", 2020).collect()
     assert sorted(r["A"] for r in rows) == ["1", "2"]
+
+
+def test_footers_tell_codec_row_groups_and_bounds(spark, tmp_path):
+    rows = spark.range(250).select("id", F.when(F.col("id") % 5 != 0, F.col("id").cast("string")).alias("text")).coalesce(1)
+    footers = publish.parquet_footers(publish.publish(rows, str(tmp_path / "groups"), row_group_rows=100)).collect()
+    ids = sorted((r for r in footers if r["column_name"] == "id"), key=lambda r: r["row_group"])
+    assert [r["row_count"] for r in ids] == [100, 100, 50] and {r["codec"] for r in footers} == {"ZSTD"}
+    assert [(r["smallest"], r["largest"]) for r in ids] == [("0", "99"), ("100", "199"), ("200", "249")]
+    assert sum(r["null_count"] for r in footers if r["column_name"] == "text") == 50
+    empty = publish.publish(rows.filter("id < 0"), str(tmp_path / "none"))
+    assert publish.parquet_footers(empty).agg(F.sum("row_count")).first()[0] is None
+
+
+def test_load_with_a_lost_row_raises_when_strict(spark):
+    from claimloom.plans import reporting
+
+    tables = {"rule_finding": spark.createDataFrame([("F1", 10), ("F2", 5)], "finding_id string, amount_at_risk int")}
+    keys, measures = {"rule_finding": ["finding_id"]}, {"rule_finding": ["amount_at_risk"]}
+    manifest = reporting.table_manifest(tables, keys, measures)
+    assert reporting.load_and_validate(tables, manifest, keys, measures, "load_whole").filter("not passed").count() == 0
+    short = {"rule_finding": tables["rule_finding"].limit(1)}
+    with pytest.raises(ContractError, match="rule_finding row_count"):
+        reporting.load_and_validate(short, manifest, keys, measures, "load_short")
