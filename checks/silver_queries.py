@@ -381,3 +381,25 @@ register(
     text_spec({n: k for n, k in SPECS["inpatient"].items() if n not in INPATIENT.private}),
     "SELECT * FROM silver_inpatient",
 )
+
+
+# measures that are published or withheld together; a beneficiary count needs the summary
+OUTPATIENT_GROUPS = {
+    "summary": ("comprehensive_apc_services", "average_submitted_charge", "average_medicare_allowed_amount",
+                "average_medicare_payment"),
+    "beneficiaries": ("beneficiary_count",),
+    "outliers": ("outlier_services", "average_medicare_outlier_amount"),
+}
+PRESENT = " + ".join(
+    f"CASE WHEN {name} IS NULL THEN 0 ELSE {2 ** place} END"
+    for place, name in enumerate(n for group in OUTPATIENT_GROUPS.values() for n in group)
+)
+register(
+    "h11_null_patterns",
+    lambda m: silver_quality.null_patterns(typed_frame(m, "outpatient"), OUTPATIENT_GROUPS, (("beneficiaries", "summary"),)),
+    "mask:long row_count:long expected:bool",
+    f"""SELECT mask, coalesce(n, 0) AS row_count, wanted IS NOT NULL AS expected
+FROM (SELECT {PRESENT} AS mask, count(*) AS n FROM silver_outpatient GROUP BY 1) found
+FULL JOIN (SELECT s * 15 + b * 16 + o * 96 AS mask, TRUE AS wanted
+  FROM (VALUES (0), (1)) x(s), (VALUES (0), (1)) y(b), (VALUES (0), (1)) z(o) WHERE b <= s) allowed USING (mask)""",
+)

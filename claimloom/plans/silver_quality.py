@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,6 +150,34 @@ def metric_nulls(silver: DataFrame, contract: SourceContract, measures: list[str
     ).withColumnsRenamed({"check_name": "measure_name", "violations": "null_count"})
 
 
+def expected_masks(groups: dict[str, tuple[str, ...]], requires: tuple[tuple[str, str], ...] = ()) -> list[int]:
+    """Bit masks in which every group is wholly present or absent and no group lacks one that it requires."""
+    bits, at = {}, 0
+    for name, measures in groups.items():
+        bits[name] = sum(1 << place for place in range(at, at + len(measures)))
+        at += len(measures)
+    chosen = product((False, True), repeat=len(groups))
+    states = [dict(zip(groups, present, strict=True)) for present in chosen]
+    return [sum(bits[name] for name in groups if state[name]) for state in states
+            if all(state[needed] or not state[needing] for needing, needed in requires)]
+
+
+def null_patterns(
+    silver: DataFrame, groups: dict[str, tuple[str, ...]], requires: tuple[tuple[str, str], ...] = ()
+) -> DataFrame:
+    """``mask, row_count, expected``: rows by which measures are present, the first measure being the lowest bit.
+
+    Expected masks without rows are listed with 0, so found and expected patterns can be held against each other.
+    """
+    measures = [measure for group in groups.values() for measure in group]
+    present = [F.when(F.col(name).isNotNull(), 1 << place).otherwise(0) for place, name in enumerate(measures)]
+    found = silver.groupBy(reduce(lambda a, b: a + b, present).cast("int").alias("mask")).agg(F.count("*").alias("_rows"))
+    wanted = silver.sparkSession.createDataFrame([(mask,) for mask in expected_masks(groups, requires)], "mask int")
+    return found.join(wanted.withColumn("_wanted", F.lit(True)), "mask", "full").select(
+        "mask", F.coalesce("_rows", F.lit(0)).alias("row_count"), F.coalesce("_wanted", F.lit(False)).alias("expected")
+    )
+
+
 def schema_drift(bronze: DataFrame, contract: SourceContract, expected_columns: int | None = None) -> list[str]:
     """Differences of the column set from the contract, as texts."""
     columns = [c for c in bronze.columns if c not in LINEAGE]

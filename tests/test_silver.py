@@ -161,3 +161,12 @@ def test_reports_can_be_required(spark):
     quality.require_passed(checks.filter("check_name = 'a'"))
     with pytest.raises(ContractError, match="'c'"):
         quality.require_check_set(checks, {"a", "b", "c"})
+
+
+def test_null_patterns_against_expected_masks(spark):
+    groups, requires = {"one": ("a", "b"), "two": ("c",)}, (("two", "one"),)
+    assert silver_quality.expected_masks(groups, requires) == [0, 3, 7]
+    rows = spark.createDataFrame([(1, 1, 1), (1, 1, None), (1, 1, None), (1, None, 1)], "a int, b int, c int")
+    found = {r["mask"]: (r["row_count"], r["expected"]) for r in silver_quality.null_patterns(rows, groups, requires).collect()}
+    assert found == {0: (0, True), 3: (2, True), 7: (1, True), 5: (1, False)}
+    assert all(not r["row_count"] for r in silver_quality.null_patterns(rows.limit(0), groups, requires).collect())
