@@ -307,10 +307,10 @@ def silver_report_sql(family, contract):
     return count_rows(checks)
 
 
-def family_report(model, family):
+def family_report(model, family, only=""):
     contract, bronze = CONTRACTS[family], bronze_frame(model, family)
     marks = silver.suppression_lineage(bronze, contract) if contract.indicators else None
-    return silver_quality.silver_report(bronze, silver.typed_silver(bronze, contract), contract, marks)
+    return silver_quality.silver_report(bronze, silver.typed_silver(bronze, contract), contract, marks, only)
 
 
 for family, contract in CONTRACTS.items():
@@ -338,7 +338,7 @@ for name, family, prefix in (
 ):
     register(
         name,
-        lambda m, f=family, p=prefix: family_report(m, f).filter(f"check_name like '{p}%'"),
+        lambda m, f=family, p=prefix: family_report(m, f, p),
         "check_name:text violations:long",
         f"SELECT * FROM report_{family} WHERE check_name LIKE '{prefix}%'",
     )

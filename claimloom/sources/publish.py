@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -55,34 +56,84 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop, jvm
 
 
+VERSIONS = "_versions"
+COMMIT = re.compile(r"_commit_(\d{12})_([0-9a-f]{32})")
+ABANDONED_MS = 24 * 3_600_000
+
+
+def _commits(fs, folder) -> list[tuple[int, str]]:
+    """Commits of a published table, oldest first; names alone say everything, so none is ever half written."""
+    if not fs.exists(folder):
+        return []
+    found = (COMMIT.fullmatch(status.getPath().getName()) for status in fs.listStatus(folder))
+    return sorted((int(match[1]), match[2]) for match in found if match)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version that the last commit names; None where nothing was published."""
+    fs, folder, _ = _file_system(spark, path)
+    commits = _commits(fs, folder)
+    return f"{path.rstrip('/')}/{VERSIONS}/{commits[-1][1]}" if commits else None
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table, or the files of a plain folder."""
+    return spark.read.parquet(current_version(spark, path) or path)
+
+
+def collect_versions(spark: SparkSession, path: str, keep: int = 2, abandoned_ms: int = ABANDONED_MS) -> list[str]:
+    """Delete all but the last ``keep`` versions and return the ids deleted.
+
+    The last one but one is kept for readers that resolved it before the last commit.  Versions that no commit
+    names go once they are older than ``abandoned_ms``: their writer was lost, or it still runs if they are younger.
+    """
+    if keep < 1:
+        raise ContractError("the current version must be kept")
+    fs, folder, jvm = _file_system(spark, path)
+    commits = _commits(fs, folder)
+    versions = jvm.org.apache.hadoop.fs.Path(folder, VERSIONS)
+    former = commits[:-keep]
+    for number, version in former:
+        # the commit goes first, so that no commit ever names files that are gone
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, f"_commit_{number:012d}_{version}"), False)
+    named, gone = {version for _, version in commits}, [version for _, version in former]
+    if fs.exists(versions):
+        now = jvm.java.lang.System.currentTimeMillis()
+        gone += [s.getPath().getName() for s in fs.listStatus(versions)
+                 if s.getPath().getName() not in named and s.getModificationTime() < now - abandoned_ms]
+    for version in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(versions, version), True)
+    return gone
+
+
 def publish(
-    df: DataFrame, path: str, validate: Callable[[DataFrame], None] = lambda written: None, row_group_rows: int = 100_000
+    df: DataFrame, path: str, validate: Callable[[DataFrame], None] = lambda written: None,
+    row_group_rows: int = 100_000, keep: int = 2,
 ) -> DataFrame:
-    """Write beside the target, validate what was written, then swap it in.
+    """Write a new version of a table, validate what was written, then commit it.
 
-    Files are compressed with Zstandard in row groups of at most ``row_group_rows`` rows.  A failed validation leaves the former table in place and removes the attempt.
+    A commit is an empty file whose name holds its number and version, so readers (``published``) find either the
+    former version or the new one at any moment, and a writer lost at any step leaves the former one current.
+    Writers of the same table at the same time are all kept; of equal numbers the greatest id is current.
+    Files are compressed with Zstandard in row groups of at most ``row_group_rows`` rows.  A failed validation
+    removes the attempt.  ``keep`` versions are kept.
     """
-    spark = df.sparkSession
-    attempt = f"{path.rstrip('/')}__attempt_{uuid.uuid4().hex}"
-    fs, attempt_path, jvm = _file_system(spark, attempt)
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    root = path.rstrip("/")
+    attempt = f"{root}/{VERSIONS}/{version}"
+    fs, folder, jvm = _file_system(spark, root)
+    attempt_path = jvm.org.apache.hadoop.fs.Path(attempt)
     try:
         df.write.option("compression", "zstd").option("parquet.block.row.count.limit", row_group_rows).parquet(attempt)
         validate(spark.read.schema(df.schema).parquet(attempt))
     except Exception:
         fs.delete(attempt_path, True)
         raise
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    former = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__former_{uuid.uuid4().hex}")
-    existed = fs.exists(target)
-    if existed and not fs.rename(target, former):
-        raise ContractError(f"cannot replace {path}")
-    if not fs.rename(attempt_path, target):
-        if existed:
-            fs.rename(former, target)
+    number = max((n for n, _ in _commits(fs, folder)), default=0) + 1
+    if not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, f"_commit_{number:012d}_{version}")):
         raise ContractError(f"cannot publish {path}")
-    if existed:
-        fs.delete(former, True)
-    return spark.read.schema(df.schema).parquet(path)
+    collect_versions(spark, root, keep)
+    return spark.read.schema(df.schema).parquet(attempt)
 
 
 FOOTER_SCHEMA = (
@@ -132,7 +183,7 @@ def load_tables(spark: SparkSession, root: str, names: Sequence[str]) -> dict[st
             absent.append(name)
     if absent:
         raise ContractError(f"missing tables: {', '.join(absent)}")
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    return {name: published(spark, f"{root}/{name}") for name in names}
 
 
 def export_texts(df: DataFrame) -> DataFrame:

@@ -63,12 +63,47 @@ def test_publish_swaps_only_valid_tables(spark, tmp_path):
 
     with pytest.raises(ContractError):
         publish.publish(spark.range(5).toDF("id"), path, refuse)
-    assert spark.read.parquet(path).count() == 3
+    assert publish.published(spark, path).count() == 3
     publish.publish(spark.range(5).toDF("id"), path)
-    assert spark.read.parquet(path).count() == 5
+    assert publish.published(spark, path).count() == 5
     assert [p.name for p in tmp_path.iterdir()] == ["table"]
 
 
+def test_published_table_is_whole_at_every_step(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "table"), []
+    look = lambda *_: seen.append(publish.published(spark, path).count())
+    publish.publish(spark.range(1).toDF("id"), path)
+    reader = publish.published(spark, path)  # resolved before the next commit, read after it
+    collect = publish.collect_versions
+
+    def watched(*arguments):
+        look()
+        gone = collect(*arguments)
+        look()
+        return gone
+
+    monkeypatch.setattr(publish, "collect_versions", watched)
+    publish.publish(spark.range(2).toDF("id"), path, look)
+    assert seen == [1, 2, 2] and reader.count() == 1
+    publish.publish(spark.range(3).toDF("id"), path, look)
+    assert seen == [1, 2, 2, 2, 3, 3]
+    assert len(list((tmp_path / "table" / "_versions").iterdir())) == 2
+
+
+def test_abandoned_versions_are_collected(spark, tmp_path):
+    path = str(tmp_path / "table")
+    publish.publish(spark.range(4).toDF("id"), path)
+    # a writer lost before its commit: nothing changes for readers
+    spark.range(9).write.parquet(f"{path}/_versions/{'0' * 32}")
+    assert publish.published(spark, path).count() == 4
+    assert publish.collect_versions(spark, path) == []
+    assert publish.collect_versions(spark, path, abandoned_ms=-60_000) == ["0" * 32]
+    assert publish.published(spark, path).count() == 4
+    assert publish.current_version(spark, str(tmp_path / "nothing")) is None
+    with pytest.raises(ContractError):
+        publish.collect_versions(spark, path, keep=0)
+
+
 def test_load_tables_names_everything_missing(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "here"))
     assert set(publish.load_tables(spark, str(tmp_path), ["here"])) == {"here"}
