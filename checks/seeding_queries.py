@@ -10,16 +10,20 @@ from checks.oracle_numbers import half_even, scaled
 from checks.registry import register
 from checks.rule_queries import SETTINGS as RULES
 from checks.rule_queries import limits_of
+from claimloom.contracts.review_rules import INCOMPATIBLE_DIAGNOSIS
 from claimloom.functions import hashing
-from claimloom.operators import quality
+from claimloom.operators import differences, quality
 from claimloom.plans import conformed, evaluation, rules, seeding
 
 SEED = seeding.SeedSettings(seed=731, policy_start=date(2000, 1, 1))
 STEPS = ("record", "ledger", "outlier", "surge", "repeat", "diagnosis")
 
 
-def seeded(model, upto="diagnosis"):
-    """State after the given step; every step reads written target lists."""
+def seeding_steps(model, upto="diagnosis", write_tables=False):
+    """``step, before, after, changes`` of each step in turn, ``changes`` being the step's own.
+
+    Every step reads written target lists; with ``write_tables`` the tables that a step changes are written too.
+    """
     names = "member plan provider claim_header claim_line adjudication_event payment_transaction".split()
     state = seeding.Seeded({n: getattr(model, n) for n in names}, keep=partial(model.layers.keep, settings=SEED))
     run = {
@@ -31,10 +35,23 @@ def seeded(model, upto="diagnosis"):
         "diagnosis": lambda s, c: seeding.seed_diagnoses(s, c, model.service_categories),
     }
     for step in STEPS[: STEPS.index(upto) + 1]:
-        state = run[step](state, SEED)
+        before = state
+        state = run[step](seeding.replace(before, changes=None), SEED)
+        own = state.changes
+        state = seeding.replace(state, changes=own if before.changes is None else before.changes.unionByName(own))
         if step != STEPS[-1]:
             # later steps read the labels so far several times
             state = seeding.replace(state, labels=model.layers.keep(f"seed_labels_{step}", lambda s=state: s.labels, SEED))
+        if write_tables:
+            changed = {n: model.layers.keep(f"seeded_{step}_{n}", lambda t=t: t, SEED)
+                       for n, t in state.tables.items() if t is not before.tables[n]}
+            state = seeding.replace(state, tables={**state.tables, **changed})
+        yield step, before, state, own
+
+
+def seeded(model, upto="diagnosis"):
+    """State after the given step."""
+    *_, (_, _, state, _) = seeding_steps(model, upto)
     return state
 
 
@@ -145,7 +162,7 @@ SUBQUERIES["s_rep"] = f"""
 SELECT 'INJ' || lpad(CAST(so + 401 AS VARCHAR), 10, '0') AS injection_id, 'PI009' AS rule_id,
   {fresh('LIN', 'line_top', '100 + cloned + coalesce(sum(copies) OVER (ORDER BY so ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1', 18)}
     AS target_record_id, claim_id, billing_provider_id AS provider_id, service_month AS reporting_period,
-  net * copies AS exposure
+  net * copies AS exposure, copies
 FROM (SELECT *, row_number() OVER (ORDER BY d) - 1 AS so FROM (
   SELECT c.*, first_net AS net, 2 - current AS copies, {ranked('pi009_target', 'c.claim_id')} AS d
   FROM s_claims9 c JOIN (
@@ -160,10 +177,10 @@ FROM (SELECT *, row_number() OVER (ORDER BY d) - 1 AS so FROM (
   (SELECT count(*) AS cloned FROM s_clones JOIN op_claim_line l ON l.claim_id = template_claim) n"""
 SUBQUERIES["s_dia"] = f"""
 SELECT 'INJ' || lpad(CAST(so + 451 AS VARCHAR), 10, '0') AS injection_id, 'PI010' AS rule_id, claim_id AS target_record_id,
-  claim_id, billing_provider_id AS provider_id, service_month AS reporting_period, 0 AS exposure
+  claim_id, billing_provider_id AS provider_id, service_month AS reporting_period, 0 AS exposure, origin, category
 FROM (SELECT *, row_number() OVER (ORDER BY d) - 1 AS so FROM (
-  SELECT c.*, {ranked('pi010_target', 'c.claim_id')} AS d
-  FROM s_claims9 c JOIN (SELECT claim_id FROM f_lines LEFT JOIN k_category USING (service_code) GROUP BY claim_id
+  SELECT c.*, s.category, {ranked('pi010_target', 'c.claim_id')} AS d
+  FROM s_claims9 c JOIN (SELECT claim_id, min(mapped) AS category FROM f_lines LEFT JOIN k_category USING (service_code) GROUP BY claim_id
     HAVING count(*) = count(mapped) AND count(DISTINCT mapped) = 1 AND min(mapped) <> 'evaluation_management') s
     ON s.claim_id = c.origin
   WHERE {PAYABLE} AND claim_type IN ('professional', 'inpatient', 'outpatient')
@@ -228,6 +245,69 @@ register(
 )
 
 
+KEYS = {"claim_header": "claim_id", "claim_line": "claim_line_id", "payment_transaction": "payment_transaction_id",
+        "adjudication_event": "adjudication_event_id"}
+
+
+def row_deltas(model):
+    """Rows that each step inserted, deleted or updated in each table, as found between versions and as logged.
+
+    ``unlike_fields`` counts field changes that the log lacks, that never happened, or whose values differ.
+    """
+    parts = []
+    for step, before, after, own in seeding_steps(model, write_tables=True):
+        log = model.layers.keep(f"seed_changes_{step}", lambda c=own: c, SEED)
+        logged = differences.net_changes(log, ["injection_id", "change_sequence_number"])
+        for table, key in KEYS.items():
+            old, new = before.tables[table], after.tables[table]
+            if new is old:
+                continue
+            changed = model.layers.keep(f"seed_rows_{step}_{table}", lambda o=old, n=new, k=key: differences.row_changes(o, n, k), SEED)
+            named = logged.filter(F.col("target_table") == table)
+            sides = [changed.withColumn("found", F.lit(1)),
+                     named.select("record_id", "operation").distinct().withColumn("logged", F.lit(1)),
+                     differences.unlike_fields(differences.field_changes(old, new, key, changed), named).withColumn("unlike", F.abs("surplus"))]
+            counted = quality.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides).groupBy("operation").agg(
+                *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("found", "found_rows"), ("logged", "logged_rows"), ("unlike", "unlike_fields"))])
+            parts.append(counted.select(F.lit(step).alias("step"), F.lit(table).alias("table_name"), "*"))
+    return quality.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+NEVER_FITTING = ", ".join(f"('{category}', '{code}')" for category, code in INCOMPATIBLE_DIAGNOSIS.items())
+
+
+def delta_sql(step, table, operation, rows):
+    return f"SELECT '{step}' AS step, '{table}' AS table_name, '{operation}' AS operation, ({rows}) AS found_rows"
+
+
+DELTAS = " UNION ALL ".join(delta_sql(*part) for part in (
+    ("record", "claim_line", "insert", "SELECT count(*) FROM s_rec WHERE rule_id IN ('PI001', 'PI002')"),
+    ("record", "claim_header", "update", "SELECT count(*) FROM s_rec WHERE rule_id <> 'PI006'"),
+    ("record", "payment_transaction", "update", "SELECT count(*) FROM s_rec WHERE rule_id <> 'PI005' AND exposure <> 0"),
+    ("ledger", "payment_transaction", "insert", "SELECT 2 * count(*) FROM s_led WHERE rule_id = 'PI003'"),
+    ("ledger", "payment_transaction", "update", "SELECT count(*) FROM s_led WHERE rule_id = 'PI004'"),
+    ("outlier", "claim_line", "update", "SELECT count(*) FROM s_out"),
+    ("outlier", "claim_header", "update", "SELECT count(DISTINCT claim_id) FROM s_out"),
+    ("outlier", "payment_transaction", "update", "SELECT count(*) FROM s_out WHERE exposure <> 0"),
+    ("surge", "claim_header", "insert", "SELECT count(*) FROM s_clones"),
+    *(("surge", t, "insert", f"SELECT count(*) FROM s_clones JOIN op_{t} c ON c.claim_id = template_claim{only}")
+      for t, only in (("claim_line", ""), ("adjudication_event", ""), ("payment_transaction", " AND transaction_type = 'payment'"))),
+    ("repeat", "claim_line", "insert", "SELECT coalesce(sum(copies), 0) FROM s_rep"),
+    ("repeat", "claim_header", "update", "SELECT count(DISTINCT claim_id) FROM s_rep"),
+    ("repeat", "payment_transaction", "update", "SELECT count(*) FROM s_rep WHERE exposure <> 0"),
+    # a claim whose diagnosis fits its category as little as the new one may have that very code already
+    ("diagnosis", "claim_header", "update",
+     f"SELECT count(*) FROM s_dia JOIN op_claim_header h ON h.claim_id = origin JOIN (VALUES {NEVER_FITTING}) v(category, code) "
+     "USING (category) WHERE principal_diagnosis_code IS DISTINCT FROM code"),
+))
+register(
+    "k12_row_deltas",
+    row_deltas,
+    "step:text table_name:text operation:text found_rows:long logged_rows:long unlike_fields:long",
+    f"SELECT *, found_rows AS logged_rows, 0 AS unlike_fields FROM ({DELTAS}) d WHERE found_rows > 0",
+)
+
+
 def manifest(model):
     names = ("claim_header", "claim_line", "payment_transaction", "membership_month", "provider")
     parts = [

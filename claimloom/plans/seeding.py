@@ -544,7 +544,8 @@ def seed_surges(state: Seeded, settings: SeedSettings) -> Seeded:
     numbered_changes = number_within(
         every, ["injection_id"], ["_clone", "_table", "target_record_id", "_column"], "_sequence"
     ).withColumn("change_sequence_number", F.col("_sequence").cast("int"))
-    changes = numbered_changes.select(*state.changes.columns)
+    told = [c for c in every.columns if c not in ("injection_id", "_clone", "_table", "_column")]
+    changes = numbered_changes.select("injection_id", "change_sequence_number", *told)
     return state.extended(
         {table: rows.unionByName(added.select("_row.*")) for table, (rows, _, added) in parts.items()},
         label_rows(labelled, F.lit("PI008"), settings),
