@@ -10,6 +10,7 @@ template is rejected when the smoothed share of blocked urls among its labelled
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import written
 
 ALLOW, BLOCK = "allow", "block"
-MAX_DEPTH = 8  # what lies deeper counts as one last segment
 MANY_CHILDREN = 16
 FEW_EACH = 4.0
 NORMAL_QUANTILE = 3.09  # of 0.999
@@ -25,8 +25,9 @@ NORMAL_QUANTILE = 3.09  # of 0.999
 PRIOR_BLOCKED, PRIOR_LABELLED = 1.0, 2.0
 REJECT_AT = 0.8
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# segments hold neither a slash nor, unescaped, a star
 WILDCARD = "*"
-END = "$"
+END = "/"
 
 
 @dataclass(frozen=True)
@@ -68,15 +69,16 @@ def longest_rule(rules: list[Rule]) -> tuple[Column, Column]:
 
 
 def path_shape(path: Column) -> Column:
-    """The path with long hexadecimal segments as ``<x>`` and digits as ``<n>``."""
-    hexed = F.regexp_replace(path, r"(?<=/)(?=[^/.]*[0-9])[0-9a-fA-F\-]{8,}(?=[/.]|$)", "<x>")
+    """The path with long hexadecimal segments as ``<x>`` and digits as ``<n>``; a star, ``<`` or backslash of its own is escaped by a backslash."""
+    escaped = F.regexp_replace(path, r"([\\<*])", r"\\$1")
+    hexed = F.regexp_replace(escaped, r"(?<=/)(?=[^/.]*[0-9])[0-9a-fA-F\-]{8,}(?=[/.]|$)", "<x>")
     hexed = F.when(path.rlike(r"^(/[0-9]+)*/?$"), path).otherwise(hexed)
     return F.regexp_replace(hexed, r"[0-9]+", "<n>")
 
 
 def _segments(shape: Column) -> Column:
-    """Segments after the leading slash; the last one takes everything beyond ``MAX_DEPTH``."""
-    return F.when(shape == "", F.array().cast("array<string>")).otherwise(F.split(F.substr(shape, F.lit(2)), "/", MAX_DEPTH))
+    """Segments after the leading slash."""
+    return F.when(shape == "", F.array().cast("array<string>")).otherwise(F.split(F.substr(shape, F.lit(2)), "/"))
 
 
 def _alike(step: DataFrame) -> DataFrame:
@@ -107,15 +109,42 @@ def _alike(step: DataFrame) -> DataFrame:
     return alike.join(several, ["host", "prefix"], "left_semi")
 
 
+def _settled(grown: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Shapes that no further level can change, with their whole template, and the others.
+
+    A shape without a further segment is done; so are those of a prefix that go on alike, as segments only become
+    wild beside siblings.  ``branch`` of the others is the next level at which their prefix branches.
+    """
+    ahead = F.slice("segments", depth + 1, F.greatest(F.size("segments") - depth, F.lit(0)))
+    shared = grown.groupBy("host", "prefix").agg(F.min(ahead).alias("_least"), F.max(ahead).alias("_greatest"))
+    # what the first and the last in order have in common, all between them have in common
+    same = F.zip_with("_least", "_greatest", lambda a, b: a.eqNullSafe(b))
+    marked = grown.join(shared, ["host", "prefix"]).withColumn("_place", F.array_position(same, F.lit(False)))
+    open_ = (F.size("segments") > depth) & (F.col("_place") > 0)
+    template = _onward(depth, F.size("segments"))
+    done = marked.filter(~open_).select("host", "shape", template.alias("template"), "n", "n_allow", "n_block")
+    return done, marked.filter(open_).withColumn("branch", F.col("_place") - 1 + depth).drop("_place", "_least", "_greatest")
+
+
+def _onward(depth: int, to: Column | int) -> Column:
+    """The prefix with the segments from ``depth`` to ``to`` as they are."""
+    rest = F.slice("segments", depth + 1, F.greatest(F.lit(to) - depth if isinstance(to, int) else to - depth, F.lit(0)))
+    return F.when(F.size(rest) > 0, F.concat("prefix", F.lit("/"), F.array_join(rest, "/"))).otherwise(F.col("prefix"))
+
+
 def template_tree(shapes: DataFrame) -> DataFrame:
-    """``host, shape, template`` and the counts of every shape (``host, shape, n, n_allow, n_block``)."""
+    """``host, shape, template`` and the counts of every shape (``host, shape, n, n_allow, n_block``).
+
+    Levels are added until no two shapes of a host share a prefix and go on, however deep that is; there is a round
+    for each level at which any prefix branches.
+    """
     grown = shapes.withColumn("segments", _segments(F.col("shape"))).withColumn("prefix", F.lit(""))
-    deepest = grown.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(deepest):
+    finished, depth = [], 0
+    while True:
         more = F.size("segments") > depth
         step = grown.filter(more).select(
             "host", "prefix", F.element_at("segments", depth + 1).alias("segment"),
-            F.when(F.size("segments") > depth + 1, F.element_at("segments", depth + 2)).otherwise(END).alias("following") if depth + 1 < deepest else F.lit(END).alias("following"),
+            F.coalesce(F.try_element_at("segments", F.lit(depth + 2)), F.lit(END)).alias("following"),
             "n", "n_allow", "n_block",
         )
         branches = step.groupBy("host", "prefix", "segment").agg(F.sum("n").alias("n"))
@@ -124,12 +153,20 @@ def template_tree(shapes: DataFrame) -> DataFrame:
         )
         wild = branches.join(varying.select("host", "prefix"), ["host", "prefix"], "left_semi").select("host", "prefix", "segment")
         wild = written(wild.union(_alike(step)).distinct().withColumn("wild", F.lit(True)), "wild")
-        keyed = grown.withColumn("segment", F.when(more, F.element_at(F.concat("segments", F.array_repeat(F.lit(""), depth + 1)), depth + 1)))
+        keyed = grown.withColumn("segment", F.try_element_at("segments", F.lit(depth + 1)))
         joined = keyed.join(wild, ["host", "prefix", "segment"], "left")
         name = F.when(F.col("wild"), F.lit(WILDCARD)).otherwise(F.col("segment"))
         prefix = F.when(more, F.concat("prefix", F.lit("/"), name)).otherwise(F.col("prefix"))
+        depth += 1
         grown = written(joined.select("host", "shape", "n", "n_allow", "n_block", "segments", prefix.alias("prefix")), "grown")
-    return grown.select("host", "shape", F.col("prefix").alias("template"), "n", "n_allow", "n_block")
+        done, grown = _settled(grown, depth)
+        finished.append(written(done, "settled"))
+        grown = written(grown, "open")
+        # levels at which no prefix branches are passed over
+        following = grown.agg(F.min("branch")).first()[0]
+        if following is None:
+            return reduce(DataFrame.unionByName, finished)
+        grown, depth = grown.withColumn("prefix", _onward(depth, following)), following
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -47,6 +47,22 @@ def test_rules_and_parts_of_urls(spark):
     assert judged(spark, []) == {}
 
 
+def test_tree_has_no_greatest_depth(spark):
+    base = "http://deep.org/" + "/".join("abcdefghijk")  # eleven segments, then branches
+    urls = [f"{base}/w{chr(97 + i)}{chr(97 + i)}/story" for i in range(20)]
+    urls += ["http://one.org/" + "x/" * 300 + end for end in ("left/a", "right/b/c")]
+    found = judged(spark, urls)
+    assert {found[i]["template"] for i in range(20)} == {"/a/b/c/d/e/f/g/h/i/j/k/*/story"}
+    # two urls are too few to tell branches apart, at level 300 as at level 0
+    assert [found[i]["template"] for i in (20, 21)] == ["/" + "x/" * 300 + "*/*", "/" + "x/" * 300 + "*/*/c"]
+
+
+def test_signs_of_a_path_are_not_those_of_the_tree(spark):
+    paths = spark.createDataFrame([(p,) for p in ("/*/a", "/<n>/a", "/7/a", "/b\\c", "/$")], "path string")
+    shapes = [r[0] for r in paths.select(url_filter.path_shape(paths["path"])).collect()]
+    assert shapes == ["/\\*/a", "/\\<n>/a", "/<n>/a", "/b\\\\c", "/$"]
+
+
 def test_templates_learn_from_rules(spark):
     urls = [f"http://shop.net/es/{i}/x-{i * 7}.html" for i in range(60)]  # blocked by a rule
     urls += [f"http://shop.net/en/{i}/x-{i * 7}.html" for i in range(60)]  # no rule
