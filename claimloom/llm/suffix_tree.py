@@ -2,7 +2,8 @@
 
 The tree's states are contexts of no, one or two words.  A context is kept if its own next-word
 distribution predicts the training text better than its parent's: the leave-one-out log-likelihood ratio
-of the two, summed over all its occurrences, must exceed ``KEEP``.  Next-word distributions are smoothed
+of the two, summed over all its occurrences in whole steps of 1/1024 nat, must exceed ``KEEP``; such sums are the
+same in any order, so no score depends on how texts are dealt to chunks.  Next-word distributions are smoothed
 towards the parent's with one of two weights, whichever does better in that test; the root leaves half a
 count of every known word to unknown ones.  A word is scored in the state of the longest kept suffix of
 its history.
@@ -38,11 +39,13 @@ SPARE_KEY_BITS = 20
 WORD, PAIR, TRIPLE, AFTER_WORD, AFTER_PAIR = range(5)
 LEAST_CONTEXT = 4  # occurrences of a context that is tested
 KEEP = 2.0  # nats
+GAIN_STEPS = 1024  # in one nat
 WEIGHTS = ((1.0, 0.0), (1.0, 1.0))  # weight of the parent: constant, and per occurrence of the context
 MIX_1, MIX_2, MIX_3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 END = b"\n"  # no word holds a line break
 LOCAL_BITS = 33
 BYTE_FULL = 255
+SHORT_FULL = -32768
 
 
 # ---- chunks
@@ -181,6 +184,18 @@ def _unpacked_counts(blob: bytes, size: int) -> np.ndarray:
     return counts
 
 
+def _packed_sums(sums: np.ndarray) -> bytes:
+    """Two bytes each, and eight more for large ones."""
+    large = np.abs(sums) >= -SHORT_FULL
+    return np.where(large, SHORT_FULL, sums).astype("<i2").tobytes() + sums[large].astype("<i8").tobytes()
+
+
+def _unpacked_sums(blob: bytes, size: int) -> np.ndarray:
+    sums = np.frombuffer(blob, dtype="<i2", count=size).astype(np.int64)
+    sums[sums == SHORT_FULL] = np.frombuffer(blob, dtype="<i8", offset=2 * size)
+    return sums
+
+
 @dataclass(frozen=True)
 class Ranges:
     """Key ranges of one exchange: a power of two, by a key's upper bits."""
@@ -220,10 +235,10 @@ def _added_counts(frame: pd.DataFrame) -> pd.DataFrame:
 def _added_gains(frame: pd.DataFrame) -> pd.DataFrame:
     """Which contexts of one range are kept, and with which weight: 0 for none, else the weight's place from 1."""
     keys = list(map(_unpacked_keys, frame["keys"]))
-    gains = np.concatenate([np.frombuffer(blob, dtype=np.float16).reshape(-1, len(WEIGHTS)) for blob in frame["sums"]]).astype(np.float64)
+    gains = np.concatenate([_unpacked_sums(blob, len(k) * len(WEIGHTS)) for blob, k in zip(frame["sums"], keys)]).reshape(-1, len(WEIGHTS))
     _, at = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.stack([np.bincount(at, gains[:, k]) for k in range(len(WEIGHTS))], axis=1)
-    chosen = np.where(totals.max(axis=1) > KEEP, totals.argmax(axis=1) + 1, 0).astype(np.uint8)
+    chosen = np.where(totals.max(axis=1) > KEEP * GAIN_STEPS, totals.argmax(axis=1) + 1, 0).astype(np.uint8)
     ends = np.cumsum(list(map(len, keys)))
     replies = [chosen[at[end - len(k) : end]].tobytes() for k, end in zip(keys, ends)]
     return pd.DataFrame({"kind": frame["kind"], "number": frame["number"], "chunk": frame["chunk"], "sums": replies, "seen": 0})
@@ -300,12 +315,10 @@ class View:
                 continue
             use = chunk.trains[tokens] & (context >= LEAST_CONTEXT)
             place = np.searchsorted(tested, at[use])
-            sums = np.stack([
-                np.bincount(place, np.log(_smoothed(count[use] - 1, context[use] - 1, base[use], w) / base[use]), len(tested)) for w in WEIGHTS
-            ], axis=1)
-            packed = np.clip(sums, -6e4, 6e4).astype(np.float16)
+            steps = (np.rint(GAIN_STEPS * np.log(_smoothed(count[use] - 1, context[use] - 1, base[use], w) / base[use])) for w in WEIGHTS)
+            sums = np.stack([np.bincount(place, step, len(tested)) for step in steps], axis=1).astype(np.int64)
             rows += [
-                (kind, number, chunk.number, _packed_keys(keys[tested][part]), packed[part].tobytes())
+                (kind, number, chunk.number, _packed_keys(keys[tested][part]), _packed_sums(sums[part].ravel()))
                 for number, part in self.ranges.split(kind, keys[tested])
             ]
         return rows

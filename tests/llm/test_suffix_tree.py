@@ -5,6 +5,8 @@ from collections import Counter
 import numpy as np
 
 from claimloom.llm import suffix_tree
+from claimloom.llm.common import held_out
+from tests.conftest import SMALL
 from tests.llm.helpers import awkward, empty, frame, prose
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -41,8 +43,8 @@ def plain_scores(rows):
                 if grams[context] >= suffix_tree.LEAST_CONTEXT:
                     for k, w in enumerate(suffix_tree.WEIGHTS):
                         gain = math.log(mixed(grams[(*context, words[i])] - 1, grams[context] - 1, base, w) / base)
-                        gains.setdefault(context, [0.0, 0.0])[k] += gain
-    kept = {c: int(np.argmax(g)) for c, g in gains.items() if max(g) > suffix_tree.KEEP}
+                        gains.setdefault(context, [0, 0])[k] += round(gain * suffix_tree.GAIN_STEPS)
+    kept = {c: int(np.argmax(g)) for c, g in gains.items() if max(g) > suffix_tree.KEEP * suffix_tree.GAIN_STEPS}
     out = []
     for _, words in texts:
         score = 0.0
@@ -87,6 +89,17 @@ def test_scores_do_not_depend_on_chunks_and_ranges(spark, monkeypatch):
     check(spark, *corpus())
 
 
+def test_given_documents_score_alike_in_chunks_of_any_size(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("held_out", held_out("doc_id", 5, 1))
+    scores = []
+    for tokens, keys in ((2_000_000, 2_000_000), (3_000, 20_000)):
+        monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", tokens)
+        monkeypatch.setattr(suffix_tree, "KEYS_PER_RANGE", keys)
+        scores.append(suffix_tree.score_texts(docs).toPandas().sort_values("doc_id"))
+    assert len(scores[0]) and scores[0]["n_in_context"].tolist() == scores[1]["n_in_context"].tolist()
+    assert np.allclose(scores[0]["score"], scores[1]["score"], rtol=1e-12)
+
+
 def test_probabilities_of_known_and_unknown_words_sum_to_one():
     counts = np.array([5, 1, 3, 1])
     corpus_ = suffix_tree.Corpus(int(counts.sum()), len(counts))
@@ -99,6 +112,8 @@ def test_keys_and_counts_survive_packing():
         assert (suffix_tree._unpacked_keys(suffix_tree._packed_keys(keys)) == keys).all()
     counts = np.array([0, 1, 254, 255, 256, 70_000])
     assert (suffix_tree._unpacked_counts(suffix_tree._packed_counts(counts), len(counts)) == counts).all()
+    sums = np.array([0, -1, 32767, -32767, 32768, -32768, 10**12, -(10**12)])
+    assert (suffix_tree._unpacked_sums(suffix_tree._packed_sums(sums), len(sums)) == sums).all()
 
 
 def test_awkward_empty_and_untrained(spark):
