@@ -184,10 +184,11 @@ def _unpacked_counts(blob: bytes, size: int) -> np.ndarray:
     return counts
 
 
-def _packed_sums(sums: np.ndarray) -> bytes:
-    """Two bytes each, and eight more for large ones."""
+def _packed_sums(sums: np.ndarray, parts: list[slice]) -> list[bytes]:
+    """Whole numbers of each part in two bytes each, and eight more for large ones."""
     large = np.abs(sums) >= -SHORT_FULL
-    return np.where(large, SHORT_FULL, sums).astype("<i2").tobytes() + sums[large].astype("<i8").tobytes()
+    short = np.where(large, SHORT_FULL, sums).astype("<i2")
+    return [short[part].tobytes() + sums[part][large[part]].astype("<i8").tobytes() for part in parts]
 
 
 def _unpacked_sums(blob: bytes, size: int) -> np.ndarray:
@@ -315,11 +316,19 @@ class View:
                 continue
             use = chunk.trains[tokens] & (context >= LEAST_CONTEXT)
             place = np.searchsorted(tested, at[use])
-            steps = (np.rint(GAIN_STEPS * np.log(_smoothed(count[use] - 1, context[use] - 1, base[use], w) / base[use])) for w in WEIGHTS)
-            sums = np.stack([np.bincount(place, step, len(tested)) for step in steps], axis=1).astype(np.int64)
+            n, seen, below = count[use] - 1, context[use] - 1, base[use]
+            sums = np.empty((len(tested), len(WEIGHTS)))
+            for k, weight in enumerate(WEIGHTS):
+                gain = _smoothed(n, seen, below, weight)
+                gain /= below
+                np.log(gain, out=gain)
+                gain *= GAIN_STEPS
+                sums[:, k] = np.bincount(place, np.rint(gain, out=gain), len(tested))
+            wanted = keys[tested]
+            numbers, parts = zip(*self.ranges.split(kind, wanted))
             rows += [
-                (kind, number, chunk.number, _packed_keys(keys[tested][part]), _packed_sums(sums[part].ravel()))
-                for number, part in self.ranges.split(kind, keys[tested])
+                (kind, number, chunk.number, _packed_keys(wanted[part]), packed)
+                for number, part, packed in zip(numbers, parts, _packed_sums(sums, parts))
             ]
         return rows
 
