@@ -3,6 +3,7 @@
 from checks import (  # noqa: F401
     benchmark_queries,
     cost_queries,
+    guard_queries,
     integrity_queries,
     model_queries,
     policy_queries,

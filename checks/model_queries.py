@@ -26,7 +26,7 @@ SPECS = {
     "policy_assignment": "policy_assignment_id:text provider_id:text treatment_group:text "
     "assignment_start_date:date",
     "anomaly_injection": "injection_id:text rule_id:text label_scope:text target_table:text "
-    "target_record_id:text claim_id:text claim_line_id:text reporting_period:date "
+    "target_record_id:text claim_id:text claim_line_id:text payment_transaction_id:text reporting_period:date "
     "expected_financial_exposure:num",
 }
 

@@ -57,7 +57,7 @@ SUBQUERIES["op_provider_contract"] = f"""
 SELECT {provider('s_suppkey')} || '-' || segment AS contract_id, {provider('s_suppkey')} AS provider_id,
   segment AS plan_id, DATE '1995-01-01' AS effective_date, CAST(NULL AS DATE) AS termination_date,
   'fee_schedule' AS reimbursement_method
-FROM supplier, (VALUES ('AUTOMOBILE'),('BUILDING'),('FURNITURE'),('HOUSEHOLD'),('MACHINERY')) v(segment)
+FROM supplier, (SELECT DISTINCT c_mktsegment AS segment FROM customer WHERE c_mktsegment IS NOT NULL) v
 WHERE (s_suppkey + length(segment)) % 7 <> 0"""
 
 SUBQUERIES["op_membership_month"] = f"""
@@ -67,7 +67,9 @@ SELECT {member('c_custkey')} AS member_id, c_mktsegment AS plan_id, coverage_mon
 FROM customer, (
   SELECT CAST(i AS INTEGER) AS month_index,
     CAST(DATE '1995-01-01' + to_months(CAST(i AS INTEGER)) AS DATE) AS coverage_month
-  FROM range(0, 80) r(i)) months
+  FROM (SELECT unnest(range(start, stop)) AS i FROM (
+    SELECT least(0, min(m)) AS start, greatest(79, max(m)) + 1 AS stop
+    FROM (SELECT datediff('month', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS m FROM orders) o) b) r) months
 WHERE (c_custkey + month_index) % 10 <> 0"""
 
 SUBQUERIES["op_policy_assignment"] = f"""
@@ -192,23 +194,23 @@ SELECT {pad('AUD', 'o_orderkey', 12)} AS audit_id, {pad('REV', 'o_orderkey', 12)
 FROM w_orders WHERE o_orderkey % 40 = 0"""
 
 SUBQUERIES["op_anomaly_injection"] = f"""
-SELECT 'INJ-' || rule_id || '-' || target_record_id AS injection_id, *, CAST(NULL AS VARCHAR) AS provider_id,
-  CAST(NULL AS VARCHAR) AS payment_transaction_id
+SELECT 'INJ-' || rule_id || '-' || target_record_id AS injection_id, *, CAST(NULL AS VARCHAR) AS provider_id
 FROM (
   SELECT CASE WHEN {EXACT} THEN 'PI001' ELSE 'PI002' END AS rule_id, 'claim_line' AS label_scope,
     'claim_line' AS target_table, {line('LIN', 'l_orderkey', 'line_number')} AS target_record_id,
     {claim('l_orderkey')} AS claim_id, {line('LIN', 'l_orderkey', 'line_number')} AS claim_line_id,
     CAST(date_trunc('month', service_from_date) AS DATE) AS reporting_period,
-    CAST(allowed_amount - member_liability_amount AS DECIMAL(18,2)) AS expected_financial_exposure
+    CAST(allowed_amount - member_liability_amount AS DECIMAL(18,2)) AS expected_financial_exposure,
+    CAST(NULL AS VARCHAR) AS payment_transaction_id
   FROM w_lines JOIN w_orders ON l_orderkey = o_orderkey WHERE {EXACT} OR {NEAR}
   QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY line_number DESC) = 1
   UNION ALL
   SELECT 'PI005', 'claim', 'claim_header', {claim('o_orderkey')}, {claim('o_orderkey')}, NULL,
-    CAST(date_trunc('month', service_from_date) AS DATE), 10.00
+    CAST(date_trunc('month', service_from_date) AS DATE), 10.00, NULL
   FROM w_orders WHERE o_orderkey % 97 = 13
   UNION ALL
   SELECT 'PI006', 'claim', 'payment_transaction', {claim('o_orderkey')}, {claim('o_orderkey')}, NULL,
-    CAST(date_trunc('month', service_from_date) AS DATE), 5000.00
+    CAST(date_trunc('month', service_from_date) AS DATE), 5000.00, {line('PAY', 'o_orderkey', '1')}
   FROM w_orders WHERE o_orderkey % 89 = 5 AND claim_status <> 'denied'
     AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
 ) labels"""

@@ -103,11 +103,12 @@ LEFT JOIN dim_date d1 ON d1.calendar_date = assignment_start_date
 LEFT JOIN dim_date d2 ON d2.calendar_date = assignment_end_date"""
 SUBQUERIES["bridge_claim_anomaly"] = """
 SELECT row_number() OVER (ORDER BY injection_id) AS anomaly_injection_key, c.claim_key, l.claim_line_key,
-  CAST(NULL AS BIGINT) AS payment_transaction_key, date_key AS reporting_period_date_key, injection_id,
+  payment_transaction_key, date_key AS reporting_period_date_key, injection_id,
   rule_id, label_scope, target_table, target_record_id, provider_id, expected_financial_exposure,
   TRUE AS evaluation_only
 FROM op_anomaly_injection a LEFT JOIN k_claim c ON c.claim_id = a.claim_id
-LEFT JOIN k_line l ON l.claim_line_id = a.claim_line_id LEFT JOIN dim_date ON reporting_period = calendar_date"""
+LEFT JOIN k_line l ON l.claim_line_id = a.claim_line_id
+LEFT JOIN k_payment p ON p.payment_transaction_id = a.payment_transaction_id LEFT JOIN dim_date ON reporting_period = calendar_date"""
 
 SPECS = {
     "i1_dim_member": ("dim_member", "member_key:long member_id:text birth_year:long sex_code:text state_code:text",

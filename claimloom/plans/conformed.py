@@ -32,8 +32,13 @@ class Facts:
     service_categories: DataFrame | None = None
 
 
+def label_tables(names) -> list[str]:
+    """Those of the named tables that hold labels."""
+    return sorted(set(names) & set(LABEL_TABLES))
+
+
 def refuse_labels(names) -> None:
-    found = sorted(set(names) & set(LABEL_TABLES))
+    found = label_tables(names)
     if found:
         raise ContractError(f"label tables may not be read here: {', '.join(found)}")
 

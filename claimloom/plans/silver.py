@@ -10,8 +10,12 @@ from claimloom.errors import ContractError
 from claimloom.functions import typing as t
 
 
+def missing_columns(df: DataFrame, required) -> list[str]:
+    return sorted(set(required) - set(df.columns))
+
+
 def require_columns(df: DataFrame, required) -> None:
-    missing = sorted(set(required) - set(df.columns))
+    missing = missing_columns(df, required)
     if missing:
         raise ContractError(f"missing source columns: {', '.join(missing)}")
 

@@ -29,9 +29,6 @@ POLICY_END = "2000-06-30"
 # seed recorded with planted labels
 LABEL_SEED = 42
 
-# the warehouse's fixed customer segments
-MARKET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
 # part types stand for procedure categories
 PART_TYPE_CATEGORY = {
     "ECONOMY": "evaluation_management",
@@ -209,8 +206,9 @@ class WarehouseModel:
     @cached_property
     def provider_contract(self) -> DataFrame:
         key = F.col("s_suppkey")
-        segments = F.explode(F.array(*[F.lit(name) for name in MARKET_SEGMENTS]))
-        offered = self.read("supplier").select("s_suppkey", segments.alias("c_mktsegment"))
+        # one row with the names of all plans, a small dimension
+        plans = self.read("customer").agg(F.collect_set("c_mktsegment").alias("_plans"))
+        offered = self.read("supplier").crossJoin(plans).select("s_suppkey", F.explode("_plans").alias("c_mktsegment"))
         return offered.filter((key + F.length("c_mktsegment")) % 7 != 0).select(
             F.concat_ws("-", provider_id(key), F.col("c_mktsegment")).alias("contract_id"),
             provider_id(key).alias("provider_id"),
@@ -227,13 +225,18 @@ class WarehouseModel:
     @cached_property
     def _membership_month(self) -> DataFrame:
         key, month = F.col("c_custkey"), F.col("coverage_month")
-        index = F.col("month_index")
-        spine = F.expr(
-            f"sequence(date'{REPORTING_START}', trunc(date'{REPORTING_END}', 'MM'), interval 1 month)"
+        start, index = F.lit(REPORTING_START).cast("date"), F.col("month_index")
+        claimed = F.trunc(F.col("o_orderdate").cast("date"), "MM")
+        # one row: the reported months, and beyond them those of earlier and later claims
+        months = self.read("orders").agg(
+            F.least(start, F.min(claimed)).alias("_first"),
+            F.greatest(F.trunc(F.lit(REPORTING_END).cast("date"), "MM"), F.max(claimed)).alias("_last"),
         )
         return (
             self.read("customer")
-            .select("c_custkey", "c_mktsegment", F.posexplode(spine).alias("month_index", "coverage_month"))
+            .crossJoin(months)
+            .select("c_custkey", "c_mktsegment", F.explode(F.expr("sequence(_first, _last, interval 1 month)")).alias("coverage_month"))
+            .withColumn("month_index", F.months_between(month, start).cast("int"))
             .filter((key + index) % 10 != 0)
             .select(
                 member_id(key).alias("member_id"),
@@ -543,6 +546,7 @@ class WarehouseModel:
             line_id("LIN", order_key, F.col("_last.line_number")).alias("target_record_id"),
             claim_id(order_key).alias("claim_id"),
             line_id("LIN", order_key, F.col("_last.line_number")).alias("claim_line_id"),
+            F.lit(None).cast("string").alias("payment_transaction_id"),
             F.lit("row_insertion").alias("injection_method"),
             F.trunc("_last.service_from_date", "MM").alias("reporting_period"),
             (F.col("_last.allowed_amount") - F.col("_last.member_liability_amount"))
@@ -558,6 +562,8 @@ class WarehouseModel:
                 claim_id(claim_key).alias("target_record_id"),
                 claim_id(claim_key).alias("claim_id"),
                 F.lit(None).cast("string").alias("claim_line_id"),
+                # the amount too much is paid with the first line
+                (line_id("PAY", claim_key, F.lit(1)) if rule == "PI006" else F.lit(None).cast("string")).alias("payment_transaction_id"),
                 F.lit(method).alias("injection_method"),
                 F.trunc("service_from_date", "MM").alias("reporting_period"),
                 F.lit(amount).cast(MONEY).alias("expected_financial_exposure"),
@@ -578,7 +584,7 @@ class WarehouseModel:
                 "target_record_id",
                 "claim_id",
                 "claim_line_id",
-                F.lit(None).cast("string").alias("payment_transaction_id"),
+                "payment_transaction_id",
                 F.lit(None).cast("string").alias("provider_id"),
                 "reporting_period",
                 "injection_method",

@@ -15,6 +15,7 @@ SAMPLE = (
     "h18_reference_integrity", "l1_provider_month_panel", "e22_band_cut_points", "e21_inpatient_contract_benchmark", "e22_all_band_cut_points", "e22_band_comparison", "g2_line_numbers_hot_path",
     "k1_seed_exact_duplicates",
     "e2_monthly_cost_utilization_over_star", "r13_label_matches_over_star",
+    "b22_required_columns", "h16_schema_drift", "h35_check_set", "c4_label_isolation", "g8_schema_hashes", "i10_bridge_claim_anomaly",
 )
 
 

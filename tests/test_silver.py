@@ -78,6 +78,7 @@ def test_schema_drift_is_refused(spark):
         silver.typed_silver(inpatient(spark).withColumn("Extra", F.lit("1")), INPATIENT)
     assert silver_quality.schema_drift(inpatient(spark), INPATIENT, 15) == []
     assert silver_quality.schema_drift(inpatient(spark), INPATIENT, 16)
+    assert silver.missing_columns(inpatient(spark).drop("DRG_Cd"), [*INPATIENT.dimensions]) == ["DRG_Cd"]
 
 
 def test_outpatient_suppression_by_nulls(spark):
