@@ -99,3 +99,46 @@ def test_ranks_of_skewed_values_in_any_number_of_bins(spark, monkeypatch, bins):
 def test_percentiles_of_empty_table(spark):
     empty = spark.createDataFrame([], "g string, v double")
     assert percentiles.exact_percentiles(empty, ["g"], "v", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("most", [300, 3_000])
+def test_crowded_keys_are_numbered_over_many_tasks(spark, monkeypatch, most):
+    rows = [(None if i % 5 == 1 else 0 if i % 3 == 0 else i % 900 + 1, i) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "g long, v long").repartition(5)
+    monkeypatch.setattr(keys, "CROWDED", most)
+    found = keys.number_within(df, ["g"], ["v"], "n")
+    assert found.columns == ["g", "v", "n"]
+    assert sorted(map(tuple, found.collect()), key=str) == plain_numbers(rows)
+
+
+def test_ordinary_keys_are_numbered_without_a_written_copy(spark, monkeypatch):
+    monkeypatch.setattr(keys, "dense_positions", lambda *_: pytest.fail("the table was sorted as a whole and written"))
+    df = spark.range(100).selectExpr("id % 7 AS g", "id AS v")
+    assert keys.number_within(df, ["g"], ["v"], "n").agg(F.max("n")).first()[0] == 15
+
+
+def test_written_tables_are_sized_by_their_rows(spark):
+    from claimloom.session import written
+
+    many = written(spark.range(1_500_000).select(F.concat(F.lit("CLM"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("k"), F.lit(1).alias("one")))
+    few = spark.range(4_000_000).select(F.concat(F.lit("CLM"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("k"))
+    plan = few.join(many, "k")._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_ranks_are_found_without_rounds(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "BINS", 16)
+    calls = []
+    kept = percentiles.written
+    monkeypatch.setattr(percentiles, "written", lambda df: calls.append(1) or kept(df))
+    counts = spark.range(1, 1_200).selectExpr("id % 3 AS key", "pow(1.2, id) AS value", "1L AS n")
+    found = percentiles.values_at_ranks(counts, spark.range(3).selectExpr("id AS key", "200L AS rank")).collect()
+    assert {r["key"]: r["value"] for r in found} == {g: pytest.approx(1.2 ** ((g or 3) + 600)) for g in range(3)}
+    assert len(calls) == 2
+
+
+def test_members_are_dealt_to_all_tasks_before_their_months(spark):
+    from claimloom.sources.warehouse_model import WarehouseModel
+    from tests.conftest import SMALL
+
+    assert WarehouseModel(spark, SMALL)._membership_month.rdd.getNumPartitions() == 8
