@@ -158,3 +158,24 @@ def test_constant_history_has_no_scale(spark):
                                   "paid_pmpm decimal(18,4), claims_per_1000 decimal(18,4), units_per_1000 decimal(18,4)")
     last = cost.early_warning_signals(table).filter("service_month = '2025-07-01'").first()
     assert last["robust_z_score"] is None and last["signal_status"] == "normal"
+
+
+def test_rows_without_a_reference_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.range(4000).selectExpr("concat('C', id) AS claim_id", "IF(id % 4 = 0, concat('C', id + 1), NULL) AS prior")
+    keys = spark.range(3000).selectExpr("concat('C', id) AS claim_id", "id AS claim_key")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = Star({}, date(2000, 1, 1))._look_up(frame, keys, "claim_id", "prior", "prior_key", False)
+        assert found.columns == ["claim_id", "prior", "prior_key"]
+        assert {r["claim_id"]: r["prior_key"] for r in found.collect()} == {
+            f"C{i}": i + 1 if i % 4 == 0 and i < 2999 else None for i in range(4000)}
+        most = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < 1000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
