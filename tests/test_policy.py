@@ -113,3 +113,14 @@ def test_panel_is_balanced(model):
 def test_a_model_without_observations_is_refused(panel):
     with pytest.raises(ContractError, match="no observations for late"):
         policy.fit_models(panel, [policy.Model("late", 1, ((9,),), (8, 9))])
+
+
+def test_providers_are_dealt_to_all_tasks(spark, panel):
+    rows = policy.provider_rows(panel)
+    assert rows.select(F.spark_partition_id()).distinct().count() > 4
+
+
+def test_each_pair_of_cells_is_summed_once(panel):
+    cells = policy._model_cells(policy.provider_rows(panel), [policy.Model("m", 1, ((0, 1, 2),), tuple(MONTHS))], None)
+    pairs = policy._moment_sums(cells, scores=False).filter("kind = 'gram'")
+    assert pairs.filter("a > b").isEmpty() and pairs.filter("a = b").count() == 2 * len(MONTHS)
