@@ -178,3 +178,50 @@ def test_cap_keeps_the_strongest_and_numbers_in_order(spark):
     got = [(r["finding_id"], r["target_record_id"]) for r in rules.findings_table(selected).orderBy("finding_id").collect()]
     assert got == [("FND0000000001", "CLM4"), ("FND0000000002", "CLM5")]
     assert {r["comparison_operator"] for r in rules.evidence_table(selected).collect()} == {">"}
+
+
+def test_only_claims_that_may_repeat_their_first_line_are_compared(spark):
+    lines = [line(1, 1), line(2, 1, 2, code="x"), line(3, 1, 3)]                   # the first line again
+    lines += [line(4, 2, code="a"), line(5, 2, 2, code="b"), line(6, 2, 3, code="b")]  # others repeat, the first doesn't
+    lines += [line(7, 3, pos="11"), line(8, 3, pos="11")]                          # two first lines
+    lines += [line(100 + i, 10 + i) for i in range(40)]                            # single lines
+    kept = rules.with_repeated_first_lines(facts(spark, lines=lines)).lines
+    found = {r["claim_id"] for r in kept.select("claim_id").distinct().collect()}
+    assert {"CLM1", "CLM3"} <= found and found <= {"CLM1", "CLM2", "CLM3"}
+    assert kept.filter("claim_id = 'CLM1'").count() == 3
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_duplicates_equal_a_plain_loop(spark, seed):
+    """Claims of every shape: no first line, several of a number, null numbers and signatures."""
+    random.seed(seed)
+    lines, exact, near = [], set(), set()
+    for number in range(120):
+        own = [line(100 * number + i, number, random.choice([1, 1, 2, 3, 4, None]), code=random.choice("ab"), pos=random.choice([None, "11"]),
+                    units=random.choice(["1.0000", "1.2500", "1.5000"])) for i in range(random.randint(1, 5))]
+        lines += own
+        last = max((r[2] for r in own if r[2] is not None), default=None)
+        groups = {}
+        for r in own:
+            groups.setdefault((r[5], r[7]), []).append(r)
+        for group in groups.values():
+            if min((r[2] for r in group if r[2] is not None), default=0) == 1:
+                units = {r[8] for r in group}
+                near |= {r[0] for r in group if r[2] == last and r[8] % 1 != 0
+                         and units & {r[8] - D("0.25"), r[8] + D("0.25")}}
+            for value in {r[8] for r in group}:
+                same = [r[2] for r in group if r[8] == value]
+                known = [n for n in same if n is not None]
+                if len(same) == 2 and known and min(known) == 1 and max(known) == last:
+                    exact |= {r[0] for r in own if r[2] == last}
+    given = facts(spark, lines=lines)
+    assert exact and near
+    assert set(targets(rules.exact_duplicates(given))) == exact
+    assert targets(rules.near_duplicates(given)) == sorted(near)
+
+
+def test_amounts_below_zero_are_compared_too(spark):
+    pool = [D(v) for v in ("-30.00", "-20.00", "-20.00", "-1.00", "0.00", "0.00", "0.01", "0.02", "0.02", "5.00", "6.00", "9.00", "9.00", "40.00")]
+    lines = [line(i, 1, i, allowed=str(v)) for i, v in enumerate(pool, start=1)]
+    got = targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings("run", 1)))
+    assert got == loop_unusual([(f"LIN{i:012d}", v) for i, v in enumerate(pool, start=1)])
