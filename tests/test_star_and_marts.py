@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from claimloom.errors import ContractError
 from claimloom.plans import conformed, cost, integrity
 from claimloom.plans.star import Star
 
@@ -77,6 +78,23 @@ def test_star_resolves_keys_versions_and_ledger(spark):
     assert facts.claims.count() == 2 and facts.lines.first()["service_date"] == DAY
 
 
+def test_star_facts_build_only_what_is_asked_for(spark):
+    built = []
+    star = Star(source(spark), date(2026, 1, 1))
+    unlabelled = star.lazy_tables([name for name in star.TABLES if name != "bridge_claim_anomaly"])
+    facts = conformed.StarFacts(unlabelled, keep=lambda name, build: (built.append(name), build())[1])
+    assert cost.monthly_payment_cash_flow(facts).count() == 1
+    assert sorted(built) == ["claims", "payments"]
+    assert not {"fact_claim_line", "fact_membership_month", "fact_claim_review"} & set(vars(star))
+    other = conformed.replace(facts, lines=facts.payments)
+    assert other.lines is facts.payments and "lines" not in built and "memberships" not in built
+    whole = conformed.from_star({n: t for n, t in star.tables().items() if n != "bridge_claim_anomaly"})
+    for name in ("claims", "lines", "payments", "memberships", "reviews", "assignments"):
+        assert sorted(map(str, getattr(facts, name).collect())) == sorted(map(str, getattr(whole, name).collect()))
+    with pytest.raises(ContractError):
+        conformed.StarFacts(star.lazy_tables(star.TABLES))
+
+
 def test_unresolved_required_key_fails(spark):
     with pytest.raises(Exception, match="unresolved billing_provider_id: NOBODY"):
         Star(source(spark, billing="NOBODY"), date(2026, 1, 1)).fact_claim.collect()
