@@ -95,6 +95,23 @@ def test_star_facts_build_only_what_is_asked_for(spark):
         conformed.StarFacts(star.lazy_tables(star.TABLES))
 
 
+def test_coverage_on_service_counts_months_years_and_nulls(spark):
+    header = "member_id string, plan_id string, billing_provider_id string, service_from_date date"
+    claims = [("M1", "P", "X", date(2025, 12, 31)), ("M1", "P", "X", date(2026, 1, 1)), ("M1", "P", "X", date(2026, 12, 1)),
+              ("M1", "Q", "X", date(2026, 1, 5)), ("M2", "P", None, date(2026, 1, 5)), (None, "P", "X", date(2026, 1, 5)),
+              ("M1", None, "X", date(2026, 1, 5)), ("M1", "P", "X", None), ("M3", "P", "X", date(2026, 2, 3))]
+    months = [("M1", "P", date(2025, 12, 1)), ("M1", "P", date(2026, 1, 1)), ("M1", "P", date(2026, 1, 1)), (None, "P", date(2026, 1, 1)),
+              ("M2", "P", None), ("M3", "P", date(2026, 2, 2))]
+    make = spark.createDataFrame
+    found = integrity.eligibility_checks({
+        "claim_header": make(claims, header), "membership_month": make(months, "member_id string, plan_id string, coverage_month date"),
+        "provider_contract": make([("X", "P")], "provider_id string, plan_id string")})
+    # 2026-12, plan Q, M2 and M3 (covered from a day that begins no month); Q has no contract either
+    assert {r["check_name"]: r["violations"] for r in found.collect()} == {"service_without_coverage": 4, "service_without_contract": 1}
+    shuffled = found._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in shuffled
+
+
 def test_unresolved_required_key_fails(spark):
     with pytest.raises(Exception, match="unresolved billing_provider_id: NOBODY"):
         Star(source(spark, billing="NOBODY"), date(2026, 1, 1)).fact_claim.collect()
