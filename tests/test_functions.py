@@ -1,4 +1,5 @@
 import hashlib
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -70,3 +71,26 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert mark(rows) != mark(rows[:2])
     assert mark(rows) != mark([(1, "a"), (2, None), (3, None)])
     assert mark([(None, "1")]) != mark([(1, None)])
+
+
+def test_json_of_ordinary_and_awkward_values(spark):
+    texts = ["plain", "", None, 'a"b', "a\\b", "tab\t", "line\n", "é", "\x7f", "{}", "end\n"]
+    rows = [(t, i, None if i % 3 == 0 else Decimal(i - 4) / 100, date(2000, 1, 1 + i), i % 2 == 0) for i, t in enumerate(texts)]
+    rows.append(("x", -5, Decimal("0.00"), None, None))
+    df = spark.createDataFrame(rows, "s string, i int, m decimal(18,2), d date, b boolean").withColumns(
+        {"far": F.expr("date_add(d, 3000000)"), "r": F.col("i") / 3, "tiny": F.col("m").cast("decimal(18,8)")})
+    for name, kind in df.dtypes:
+        plain = F.coalesce(F.to_json(F.struct(F.col(name).alias("v"))), F.lit("{}"))
+        assert df.filter(~hashing.json_of(name, kind).eqNullSafe(plain)).count() == 0, name
+    plan = spark.range(1).select(hashing.json_of("id", "bigint"))._jdf.queryExecution().analyzed().toString()
+    assert "to_json" not in plan
+
+
+def test_fingerprint_of_known_rows(spark):
+    rows = [(1, "a"), (2, None), (2, None)]
+    digests = [hashlib.sha256(text.encode()).hexdigest() for text in ('{"v":1},{"v":"a"}', '{"v":2},{}', '{"v":2},{}')]
+    words = [str(sum(int(d[s : s + 15], 16) for d in digests)) for s in (0, 15, 30, 45)]
+    expected = hashlib.sha256(":".join(["3", *words]).encode()).hexdigest()
+    assert hashing.content_fingerprint(spark.createDataFrame(rows, "i int, s string")).first()["content_sha256"] == expected
+    nothing = hashing.content_fingerprint(spark.createDataFrame([], "i int, s string")).first()
+    assert nothing["content_sha256"] == hashlib.sha256(b"0:0:0:0:0").hexdigest()
