@@ -10,7 +10,8 @@ A phrase of 1 to 4 words is frequent if it occurs at least ``LEAST`` times in te
    more pass counts these, and whatever they let in turn, together with all phrases found frequent.  A phrase
    can only be frequent if its parts are, and every part is either known or counted here, so nothing is left open.
 
-The full pass adds up hashes of ``HASH_BITS`` bits; the closing pass counts by the words themselves, so results are exact:
+The full pass adds up hashes of ``HASH_BITS`` bits: a task sends sorted blocks of them, one for each of ``1 << RANGE_BITS``
+ranges of hashes, and each range is summed by itself; a larger corpus wants more ranges.  The closing pass counts by the words themselves, so results are exact:
 phrases that share a hash are only looked at for nothing.  What tasks know of earlier passes is one bitmap for each
 phrase length, ``FILTER_BITS`` bits at any size of corpus; a phrase let in by an equal bit can't change results
 either, so a larger corpus only wants a larger bitmap.  Tasks count portions of about ``WORDS_AT_ONCE`` words (a
@@ -40,6 +41,10 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 # of a hash that is summed; fewer make rows smaller, more let fewer phrases in for nothing
 HASH_BITS = 40
+RANGE_BITS = 11
+# of a hash that blocks hold as they are; the rest are differences
+LOW_BITS = 16
+HASHES_AT_ONCE = 1_500_000
 FILTER_BITS = 1 << 24
 BLOCK_BITS = 1 << 14
 WORDS_AT_ONCE = 250_000
@@ -167,17 +172,68 @@ def _portions(batch: pa.RecordBatch, most: int, most_bytes: int) -> Iterator[tup
                 yield lang, tokens
 
 
-def _hash_counts(texts: DataFrame, let_in: Bitmaps, longest: int) -> DataFrame:
-    """``h, f``: sums of phrases by hash."""
+def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order with the sums of their counts."""
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    return hashes[starts], np.add.reduceat(counts[order], starts)
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Bytes of each value by row; all first bytes, then all second ones, leave long runs of zeros."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)
+
+
+def _blocks(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """``range, block``: distinct hashes in order and their counts, below 2^32, cut into blocks of one range each."""
+    ranges = (hashes >> np.uint64(HASH_BITS - RANGE_BITS)).astype(np.int64)
+    starts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]])
+    high = (hashes >> np.uint64(LOW_BITS)).astype(np.int64)
+    steps = np.diff(high, prepend=0)
+    steps[starts] = high[starts] - (ranges[starts] << (HASH_BITS - RANGE_BITS - LOW_BITS))
+    low, steps, counts = (hashes & np.uint64((1 << LOW_BITS) - 1)).astype("<u2"), _planes(steps), _planes(counts)
+    blocks = [
+        low[i:j].tobytes() + steps[i:j].T.tobytes() + counts[i:j].T.tobytes()
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(hashes)], strict=True)
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(ranges[starts].astype(np.int32)), pa.array(blocks, pa.binary())], names=["range", "block"])
+
+
+def _unpacked(number: int, block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of a block of range ``number``."""
+    size = len(block) // 10
+    whole = np.frombuffer(block, np.uint8)
+    values = lambda begin: np.ascontiguousarray(whole[begin : begin + 4 * size].reshape(4, size).T).view("<u4").ravel()
+    high = (number << (HASH_BITS - RANGE_BITS - LOW_BITS)) + np.cumsum(values(2 * size).astype(np.int64))
+    return high << LOW_BITS | whole[: 2 * size].view("<u2"), values(6 * size).astype(np.int64)
+
+
+def _hash_counts(texts: DataFrame, let_in: Bitmaps, longest: int, least: int) -> DataFrame:
+    """``h, f``: sums of phrases by hash, of ``least`` or more."""
     shared = texts.sparkSession.sparkContext.broadcast(let_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
         for batch in batches:
             for lang, tokens in _portions(batch, WORDS_AT_ONCE, TEXT_BYTES_AT_ONCE):
-                for hashes, counts in _summed(Portion(tokens, lang), shared.value, longest):
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "f"])
+                for part in _summed(Portion(tokens, lang), shared.value, longest):
+                    waiting.append(part)
+                    size += len(part[0])
+                if size >= HASHES_AT_ONCE:
+                    yield _blocks(*_added(*map(np.concatenate, zip(*waiting, strict=True))))
+                    waiting, size = [], 0
+        if size:
+            yield _blocks(*_added(*map(np.concatenate, zip(*waiting, strict=True))))
+
+    def summed(blocks: pa.Table) -> pa.Table:
+        parts = [_unpacked(n, block) for n, block in zip(blocks["range"].to_pylist(), blocks["block"].to_pylist(), strict=True)]
+        hashes, counts = _added(*map(np.concatenate, zip(*parts, strict=True)))
+        enough = counts >= least
+        return pa.table({"h": pa.array(hashes[enough]), "f": pa.array(counts[enough])})
 
-    return texts.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(run, "range int, block binary").groupBy("range").applyInArrow(summed, "h long, f long")
 
 
 def _phrase_counts(texts: DataFrame, let_in: Bitmaps, frequent: Bitmaps) -> DataFrame:
@@ -222,8 +278,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE,
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     drawn = texts.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0)
     everything = (b"\xff",) * (SAMPLE_LONGEST - 1)
-    proposed = _bitmaps(_hash_counts(drawn, everything, SAMPLE_LONGEST).filter(F.col("f") >= sample_least), SAMPLE_LONGEST)
-    frequent = _bitmaps(_hash_counts(texts, proposed, LONGEST).filter(F.col("f") >= least), LONGEST)
+    proposed = _bitmaps(_hash_counts(drawn, everything, SAMPLE_LONGEST, sample_least), SAMPLE_LONGEST)
+    frequent = _bitmaps(_hash_counts(texts, proposed, LONGEST, least), LONGEST)
     return written(_phrase_counts(texts, proposed, frequent).filter((F.col("k") == 0) | (F.col("f") >= least)), "phrases")
 
 

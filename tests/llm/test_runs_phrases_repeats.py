@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimloom.llm import periodic_runs, phrases, queries, repeated_bytes
@@ -111,6 +112,32 @@ def test_frequent_phrases_are_exact_whatever_the_sample(spark, monkeypatch, leas
     assert {key: n for key, n in found.items() if n} == {key: n for key, n in wanted.items() if n and (n >= least or key[1] == 0)}
 
 
+def test_blocks_of_hashes_are_small_and_come_back():
+    draw = np.random.default_rng(1)
+    ends = np.array([0, (1 << phrases.HASH_BITS) - 1], np.uint64)
+    for size, most in ((0, 20), (500_000, 5)):
+        hashes = np.unique(np.r_[draw.integers(0, 1 << phrases.HASH_BITS, size, dtype=np.uint64), ends])
+        counts = draw.integers(1, 4, len(hashes))
+        counts[0] = (1 << 32) - 1
+        blocks = phrases._blocks(hashes, counts).to_pydict()
+        assert len(set(blocks["range"])) == len(blocks["range"])
+        parts = [phrases._unpacked(n, block) for n, block in zip(blocks["range"], blocks["block"], strict=True)]
+        assert np.array_equal(np.concatenate([h for h, _ in parts]), hashes.astype(np.int64))
+        assert np.array_equal(np.concatenate([f for _, f in parts]), counts)
+        # a row of hash and sum took about 9 bytes of a shuffle
+        assert len(pa.compress(b"".join(blocks["block"]), codec="lz4_raw", asbytes=True)) < most * len(hashes)
+
+
+def test_sums_do_not_depend_on_portions(spark, monkeypatch):
+    texts = [prose(n, 40) for n in range(30)]
+    found = []
+    for most in (1, 50, 10**6):
+        monkeypatch.setattr(phrases, "HASHES_AT_ONCE", most)
+        monkeypatch.setattr(phrases, "WORDS_AT_ONCE", 100)
+        found.append(sorted(map(tuple, phrases._hash_counts(frame(spark, texts).select("lang", "text"), (b"\xff",) * 3, 4, 2).collect())))
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_collocations_by_hand(spark):
     rows = [("en", 0, "", 10_000)] + [("en", 1, w, f) for w, f in (("a", 100), ("b", 60), ("c", 50), ("d", 40))]
     rows += [("en", 2, "a b", 50), ("en", 2, "b c", 45), ("en", 2, "c d", 30), ("en", 3, "a b c", 41), ("en", 3, "b c d", 30)]
