@@ -82,7 +82,7 @@ def encode_chunks(docs: DataFrame) -> DataFrame:
             for doc, out, text in zip(*(column.to_pylist() for column in batch.columns)):
                 split = (text or "").encode("utf-8", "surrogatepass").translate(TO_LOWER).split()
                 split.append(END)
-                parts.append(np.fromiter((seen.setdefault(w, len(seen)) for w in split), dtype=np.int64, count=len(split)))
+                parts.append(np.fromiter((seen.setdefault(w, len(seen)) for w in split), dtype=np.int32, count=len(split)))
                 ids.append(doc)
                 held.append(out)
                 lengths.append(len(split))
@@ -111,22 +111,30 @@ class Chunk:
     def __init__(self, row, key_bits: int):
         self.number = int(row["chunk"])
         self.words = np.frombuffer(row["words"], dtype=np.uint64)
-        self.at = np.frombuffer(row["places"], dtype=np.uint32).astype(np.int64)
+        # places are kept in 32 bits, as a worker's memory is some ten numbers a token
+        self.at = np.frombuffer(row["places"], dtype=np.uint32).view(np.int32)
         self.lengths = np.frombuffer(row["lengths"], dtype=np.int64)
         self.held = np.frombuffer(row["held"], dtype=bool)
         self.trains = np.repeat(~self.held, self.lengths)
         shift = np.uint64(64 - key_bits)
-        place = np.arange(len(self.at)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        starts = np.cumsum(self.lengths) - self.lengths
+        first, second = np.zeros(len(self.at), dtype=bool), np.zeros(len(self.at), dtype=bool)
+        first[starts] = True
+        second[starts[self.lengths > 1] + 1] = True
+        self.has_one = np.flatnonzero(~first).astype(np.int32)
+        self.has_two = np.flatnonzero(~(first | second)).astype(np.int32)
         hashes = self.words[self.at]
-        self.has_one, self.has_two = np.flatnonzero(place >= 1), np.flatnonzero(place >= 2)
-        pair = _mixed(hashes[self.has_one - 1], hashes[self.has_one])
-        self.pairs, self.pair_at = np.unique(pair >> shift, return_inverse=True)
-        whole = np.zeros(len(self.at), dtype=np.uint64)
-        whole[self.has_one] = pair
-        triple = _mixed(whole[self.has_two - 1], hashes[self.has_two])
-        self.triples, self.triple_at = np.unique(triple >> shift, return_inverse=True)
+        pair = np.zeros(len(self.at), dtype=np.uint64)
+        pair[self.has_one] = _mixed(hashes[self.has_one - 1], hashes[self.has_one])
+        triple = _mixed(pair[self.has_two - 1], hashes[self.has_two])
+        del hashes
+        triple >>= shift
+        self.triples, self.triple_at = _distinct(triple)
+        del triple
+        pair >>= shift
+        self.pairs, self.pair_at = _distinct(pair[self.has_one])
         # place of the pair that ends at each token
-        self.pair_of = np.full(len(self.at), -1, dtype=np.int64)
+        self.pair_of = np.full(len(self.at), -1, dtype=np.int32)
         self.pair_of[self.has_one] = self.pair_at
 
     def keys(self) -> dict[int, np.ndarray]:
@@ -146,10 +154,30 @@ class Chunk:
 
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """One 64-bit hash of two, in order."""
-    x = (left * MIX_1) ^ (right + MIX_3) * MIX_2
-    x ^= x >> np.uint64(29)
+    x, y = left * MIX_1, right + MIX_3
+    y *= MIX_2
+    x ^= y
+    np.right_shift(x, np.uint64(29), out=y)
+    x ^= y
     x *= MIX_1
-    return x ^ (x >> np.uint64(32))
+    np.right_shift(x, np.uint64(32), out=y)
+    x ^= y
+    return x
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the place of each key among them: ``np.unique`` in about half the memory."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    distinct = ordered[new]
+    del ordered
+    places = np.cumsum(new, dtype=np.int32)
+    places -= 1
+    at = np.empty(len(keys), dtype=np.int32)
+    at[order] = places
+    return distinct, at
 
 
 # ---- exchange of keyed sums
@@ -224,7 +252,7 @@ def _added_counts(frame: pd.DataFrame) -> pd.DataFrame:
     """Totals of one range for every chunk that asked, and once the number of distinct training keys."""
     keys = list(map(_unpacked_keys, frame["keys"]))
     counts = np.concatenate(list(starmap(_unpacked_counts, zip(frame["sums"], map(len, keys)))))
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    _, at = _distinct(np.concatenate(keys))
     totals = np.bincount(at, counts).astype(np.int64)
     ends = np.cumsum(list(map(len, keys)))
     replies = [_packed_counts(totals[at[end - len(k) : end]]) for k, end in zip(keys, ends)]
@@ -237,7 +265,7 @@ def _added_gains(frame: pd.DataFrame) -> pd.DataFrame:
     """Which contexts of one range are kept, and with which weight: 0 for none, else the weight's place from 1."""
     keys = list(map(_unpacked_keys, frame["keys"]))
     gains = np.concatenate([_unpacked_sums(blob, len(k) * len(WEIGHTS)) for blob, k in zip(frame["sums"], keys)]).reshape(-1, len(WEIGHTS))
-    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    _, at = _distinct(np.concatenate(keys))
     totals = np.stack([np.bincount(at, gains[:, k]) for k in range(len(WEIGHTS))], axis=1)
     chosen = np.where(totals.max(axis=1) > KEEP * GAIN_STEPS, totals.argmax(axis=1) + 1, 0).astype(np.uint8)
     ends = np.cumsum(list(map(len, keys)))
@@ -286,14 +314,31 @@ class View:
     def __init__(self, chunk: Chunk, replies: pd.DataFrame, corpus: Corpus, ranges: Ranges):
         self.chunk, self.corpus, self.ranges = chunk, corpus, ranges
         self.replies = {kind: group.sort_values("number")["sums"].tolist() for kind, group in replies.groupby("kind")}
-        words, pairs, triples = (self._totals(kind, keys) for kind, keys in chunk.keys().items())
-        self.word_n = words[chunk.at]
-        self.pair_n, self.triple_n = pairs[chunk.pair_at], triples[chunk.triple_at]
-        # contexts of the tokens that have one and two words before them
-        self.one_at, self.two_at = chunk.at[chunk.has_one - 1], chunk.pair_of[chunk.has_two - 1]
-        self.one_n, self.two_n = words[self.one_at], pairs[self.two_at]
-        self.one_tested = np.unique(self.one_at[self.one_n >= LEAST_CONTEXT])
-        self.two_tested = np.unique(self.two_at[self.two_n >= LEAST_CONTEXT])
+        self.words, self.pairs, self.triples = (self._totals(kind, keys) for kind, keys in chunk.keys().items())
+        # which words and pairs are tested contexts of this chunk
+        self.tested = {AFTER_WORD: self._tested(self.words, self._one_at()), AFTER_PAIR: self._tested(self.pairs, self._two_at())}
+
+    def _one_at(self) -> np.ndarray:
+        """Place of the word before each token that has one."""
+        return self.chunk.at[self.chunk.has_one - 1]
+
+    def _two_at(self) -> np.ndarray:
+        """Place of the pair before each token that has two words before it."""
+        return self.chunk.pair_of[self.chunk.has_two - 1]
+
+    @staticmethod
+    def _tested(totals: np.ndarray, at: np.ndarray) -> np.ndarray:
+        used = np.zeros(len(totals), dtype=bool)
+        used[at] = True
+        return np.flatnonzero(used & (totals >= LEAST_CONTEXT))
+
+    def _levels(self) -> Iterator[tuple]:
+        """Contexts of one word, then of two: kind, their places, counts of n-gram and context, and tokens; one level in memory."""
+        chunk = self.chunk
+        at = self._one_at()
+        yield AFTER_WORD, at, self.pairs[chunk.pair_at], self.words[at], chunk.has_one
+        at = self._two_at()
+        yield AFTER_PAIR, at, self.triples[chunk.triple_at], self.pairs[at], chunk.has_two
 
     def _totals(self, kind: int, keys: np.ndarray) -> np.ndarray:
         blobs = self.replies.get(kind, [])
@@ -302,71 +347,68 @@ class View:
 
     def gains(self) -> list[tuple]:
         """Requests that add up each tested context's leave-one-out gain over its parent."""
-        chunk, corpus = self.chunk, self.corpus
-        root = corpus.root(self.word_n - chunk.trains)
-        one_root = root[chunk.has_one]
-        parent = np.zeros(len(chunk.at))
-        parent[chunk.has_one] = _smoothed(self.pair_n - 1, self.one_n - 1, one_root, WEIGHTS[-1])
+        chunk = self.chunk
+        # what the shorter context says of each token
+        below = self.corpus.root(self.words[chunk.at] - chunk.trains)
         rows = []
-        for kind, tested, at, count, context, base, tokens, keys in (
-            (AFTER_WORD, self.one_tested, self.one_at, self.pair_n, self.one_n, one_root, chunk.has_one, chunk.words),
-            (AFTER_PAIR, self.two_tested, self.two_at, self.triple_n, self.two_n, parent[chunk.has_two], chunk.has_two, chunk.pairs),
-        ):
-            if not len(tested):
-                continue
-            use = chunk.trains[tokens] & (context >= LEAST_CONTEXT)
-            place = np.searchsorted(tested, at[use])
-            n, seen, below = count[use] - 1, context[use] - 1, base[use]
-            sums = np.empty((len(tested), len(WEIGHTS)))
-            for k, weight in enumerate(WEIGHTS):
-                gain = _smoothed(n, seen, below, weight)
-                gain /= below
-                np.log(gain, out=gain)
-                gain *= GAIN_STEPS
-                sums[:, k] = np.bincount(place, np.rint(gain, out=gain), len(tested))
-            wanted = keys[tested]
-            numbers, parts = zip(*self.ranges.split(kind, wanted))
-            rows += [
-                (kind, number, chunk.number, _packed_keys(wanted[part]), packed)
-                for number, part, packed in zip(numbers, parts, _packed_sums(sums, parts))
-            ]
+        for kind, at, count, context, tokens in self._levels():
+            tested, keys = self.tested[kind], chunk.words if kind == AFTER_WORD else chunk.pairs
+            if len(tested):
+                use = chunk.trains[tokens] & (context >= LEAST_CONTEXT)
+                number = np.zeros(len(keys), dtype=np.int32)
+                number[tested] = np.arange(len(tested), dtype=np.int32)
+                place = number[at[use]]
+                n, seen, base = count[use] - 1, context[use] - 1, below[tokens[use]]
+                sums = np.empty((len(tested), len(WEIGHTS)))
+                for k, weight in enumerate(WEIGHTS):
+                    gain = _smoothed(n, seen, base, weight)
+                    gain /= base
+                    np.log(gain, out=gain)
+                    gain *= GAIN_STEPS
+                    sums[:, k] = np.bincount(place, np.rint(gain, out=gain), len(tested))
+                del use, place, n, seen, base, gain
+                wanted = keys[tested]
+                numbers, parts = zip(*self.ranges.split(kind, wanted))
+                rows += [
+                    (kind, number, chunk.number, _packed_keys(wanted[part]), packed)
+                    for number, part, packed in zip(numbers, parts, _packed_sums(sums, parts))
+                ]
+            if kind == AFTER_WORD:
+                below[tokens] = _smoothed(count - 1, context - 1, below[tokens], WEIGHTS[-1])
+            del at, count, context
         return rows
 
-    def _chosen(self, kind: int, tested: np.ndarray, at: np.ndarray) -> np.ndarray:
-        blobs = self.replies.get(kind, [])
-        found = np.zeros(len(at), dtype=np.uint8)
-        if blobs:
-            place = np.minimum(np.searchsorted(tested, at), len(tested) - 1)
-            chosen = np.frombuffer(b"".join(blobs), dtype=np.uint8)
-            found = np.where(tested[place] == at, chosen[place], 0)
-        return found
+    def _chosen(self, kind: int, contexts: int, at: np.ndarray) -> np.ndarray:
+        chosen = np.zeros(contexts, dtype=np.uint8)
+        if blobs := self.replies.get(kind):
+            chosen[self.tested[kind]] = np.frombuffer(b"".join(blobs), dtype=np.uint8)
+        return chosen[at]
 
     def scores(self, doc_ids: bytes, no_id: bytes) -> pd.DataFrame:
         """Scores of the chunk's documents."""
         chunk = self.chunk
-        probability = self.corpus.root(self.word_n)
-        depth = np.zeros(len(chunk.at), dtype=np.int64)
-        for kind, tested, at, count, context, tokens, level in (
-            (AFTER_WORD, self.one_tested, self.one_at, self.pair_n, self.one_n, chunk.has_one, 1),
-            (AFTER_PAIR, self.two_tested, self.two_at, self.triple_n, self.two_n, chunk.has_two, 2),
-        ):
-            chosen = self._chosen(kind, tested, at)
+        word_n = self.words[chunk.at]
+        probability = self.corpus.root(word_n)
+        in_context = np.zeros(len(chunk.at), dtype=bool)
+        for kind, at, count, context, tokens in self._levels():
+            chosen = self._chosen(kind, len(chunk.words) if kind == AFTER_WORD else len(chunk.pairs), at)
             for place, weight in enumerate(WEIGHTS, start=1):
                 use = chosen == place
                 tok = tokens[use]
                 probability[tok] = _smoothed(count[use], context[use], probability[tok], weight)
-                depth[tok] = level
+                in_context[tok] = True
+            del at, count, context
         starts = np.cumsum(chunk.lengths) - chunk.lengths
         add = lambda values: np.add.reduceat(values, starts)  # noqa: E731  (every document has its end token)
         return pd.DataFrame({
             "doc_id": pd.arrays.IntegerArray(np.frombuffer(doc_ids, dtype=np.int64).copy(), np.frombuffer(no_id, dtype=bool).copy()),
             "held_out": chunk.held,
             "n_tokens": chunk.lengths,
-            "n_known": add((self.word_n > 0).astype(np.int64)),
+            "n_known": add((word_n > 0).astype(np.int64)),
             "train_tokens": self.corpus.tokens,
-            "base_score": add(self.corpus.base(self.word_n)),
+            "base_score": add(self.corpus.base(word_n)),
             "score": add(np.log10(probability)),
-            "n_in_context": add((depth > 0).astype(np.int64)),
+            "n_in_context": add(in_context.astype(np.int64)),
         })
 
 

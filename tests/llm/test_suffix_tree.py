@@ -1,8 +1,10 @@
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from claimloom.llm import suffix_tree
 from claimloom.llm.common import held_out
@@ -128,3 +130,24 @@ def test_awkward_empty_and_untrained(spark):
     unlearned = suffix_tree.score_texts(docs.withColumn("held_out", F.lit(True))).collect()
     assert {r["score"] for r in unlearned} == {0.0} and {r["train_tokens"] for r in unlearned} == {0}
     assert suffix_tree.score_texts(empty(spark).withColumn("held_out", F.lit(True))).count() == 0
+
+
+def test_a_chunk_takes_few_numbers_a_token():
+    """Peak of the steps over one chunk, in bytes a token; places of 64 bits and both levels at once took 132 and 210."""
+    draw = np.random.default_rng(3)
+    tokens, vocabulary = 200_000, np.unique(draw.integers(0, 1 << 63, 20_000, dtype=np.uint64))
+    places = np.minimum(draw.pareto(0.6, tokens) * 20, len(vocabulary) - 1).astype(np.uint32)
+    row = {"chunk": 1, "words": vocabulary.tobytes(), "places": places.tobytes(),
+           "lengths": np.full(tokens // 100, 100).tobytes(), "held": np.zeros(tokens // 100, dtype=bool).tobytes()}
+    ranges = suffix_tree.Ranges(1, 40)
+    asked = suffix_tree._table(suffix_tree._count_requests(suffix_tree.Chunk(row, 40), ranges))
+    replies = pd.concat([suffix_tree._added_counts(group) for _, group in asked.groupby(["kind", "number"])])
+    tracemalloc.start()
+    try:
+        chunk = suffix_tree.Chunk(row, 40)
+        made = tracemalloc.get_traced_memory()[1] / tokens
+        rows = suffix_tree.View(chunk, replies, suffix_tree.Corpus(tokens, len(vocabulary)), ranges).gains()
+        judged = tracemalloc.get_traced_memory()[1] / tokens
+    finally:
+        tracemalloc.stop()
+    assert rows and made < 90 and judged < 165, (made, judged)
