@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom.contracts.review_rules import RuleSettings
 from claimloom.errors import ContractError
+from claimloom.operators import marks
 from claimloom.plans import conformed, evaluation, rules
 
 D = Decimal
@@ -225,3 +226,51 @@ def test_amounts_below_zero_are_compared_too(spark):
     lines = [line(i, 1, i, allowed=str(v)) for i, v in enumerate(pool, start=1)]
     got = targets(rules.unusual_amounts(facts(spark, claims=[claim(1)], lines=lines), RuleSettings("run", 1)))
     assert got == loop_unusual([(f"LIN{i:012d}", v) for i, v in enumerate(pool, start=1)])
+
+
+def test_marks_leave_most_rows_out_and_none_that_match(spark):
+    rows = spark.range(20_000).selectExpr("concat('C', id) claim_id", "id")
+    wanted = rows.filter("id % 1000 = 7").select("claim_id")
+    kept = marks.may_match(rows, "claim_id", wanted)
+    assert kept.columns == rows.columns and 20 <= kept.count() <= 25
+    assert kept.join(wanted, "claim_id", "left_semi").count() == 20
+    assert marks.may_match(rows, "claim_id", wanted.filter("false")).count() == 0
+
+
+def test_only_lines_of_claims_that_may_repeat_a_service_are_kept(spark):
+    lines = [line(1, 1, code="a"), line(2, 1, 2, code="b"), line(3, 1, 3, code="a")]
+    lines += [line(100 + i, 10 + i, 1 + i % 2, code=f"c{i}") for i in range(60)]
+    lines += [(*line(900 + i, 0)[:1], None, *line(900 + i, 0)[2:]) for i in range(2)]   # two lines of no claim
+    kept = rules.with_repeated_services(facts(spark, lines=lines)).lines
+    assert sorted(r[0] for r in kept.select("claim_line_id").collect()) == [f"LIN{i:012d}" for i in (1, 2, 3, 900, 901)]
+    # distinct pairs of claim and service: two of claim 1, sixty single ones, one of no claim
+    assert evaluation.services_in_claims(facts(spark, lines=lines)).first()[0] == 63
+
+
+def test_a_limit_of_none_is_exceeded_by_single_lines(spark):
+    limits = spark.createDataFrame([("HCPCS", "a", 0), ("HCPCS", "b", 1)], "service_code_system string, service_code string, limit int")
+    lines = [line(1, 1, code="a"), line(2, 2, code="b"), line(3, 3, code="b"), line(4, 3, 2, code="b")]
+    assert targets(rules.repeated_procedures(facts(spark, lines=lines), limits)) == ["CLM1", "CLM3"]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_unusual_amounts_of_every_size_equal_a_plain_loop(spark, seed):
+    random.seed(seed)
+    pool = [D(random.randint(1, 9)) * D(10) ** random.randint(-2, 7) for _ in range(40)]
+    pool += [(value * D("1.25")).quantize(D("0.01")) for value in random.sample(pool, 10)] + random.sample(pool, 10)
+    pool += [-value for value in random.sample(pool, 5)]
+    lines = [line(i, 1, i, allowed=str(v)) for i, v in enumerate(pool, start=1)]
+    given = facts(spark, claims=[claim(1)], lines=lines)
+    assert targets(rules.unusual_amounts(given, RuleSettings("run", 1))) == loop_unusual([(f"LIN{i:012d}", v) for i, v in enumerate(pool, start=1)])
+    # one row for each growing bucket, not one for each amount
+    many = [line(i, 1, i, allowed=f"{1000 + i}.00") for i in range(1, 101)]
+    assert rules.peer_amounts(facts(spark, claims=[claim(1)], lines=many), RuleSettings("run", 1), 1.25).count() <= 2
+    assert rules.peer_amounts(facts(spark, claims=[claim(1)], lines=many), RuleSettings("run", 1)).count() == 100
+
+
+def test_a_category_that_rules_nothing_out_is_still_another(spark):
+    categories = [("HCPCS", "93000", "cardiovascular"), ("HCPCS", "99213", "evaluation_management"), ("HCPCS", "empty", None)]
+    claims = [claim(1, diagnosis="M1711"), claim(2, diagnosis="M1711"), claim(3, diagnosis="M1711")]
+    lines = [line(1, 1, code="93000"), line(2, 1, 2, code="99213"), line(3, 2, code="99213"), line(4, 3, code="93000"), line(5, 3, 2, code="empty")]
+    found = rules.diagnosis_mismatches(facts(spark, claims=claims, lines=lines, categories=categories), RuleSettings("run", 1))
+    assert targets(found) == ["CLM3"]
