@@ -124,3 +124,18 @@ def test_each_pair_of_cells_is_summed_once(panel):
     cells = policy._model_cells(policy.provider_rows(panel), [policy.Model("m", 1, ((0, 1, 2),), tuple(MONTHS))], None)
     pairs = policy._moment_sums(cells, scores=False).filter("kind = 'gram'")
     assert pairs.filter("a > b").isEmpty() and pairs.filter("a = b").count() == 2 * len(MONTHS)
+
+
+def test_providers_of_a_task_are_multiplied_together(spark, panel):
+    """A row a task and pair of cells leaves the tasks, not one for each provider; a second row of a cell counts as before."""
+    model = policy.Model("m", 1, ((0, 1, 2),), tuple(MONTHS))
+    cells = policy._model_cells(policy.provider_rows(panel), [model], None)
+    assert "MapInArrow" in policy._moment_sums(cells, scores=False)._jdf.queryExecution().toString()
+    twice = spark.createDataFrame([(0, [(2, 1.0, 3.0), (2, 3.0, 5.0), (4, 2.0, 1.0)], 6.0, 3.0)],
+                                  "model int, cells array<struct<c int, w double, y double>>, weight double, mean double")
+    sums = {(r["kind"], r["a"], r["b"]): r["value"] for r in policy._moment_sums(twice, scores=False).collect()}
+    assert sums == pytest.approx({
+        ("gram", 2, 2): 2 * 4 - 16 / 6, ("gram", 2, 4): -8 / 6, ("gram", 4, 4): 2 - 4 / 6, ("cross", 2, None): 6.0,
+        ("cross", 4, None): -4.0, ("providers", None, None): 1.0, ("observations", None, None): 3.0})
+    scored = {(r["kind"], r["a"], r["b"]): r["value"] for r in policy._moment_sums(twice, scores=True).collect()}
+    assert scored == {("meat", 2, 2): 36.0, ("meat", 2, 4): -24.0, ("meat", 4, 4): 16.0}
