@@ -218,3 +218,28 @@ def test_load_with_a_lost_row_raises_when_strict(spark):
     short = {"rule_finding": tables["rule_finding"].limit(1)}
     with pytest.raises(ContractError, match="rule_finding row_count"):
         reporting.load_and_validate(short, manifest, keys, measures, "load_short")
+
+
+def test_versions_know_the_claim_before_without_another_shuffle(spark, tmp_path, monkeypatch):
+    """Orders of a customer in a month are linked in order; none without customer or date; keys of many rows come to the same."""
+    from claimloom.operators import keys
+    from claimloom.sources.warehouse_model import WarehouseModel
+
+    orders = [(1, 7, "1996-01-03"), (2, 7, "1996-01-02"), (3, 7, "1996-01-02"), (4, 7, "1996-02-01"), (5, 8, "1996-01-09"),
+              (6, None, "1996-01-05"), (7, None, "1996-01-06"), (8, 9, None), (9, 9, None), (5, 8, "1996-01-09")]
+    rows = spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, day string").selectExpr(
+        "o_orderkey", "o_custkey", "'F' o_orderstatus", "1.0d o_totalprice", "cast(day as timestamp_ntz) o_orderdate", "'5-LOW' o_orderpriority")
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    found = []
+    for crowded in (keys.CROWDED, 1):
+        monkeypatch.setattr(keys, "CROWDED", crowded)
+        linked = WarehouseModel(spark, str(tmp_path))._linked_versions
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+        found.append(sorted((r["o_orderkey"], r["claim_version_number"], r["prior_claim_id"]) for r in linked.collect()))
+        if crowded > 1:
+            assert plan.count("Exchange hashpartitioning") == 1
+    name = lambda key: f"CLM{key:012d}"
+    assert [row for row in found[0] if row[0] < 5] == [(1, 3, name(3)), (2, 1, None), (3, 2, name(2)), (4, 1, None)]
+    assert [row[2] for row in found[0] if row[0] == 5] == [None, name(5)]
+    assert all(row[2] is None for row in found[0] if row[0] > 5)
+    assert found[0] == found[1]
